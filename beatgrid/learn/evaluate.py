@@ -114,7 +114,7 @@ def roc_auc(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     counted = rows.groupBy(*by, "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count("*").alias("n")
     )
-    ranked = cumulative(counted, "score", "n", bucket_edges(rows, "score"), by)
+    ranked = cumulative(counted, "score", "n", bucket_edges(rows, ["score"])["score"], by)
     pos = F.col("n_pos").cast("double")
     return (
         ranked.groupBy(*by)

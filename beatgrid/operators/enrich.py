@@ -10,19 +10,22 @@ from pyspark.sql import functions as F
 from beatgrid.config import WeatherParams
 from beatgrid.functions import encode
 from beatgrid.operators.clean import keep_first
-from beatgrid.operators.ordered import quantiles
+from beatgrid.operators.ordered import bucket_edges, quantiles
 
 
-def merged_median(
-    weights: DataFrame, readings: DataFrame, keys: Sequence[str], feature: str
-) -> DataFrame:
-    """Median of a reading over the incident rows it joins to (one row, one column).
+def merged_medians(
+    weights: DataFrame, readings: DataFrame, keys: Sequence[str], features: Sequence[str]
+) -> list[DataFrame]:
+    """Median of each reading over the incident rows it joins to (one-row tables).
 
     ``weights`` holds the incident count ``w`` per key, so the median comes from weighted
     readings and the joined rows are never built for it.
     """
-    weighted = readings.select(*keys, feature).join(weights, list(keys))
-    return quantiles(weighted, feature, {f"{feature}_median": 0.5}, weight="w")
+    weighted = readings.select(*keys, *features).join(weights, list(keys))
+    edges = bucket_edges(weighted, features)
+    return [
+        quantiles(weighted, f, {f"{f}_median": 0.5}, weight="w", edges=edges[f]) for f in features
+    ]
 
 
 def attach_readings(
@@ -37,8 +40,7 @@ def attach_readings(
     out = rows.join(keep_first(readings, keys, features), keys, "left")
     if params.fill != "median":
         return out.fillna(float(params.fill), subset=features)
-    for f in features:
-        median = merged_median(weights, readings, keys, f)
+    for f, median in zip(features, merged_medians(weights, readings, keys, features)):
         out = (
             out.join(F.broadcast(median))  # one row
             .withColumn(f, F.coalesce(f, f"{f}_median"))

@@ -23,19 +23,25 @@ from beatgrid.sources.files import materialised
 FANOUT = 65536  # ranges counted per narrowing step
 
 
-def bucket_edges(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
-    """Approximate quantiles of a numeric column: at most ``buckets`` numbers on the driver.
+def bucket_edges(
+    df: DataFrame, values: Sequence[str], buckets: int | None = None
+) -> dict[str, list[float]]:
+    """Approximate quantiles of numeric columns, all in one pass: a few numbers per column.
 
-    They only balance the buckets, so their error does not touch the result.
+    They only balance the buckets, so their error does not touch the result. The number of
+    buckets follows the shuffle partitions the cluster is set to.
     """
     if buckets is None:
         buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(2, min(buckets, 10000))
     probs = [i / buckets for i in range(1, buckets)]
-    found = df.select(F.col(value).cast("double").alias("v")).approxQuantile(
-        "v", probs, 1 / (4 * buckets)
+    found = df.select(*[F.col(v).cast("double").alias(v) for v in values]).approxQuantile(
+        list(values), probs, 1 / (4 * buckets)
     )
-    return sorted({v for v in found if v is not None and math.isfinite(v)})
+    return {
+        v: sorted({x for x in xs if x is not None and math.isfinite(x)})
+        for v, xs in zip(values, found)
+    }
 
 
 def with_bucket(df: DataFrame, value: str, edges: Sequence[float]) -> DataFrame:
@@ -96,6 +102,7 @@ def quantiles(
     probs: dict[str, float],
     by: Sequence[str] = (),
     weight: str | None = None,
+    edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles, one row per group with a column per entry of probs.
 
@@ -104,7 +111,9 @@ def quantiles(
     """
     by = list(by)
     counted = count_values(df, value, by, weight)
-    placed = cumulative(counted, value, "_n", bucket_edges(df, value), by)
+    if edges is None:
+        edges = bucket_edges(df, [value])[value]
+    placed = cumulative(counted, value, "_n", edges, by)
     picks: list[Column] = []
     for name, p in probs.items():
         target = F.lit(float(p)) * (F.col("total") - 1)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ def rank_sum(df: DataFrame, value: str, in_first: Column) -> DataFrame:
             F.count("*").alias("n"),
         )
     )
-    ranked = cumulative(counted, "v", "n", bucket_edges(rows, "v"))
+    ranked = cumulative(counted, "v", "n", bucket_edges(rows, ["v"])["v"])
     n = F.col("n").cast("double")
     return ranked.agg(
         F.sum("n_a").alias("n1"),
@@ -138,20 +140,19 @@ def jarque_bera(df: DataFrame, value: str, by: str) -> DataFrame:
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of all column pairs over rows without NULL, long form.
 
-    One pass, one row of aggregates, then unfolded to (feature_a, feature_b, r).
+    Spark ML sums the cross products on the executors; only the matrix of columns x columns
+    comes back. A constant column has no correlation (NULL).
     """
     complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
-    pairs = list(combinations_with_replacement(columns, 2))
-    wide = complete.agg(
-        *[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
-    )
-    cells = F.array(
-        *[
-            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    return wide.select(F.explode(cells).alias("cell")).select("cell.*")
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(complete)
+    matrix = Correlation.corr(vectors, "v").head()[0].toArray()
+    rows = [
+        (a, b, None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+        if i <= j
+    ]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, r double")
 
 
 def drop_correlated(df: DataFrame, listed: Sequence[str]) -> DataFrame:

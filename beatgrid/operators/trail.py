@@ -46,24 +46,22 @@ def settled_position(params: HotspotParams) -> int:
     return max(params.window_rows + 1, 7)
 
 
-def skeleton(cube: DataFrame, size: int) -> DataFrame:
-    return cube.select(
-        "area",
-        "hour_ts",
-        "hourly_rate",
-        F.explode(
-            F.sequence(F.lit(1), F.least(F.col("n_hour"), F.lit(size)).cast("int"))
-        ).alias("pos"),
-    )
+def skeleton(cells: DataFrame, size: int) -> DataFrame:
+    """Each (area, hour) repeated for its first ``size`` positions at most."""
+    positions = F.sequence(F.lit(1), F.least(F.col("n_hour"), F.lit(size)).cast("int"))
+    return cells.select("*", F.explode(positions).alias("pos"))
+
 
+def trail(cells: DataFrame, params: HotspotParams = HotspotParams()) -> DataFrame:
+    """Rolling and lag features per (area, hour, position); other cell columns are kept.
 
-def trail(cube: DataFrame, params: HotspotParams = HotspotParams()) -> DataFrame:
-    """Rolling and lag features per (area, hour, position)."""
+    A cell table that is distributed by area already needs no further exchange.
+    """
     order = Window.partitionBy("area").orderBy("hour_ts", "pos")
     recent = order.rowsBetween(-(params.window_rows - 1), 0)
     rate = F.col("hourly_rate")
     enough = F.count(rate).over(recent) >= params.min_rows
-    stats = skeleton(cube, settled_position(params)).withColumns(
+    stats = skeleton(cells, settled_position(params)).withColumns(
         {
             "rolling_mean": F.when(enough, F.avg(rate).over(recent)),
             "rolling_std": F.when(enough, F.stddev_samp(rate).over(recent)),
@@ -82,7 +80,7 @@ def trail(cube: DataFrame, params: HotspotParams = HotspotParams()) -> DataFrame
     )
     return flagged.withColumn(
         "was_hourly_hot_last_row", F.lag("is_hourly_hot", 1).over(order)
-    ).select("area", "hour_ts", "pos", *TRAIL_COLUMNS)
+    )
 
 
 def leading_ids(incidents: DataFrame, keep: int) -> DataFrame:
@@ -103,29 +101,33 @@ def leading_ids(incidents: DataFrame, keep: int) -> DataFrame:
 
 
 def hour_lookup(
-    incidents: DataFrame, cube: DataFrame, params: HotspotParams = HotspotParams()
+    incidents: DataFrame,
+    cells: DataFrame,
+    carry: list[str],
+    params: HotspotParams = HotspotParams(),
 ) -> DataFrame:
-    """(area, hour) -> leading ids and the trail features by position, a bounded list of each."""
-    size = settled_position(params)
+    """(area, hour) -> leading ids, trail features by position (bounded lists), carried columns."""
     by_hour = (
-        trail(cube, params)
+        trail(cells, params)
         .groupBy("area", "hour_ts")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", *TRAIL_COLUMNS))).alias("by_pos"))
+        .agg(
+            F.array_sort(F.collect_list(F.struct("pos", *TRAIL_COLUMNS))).alias("by_pos"),
+            *[F.first(c).alias(c) for c in carry],  # equal in all positions of the hour
+        )
+    )
+    return by_hour.join(
+        leading_ids(incidents, settled_position(params) - 1), ["area", "hour_ts"]
     )
-    return by_hour.join(leading_ids(incidents, size - 1), ["area", "hour_ts"])
 
 
-def with_trail(
-    incidents: DataFrame, hourly: DataFrame, columns: list[str] | None = None
-) -> DataFrame:
+def with_trail(incidents: DataFrame, hourly: DataFrame) -> DataFrame:
     """Join an hour table that carries ``lead_ids`` / ``by_pos`` back to the incident rows."""
-    columns = columns or TRAIL_COLUMNS
     rank = F.array_position("lead_ids", F.col("incident_id"))
     place = F.when(rank > 0, rank).otherwise(F.size("by_pos")).cast("int")
     return (
         incidents.join(hourly, ["area", "hour_ts"], "left")
         .withColumn("at_pos", F.get("by_pos", place - 1))
-        .withColumns({c: F.col(f"at_pos.{c}") for c in columns})
+        .withColumns({c: F.col(f"at_pos.{c}") for c in TRAIL_COLUMNS})
         .drop("at_pos", "by_pos", "lead_ids")
     )
 
@@ -137,9 +139,7 @@ def incident_trail(
     from beatgrid.operators.grains import hour_cube
 
     cube = hour_cube(incidents, population)
-    hourly = cube.select("area", "hour_ts", "hourly_rate").join(
-        hour_lookup(incidents, cube, params), ["area", "hour_ts"]
-    )
+    hourly = hour_lookup(incidents, cube, ["hourly_rate"], params)
     return with_trail(incidents, hourly).withColumn(
         "is_hourly_hot", F.coalesce("is_hourly_hot", F.lit(0))
     )

@@ -1,7 +1,7 @@
 """The feature plan: time, category, rates, hotspots, lags and weather, then the model table.
 
 All incident-level numbers that depend on other incidents come from the hour cube, one row
-per (area, hour). Lookups to other hours, days and years are joins on the cube; the incident
+per (area, hour). Lookups to other hours, days and years are windows on the cube; the incident
 table itself is read for the counts, for the leading ids and for the final join.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatgrid.config import HotspotParams, WeatherParams
@@ -108,74 +108,93 @@ FEATURE_GROUPS = {
 }
 
 
-def daily_hot_cells(cube: DataFrame, params: HotspotParams = HotspotParams()) -> DataFrame:
-    return hot_cells(period_cells(cube, "daily"), ["date"], params.quantile)
+def with_day_history(df: DataFrame, flag: str = "is_daily_hot") -> DataFrame:
+    """Add the area's daily flag of the day before and of the same day a year ago.
 
+    ``df`` has any number of rows per (area, date) that agree on the flag. Range frames over
+    the day number replace two lookups: one year back is 365 or 366 days back.
+    """
+    days = Window.partitionBy("area").orderBy("day_no")
 
-def day_lookup(cube: DataFrame, params: HotspotParams = HotspotParams()) -> DataFrame:
-    """(area, date) -> daily hot flag, the flag of the day before and of a year ago."""
-    days = daily_hot_cells(cube, params).select("area", "date", "is_hot")
-    yesterday = days.select(
-        "area",
-        F.date_add("date", 1).alias("date"),
-        F.col("is_hot").alias("was_daily_hot_yesterday"),
-    )
-    last_year = days.select(
-        "area", F.col("date").alias("a_year_ago"), F.col("is_hot").alias("was_hot_last_year")
-    )
+    def back(n: int):
+        return F.max(flag).over(days.rangeBetween(-n, -n))
+
+    year_length = F.datediff("date", cal.same_day_last_year(F.col("date")))
     return (
-        days.withColumn("a_year_ago", cal.same_day_last_year(F.col("date")))
-        .join(yesterday, ["area", "date"], "left")
-        .join(last_year, ["area", "a_year_ago"], "left")
-        .select(
-            "area",
-            "date",
-            F.col("is_hot").alias("is_daily_hot"),
-            F.coalesce("was_daily_hot_yesterday", F.lit(0)).alias("was_daily_hot_yesterday"),
-            "was_hot_last_year",
+        df.withColumn("day_no", F.unix_date("date"))
+        .withColumns({"_1": back(1), "_365": back(365), "_366": back(366)})
+        .withColumns(
+            {
+                "was_daily_hot_yesterday": F.coalesce("_1", F.lit(0)),
+                "was_hot_last_year": F.when(year_length == 365, F.col("_365")).otherwise(
+                    F.col("_366")
+                ),
+            }
         )
+        .drop("day_no", "_1", "_365", "_366")
     )
 
 
-def yesterday_same_hour(cube: DataFrame) -> DataFrame:
-    """(area, hour) -> hourly rate of the same hour one day before."""
-    return cube.select(
-        "area",
-        (F.col("hour_ts") + F.expr("interval 1 day")).alias("hour_ts"),
-        F.col("hourly_rate").alias("rate_yesterday_same_hour"),
+def with_yesterday(cube: DataFrame) -> DataFrame:
+    """Add the area's hourly rate of the same hour one day before."""
+    hours = Window.partitionBy("area").orderBy("hour_no")
+    hour_no = F.unix_date("date").cast("bigint") * 24 + F.hour("hour_ts")
+    return (
+        cube.withColumn("hour_no", hour_no)
+        .withColumn(
+            "rate_yesterday_same_hour", F.max("hourly_rate").over(hours.rangeBetween(-24, -24))
+        )
+        .drop("hour_no")
     )
 
 
+def day_flags(cube: DataFrame, params: HotspotParams = HotspotParams()) -> DataFrame:
+    """(area, date) -> daily hot flag and its history."""
+    days = hot_cells(period_cells(cube, "daily"), ["date"], params.quantile)
+    return with_day_history(days.select("area", "date", F.col("is_hot").alias("is_daily_hot")))
+
+
+CELL_COLUMNS = [
+    "hourly_rate",
+    "daily_rate",
+    "monthly_rate",
+    "yearly_rate",
+    "is_daily_hot",
+    "is_monthly_hot",
+    "is_yearly_hot",
+    "was_daily_hot_yesterday",
+    "was_hot_last_year",
+    "rate_yesterday_same_hour",
+]
+
+
 def cell_features(cube: DataFrame, params: HotspotParams = HotspotParams()) -> DataFrame:
-    """Cube with the flags and lookups that are equal for all incidents of an (area, hour)."""
-    monthly = hot_cells(period_cells(cube, "monthly"), ["year", "month"], params.quantile)
-    yearly = hot_cells(period_cells(cube, "yearly"), ["year"], params.quantile)
-    return (
-        cube.join(day_lookup(cube, params), ["area", "date"], "left")
-        .join(
-            monthly.select("area", "year", "month", F.col("is_hot").alias("is_monthly_hot")),
-            ["area", "year", "month"],
-            "left",
-        )
-        .join(
-            yearly.select("area", "year", F.col("is_hot").alias("is_yearly_hot")),
-            ["area", "year"],
-            "left",
+    """Cube with the flags and lookups that are equal for all incidents of an (area, hour).
+
+    The period quantiles weight each hour cell by its incidents, which is the quantile over
+    incident rows; they are three small tables. The rest are windows by area on the cube.
+    """
+    out = cube
+    for grain, period in (
+        ("daily", ["date"]),
+        ("monthly", ["year", "month"]),
+        ("yearly", ["year"]),
+    ):
+        rate = f"{grain}_rate"
+        cut = cube.groupBy(*period).agg(
+            F.percentile(rate, F.lit(params.quantile), F.col("n_hour")).alias("cut")
         )
-        .join(yesterday_same_hour(cube), ["area", "hour_ts"], "left")
-    )
+        flag = F.coalesce((F.col(rate) > F.col("cut")).cast("int"), F.lit(0))
+        out = out.join(cut, period, "left").withColumn(f"is_{grain}_hot", flag).drop("cut")
+    return with_yesterday(with_day_history(out))
 
 
 def hour_features(
     incidents: DataFrame, population: DataFrame, params: HotspotParams = HotspotParams()
 ) -> DataFrame:
     """Everything an incident takes from its (area, hour)."""
-    cube = hour_cube(incidents, population)
-    return (
-        cell_features(cube, params)
-        .join(hour_lookup(incidents, cube, params), ["area", "hour_ts"])
-        .drop("date", "year", "month", "n_hour", "n_day", "n_month", "n_year")
-    )
+    cells = cell_features(hour_cube(incidents, population), params)
+    return hour_lookup(incidents, cells, CELL_COLUMNS, params)
 
 
 def engineer(
@@ -247,15 +266,14 @@ def model_table_from_cells(
     scan and one small exchange, however many incidents there are. Needs weather keyed by area
     and time, and leaves out incidents without an area or hour.
     """
-    cube = hour_cube(cal.with_temporal(incidents), population)
-    cells = trail(cube, hotspot).join(
-        cell_features(cube, hotspot).drop("year", "month"), ["area", "hour_ts"]
+    hours = incidents.select(
+        "area", cal.hour_stamp(F.col("date"), F.col("hour")).alias("hour_ts")
     )
-    rows = cal.with_temporal(cells.withColumn("hour", F.hour("hour_ts"))).fillna(
-        0, subset=["is_hourly_hot"]
+    cells = cell_features(hour_cube(hours, population), hotspot).withColumn(
+        "hour", F.hour("hour_ts")
     )
+    rows = cal.with_temporal(trail(cells, hotspot))
     if weather is not None:
-        counted = cube.withColumn("hour", F.hour("hour_ts"))
-        weights = counted.groupBy(*weather_params.keys).agg(F.sum("n_hour").alias("w"))
+        weights = cells.groupBy(*weather_params.keys).agg(F.sum("n_hour").alias("w"))
         rows = enrich.attach_readings(rows, weather, weather_params, weights)
     return model_table(rows, drop)

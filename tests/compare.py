@@ -70,6 +70,7 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> tuple[bool, str
 
 
 def main() -> None:
+    import workload.learn_queries  # noqa: F401
     from workload.oracle import ORACLE
     from workload.queries import QUERIES
     from tests.conftest import make_session

@@ -1009,3 +1009,33 @@ v as (
          ((m1 > 0.5)::integer + (m2 > 0.5)::integer * 2 + (m3 > 0.5)::integer) / 4.0 as h from w)
 select incident_id, round(s, 6) as soft_score, cast(s > 0.5 as integer) as soft_vote, cast(h > 0.5 as integer) as hard_vote from v""",
 )
+
+# ------------------------------------------------------------------ preparation
+_IMPUTED = ["rate_last_row", "rate_last_3_avg", "rate_yesterday_same_hour", "z_score"]
+oracle(
+    "ds3_mean_imputer",
+    EV_FEATURES
+    + "select incident_id, "
+    + ", ".join(f"round(coalesce({c}, avg({c}) over ()), 6) as {c}" for c in _IMPUTED)
+    + " from feat",
+)
+_SCALED = ["hourly_rate", "daily_rate", "rate_last_6_sum", "hour_sin"]
+oracle(
+    "ds4_min_max_scaling",
+    EV_FEATURES
+    + f""", s as (select incident_id, hourly_rate, daily_rate,
+              coalesce(rate_last_6_sum, avg(rate_last_6_sum) over ()) as rate_last_6_sum,
+              {CYCLE_COLS['hour_sin']} as hour_sin from feat)
+          select incident_id, """
+    + ", ".join(
+        f"round(({c} - min({c}) over ()) / (max({c}) over () - min({c}) over ()), 6) as {c}" for c in _SCALED
+    )
+    + " from s",
+)
+oracle(
+    "ml12b_error_threshold",
+    with_(EV_TRAIL)
+    + """select incident_id, is_hourly_hot as label, round(value, 6) as recon_error,
+         cast(value > (select quantile_cont(value, 0.8) from trail where is_hourly_hot = 0) as integer) as is_anomaly
+         from trail""",
+)

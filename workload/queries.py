@@ -599,12 +599,13 @@ def jn2(spark, sf_dir):
 def jn3(spark, sf_dir):
     cube = grains.hour_cube(_events(spark, sf_dir), src.event_population(spark, sf_dir))
     df = _events(spark, sf_dir).select("incident_id", "area", "hour_ts")
-    return rounded(df.join(features.yesterday_same_hour(cube), ["area", "hour_ts"], "left"))
+    yesterday = features.with_yesterday(cube).select("area", "hour_ts", "rate_yesterday_same_hour")
+    return rounded(df.join(yesterday, ["area", "hour_ts"], "left"))
 
 
 def _day_lookup(spark, sf_dir, column):
     df = src.order_incidents(spark, sf_dir).select("incident_id", "area", "date")
-    days = features.day_lookup(_order_cube(spark, sf_dir))
+    days = features.day_flags(_order_cube(spark, sf_dir))
     return df.join(days.select("area", "date", column), ["area", "date"], "left")
 
 
