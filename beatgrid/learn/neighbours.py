@@ -148,7 +148,7 @@ def _search(queries: pd.DataFrame, box: pd.DataFrame, k: int) -> pd.DataFrame:
                 {
                     "vid": here_id[rows],
                     "nb_vid": there_id[cols],
-                    "nb_point": list(there[cols]),
+                    "nb_point": pd.Series(list(there[cols]), dtype=object),
                     "nb_n": there_n[cols],
                     "dist": np.sqrt(dist[rows, cols]),
                 }
