@@ -59,9 +59,5 @@ def flag_errors(
     df: DataFrame, error: str, label: str, percentile: float = 0.8, name: str = "is_anomaly"
 ) -> DataFrame:
     """1 where the error lies above the given quantile of the normal rows."""
-    cut = quantiles(df.filter(F.col(label) == 0), error, {"cut": percentile})
-    return (
-        df.join(F.broadcast(cut))
-        .withColumn(name, F.coalesce((F.col(error) > F.col("cut")).cast("int"), F.lit(0)))
-        .drop("cut")
-    )
+    cut = quantiles(df.filter(F.col(label) == 0), error, {"cut": percentile}).scalar()
+    return df.withColumn(name, F.coalesce((F.col(error) > cut).cast("int"), F.lit(0)))

@@ -64,10 +64,9 @@ def permutation_importance(
     right = F.avg((F.col("prediction").cast("int") == F.col("label")).cast("double"))
     plain = model.transform(rows.select("label", array_to_vector("x").alias("features"))).agg(
         right.alias("plain")
-    )
+    ).scalar()
     after = model.transform(shuffled).groupBy("j").agg(right.alias("after"))
     names = F.array(*[F.lit(c) for c in features])
-    return after.join(F.broadcast(plain)).select(
-        F.get(names, F.col("j")).alias("feature"),
-        (F.col("plain") - F.col("after")).alias("importance"),
+    return after.select(
+        F.get(names, F.col("j")).alias("feature"), (plain - F.col("after")).alias("importance")
     )

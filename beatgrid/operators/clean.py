@@ -31,16 +31,12 @@ def fill_constants(df: DataFrame, values: Mapping[str, str]) -> DataFrame:
 def fill_mode(df: DataFrame, column: str) -> DataFrame:
     """Replace NULL by the most frequent value.
 
-    The mode is a counted top-1 (no task sees all values); one row is broadcast.
+    The mode is a counted top-1, so no task sees all values; it enters as a scalar subquery.
     """
     if column not in df.columns:
         return df
-    mode = mode_value(df.select(col(column).alias("v")), "v")
-    return (
-        df.join(F.broadcast(mode), F.lit(True), "left")
-        .withColumn(column, F.coalesce(col(column), F.col("v_mode")))
-        .drop("v_mode")
-    )
+    mode = mode_value(df.select(col(column).alias("v")), "v").scalar()
+    return df.withColumn(column, F.coalesce(col(column), mode))
 
 
 def drop_value(df: DataFrame, column: str, value: str) -> DataFrame:
@@ -66,13 +62,13 @@ def repair_age(
     """Negative -> mean of the positive values, then clip to 0..upper. Zero and NULL stay."""
     if column not in df.columns:
         return df
-    mean = df.agg(F.avg(F.when(col(column) > 0, col(column))).alias("mean_age"))
+    mean = df.agg(F.avg(F.when(col(column) > 0, col(column))).alias("mean_age")).scalar()
     age = col(column).cast("double")
-    repaired = F.when(age < 0, F.coalesce(F.col("mean_age"), F.lit(default))).otherwise(age)
+    repaired = F.when(age < 0, F.coalesce(mean, F.lit(default))).otherwise(age)
     clipped = F.when(
         repaired.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(float(upper)), repaired))
     )
-    return df.join(F.broadcast(mean)).withColumn(column, clipped).drop("mean_age")
+    return df.withColumn(column, clipped)
 
 
 def allow_values(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,40 +11,42 @@ from beatgrid.operators.clean import keep_first
 from beatgrid.operators.ordered import bucket_edges, quantiles
 
 
-def merged_medians(
-    weights: DataFrame, readings: DataFrame, keys: Sequence[str], features: Sequence[str]
-) -> list[DataFrame]:
-    """Median of each reading over the incident rows it joins to (one-row tables).
+def readings_of(weather: DataFrame, params: WeatherParams) -> DataFrame:
+    values = [F.col(f).cast("double").alias(f) for f in params.features]
+    return weather.select(*params.keys, *values).distinct()
 
-    ``weights`` holds the incident count ``w`` per key, so the median comes from weighted
-    readings and the joined rows are never built for it.
-    """
-    weighted = readings.select(*keys, *features).join(weights, list(keys))
-    edges = bucket_edges(weighted, features)
-    return [
-        quantiles(weighted, f, {f"{f}_median": 0.5}, weight="w", edges=edges[f]) for f in features
-    ]
 
+def join_readings(rows: DataFrame, weather: DataFrame, params: WeatherParams) -> DataFrame:
+    """Left join one reading per key: of several the first in value order."""
+    keys = list(params.keys)
+    single = keep_first(readings_of(weather, params), keys, list(params.features))
+    return rows.join(single, keys, "left")
 
-def attach_readings(
+
+def fill_readings(
     rows: DataFrame, weather: DataFrame, params: WeatherParams, weights: DataFrame
 ) -> DataFrame:
-    """Left join one reading per key and fill what is missing.
+    """Fill missing readings with a number or with the median over the incident rows.
 
-    Of several readings per key the first in value order is kept; the median counts them all.
+    ``weights`` holds the incident count ``w`` per key. The median is taken over weighted
+    readings (all of a key count), so the joined rows are never built for it.
     """
-    keys, features = list(params.keys), list(params.features)
-    readings = weather.select(*keys, *[F.col(f).cast("double").alias(f) for f in features]).distinct()
-    out = rows.join(keep_first(readings, keys, features), keys, "left")
+    features = list(params.features)
     if params.fill != "median":
-        return out.fillna(float(params.fill), subset=features)
-    for f, median in zip(features, merged_medians(weights, readings, keys, features)):
-        out = (
-            out.join(F.broadcast(median))  # one row
-            .withColumn(f, F.coalesce(f, f"{f}_median"))
-            .drop(f"{f}_median")
-        )
-    return out
+        return rows.fillna(float(params.fill), subset=features)
+    weighted = readings_of(weather, params).join(weights, list(params.keys))
+    edges = bucket_edges(weighted, features)
+    medians = {
+        f: quantiles(weighted, f, {"median": 0.5}, weight="w", edges=edges[f]).scalar()
+        for f in features
+    }
+    return rows.withColumns({f: F.coalesce(F.col(f), m) for f, m in medians.items()})
+
+
+def attach_readings(
+    rows: DataFrame, weather: DataFrame, params: WeatherParams, weights: DataFrame
+) -> DataFrame:
+    return fill_readings(join_readings(rows, weather, params), weather, params, weights)
 
 
 def add_weather(
@@ -72,9 +72,8 @@ def add_weather(
 
 def high_flag(df: DataFrame, value: str, name: str, quantile: float = 0.75) -> DataFrame:
     """1 where the value lies above its own quantile over the whole table."""
-    cut = quantiles(df, value, {"cut": quantile})
-    flag = F.coalesce((F.col(value) > F.col("cut")).cast("int"), F.lit(0))
-    return df.join(F.broadcast(cut)).withColumn(name, flag).drop("cut")
+    cut = quantiles(df, value, {"cut": quantile}).scalar()
+    return df.withColumn(name, F.coalesce((F.col(value) > cut).cast("int"), F.lit(0)))
 
 
 def weather_interactions(df: DataFrame) -> DataFrame:

@@ -32,13 +32,12 @@ def average_per_year(df: DataFrame, part: str, year: str = "year") -> DataFrame:
     Counted once per (part, year); both figures come from that small table.
     """
     cells = df.groupBy(part, year).agg(F.count("*").alias("n"))
-    years = cells.agg(F.count_distinct(year).alias("years"))
+    years = cells.agg(F.count_distinct(year).alias("years")).scalar()
     return (
         not_null(cells, [part])
         .groupBy(part)
         .agg(F.sum("n").alias("n"))
-        .join(F.broadcast(years))
-        .select(part, "n", (F.col("n") / F.col("years")).alias("avg_n"))
+        .select(part, "n", (F.col("n") / years).alias("avg_n"))
     )
 
 

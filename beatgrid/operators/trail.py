@@ -12,9 +12,13 @@ by area would give a handful of huge tasks. Two facts make that unnecessary:
 So each area-hour shortened to its first min(n, s) rows (the *skeleton*) gives the same
 result for each kept position, and rows beyond position s share the result of position s.
 The skeleton has at most s rows per calendar hour and area, whatever the number of incidents;
-ordinary window functions run on it. Incidents then look up their position: the first s - 1
-ids of an hour are found with a top-k that Spark limits before the shuffle, all other rows
-are position s. Nothing is dropped or approximated.
+ordinary window functions run on it.
+
+Incidents then find their position. The first s - 1 ids of an hour (*leading* rows) are a
+top-k that Spark limits before the shuffle. All later rows are settled: they need one row per
+(area, hour), a table that is small whenever many rows are settled. Both tables are written to
+the shared folder first, so Catalyst knows their real size when it chooses between a broadcast
+and a shuffle. Nothing is dropped or approximated.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatgrid.config import HotspotParams
+from beatgrid.operators.grains import hour_cube
+from beatgrid.sources.files import read_part, scratch_path, write_table
 
 TRAIL_COLUMNS = [
     "rolling_mean",
@@ -83,63 +89,67 @@ def trail(cells: DataFrame, params: HotspotParams = HotspotParams()) -> DataFram
     )
 
 
-def leading_ids(incidents: DataFrame, keep: int) -> DataFrame:
-    """The ``keep`` lowest ids per (area, hour), sorted.
+def leading_ids(incidents: DataFrame, last: int) -> DataFrame:
+    """(area, hour, pos, id): the lowest ids of each hour, up to position ``last`` - 1.
 
-    The rank filter becomes a group limit in front of the exchange, so a hot area-hour sends
-    at most ``keep`` rows per task.
+    Position ``last`` repeats the id before it, the bound above which ids are settled. The rank
+    filter becomes a group limit in front of the exchange, so a hot area-hour sends only that
+    many rows per task.
     """
     rank = Window.partitionBy("area", "hour_ts").orderBy("incident_id")
+    places = F.when(
+        F.col("rn") == last - 1, F.array(F.lit(last - 1), F.lit(last))
+    ).otherwise(F.array("rn"))
     return (
         incidents.select("area", "hour_ts", "incident_id")
         .filter(F.col("area").isNotNull() & F.col("hour_ts").isNotNull())
         .withColumn("rn", F.row_number().over(rank))
-        .filter(F.col("rn") <= keep)
-        .groupBy("area", "hour_ts")
-        .agg(F.array_sort(F.collect_list("incident_id")).alias("lead_ids"))
+        .filter(F.col("rn") <= last - 1)
+        .select("area", "hour_ts", "incident_id", F.explode(places).alias("pos"))
     )
 
 
-def hour_lookup(
+def with_trail(
     incidents: DataFrame,
     cells: DataFrame,
     carry: list[str],
     params: HotspotParams = HotspotParams(),
 ) -> DataFrame:
-    """(area, hour) -> leading ids, trail features by position (bounded lists), carried columns."""
-    by_hour = (
+    """Incident rows with the trail features and the carried cell columns.
+
+    Rows without an area or hour stay, with NULL features.
+    """
+    last = settled_position(params)
+    key, columns = ["area", "hour_ts"], [*carry, *TRAIL_COLUMNS]
+    places = (
         trail(cells, params)
-        .groupBy("area", "hour_ts")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("pos", *TRAIL_COLUMNS))).alias("by_pos"),
-            *[F.first(c).alias(c) for c in carry],  # equal in all positions of the hour
-        )
-    )
-    return by_hour.join(
-        leading_ids(incidents, settled_position(params) - 1), ["area", "hour_ts"]
+        .join(leading_ids(incidents, last), [*key, "pos"])
+        .select(*key, "incident_id", *columns, (F.col("pos") == last).cast("int").alias("settled"))
     )
-
-
-def with_trail(incidents: DataFrame, hourly: DataFrame) -> DataFrame:
-    """Join an hour table that carries ``lead_ids`` / ``by_pos`` back to the incident rows."""
-    rank = F.array_position("lead_ids", F.col("incident_id"))
-    place = F.when(rank > 0, rank).otherwise(F.size("by_pos")).cast("int")
-    return (
-        incidents.join(hourly, ["area", "hour_ts"], "left")
-        .withColumn("at_pos", F.get("by_pos", place - 1))
-        .withColumns({c: F.col(f"at_pos.{c}") for c in TRAIL_COLUMNS})
-        .drop("at_pos", "by_pos", "lead_ids")
+    spark = incidents.sparkSession
+    path = write_table(places, scratch_path(spark, "places"), by=("settled",))
+    schema = places.drop("settled").schema
+    leading = read_part(spark, f"{path}/settled=0", schema)
+    settled = read_part(spark, f"{path}/settled=1", schema)
+
+    bound = settled.withColumnRenamed("incident_id", "lead_max")
+    rows = incidents.join(bound, key, "left")
+    is_settled = F.col("incident_id") > F.col("lead_max")
+    late = rows.filter(is_settled).select(*incidents.columns, *columns)
+    early = (
+        rows.filter(~F.coalesce(is_settled, F.lit(False)))
+        .select(*incidents.columns)
+        .join(leading, [*key, "incident_id"], "left")
+        .select(*incidents.columns, *columns)
     )
+    return early.unionByName(late)
 
 
 def incident_trail(
     incidents: DataFrame, population: DataFrame, params: HotspotParams = HotspotParams()
 ) -> DataFrame:
     """Incident rows with hourly rate, rolling statistics, z-score, hot flag and row lags."""
-    from beatgrid.operators.grains import hour_cube
-
     cube = hour_cube(incidents, population)
-    hourly = hour_lookup(incidents, cube, ["hourly_rate"], params)
-    return with_trail(incidents, hourly).withColumn(
+    return with_trail(incidents, cube, ["hourly_rate"], params).withColumn(
         "is_hourly_hot", F.coalesce("is_hourly_hot", F.lit(0))
     )

@@ -16,7 +16,8 @@ from beatgrid.config import HotspotParams, WeatherParams
 from beatgrid.functions import calendar as cal
 from beatgrid.operators import enrich
 from beatgrid.operators.grains import hot_cells, hour_cube, period_cells
-from beatgrid.operators.trail import hour_lookup, trail, with_trail
+from beatgrid.operators.trail import trail, with_trail
+from beatgrid.sources.files import materialised
 
 # Published column names of the model table, in order.
 MODEL_COLUMNS = {
@@ -168,6 +169,11 @@ CELL_COLUMNS = [
 ]
 
 
+def staged_cube(incidents: DataFrame, population: DataFrame) -> DataFrame:
+    """The cube as a written table: the incidents are counted once for all its uses."""
+    return materialised(hour_cube(incidents, population), "cube")
+
+
 def cell_features(cube: DataFrame, params: HotspotParams = HotspotParams()) -> DataFrame:
     """Cube with the flags and lookups that are equal for all incidents of an (area, hour).
 
@@ -189,12 +195,12 @@ def cell_features(cube: DataFrame, params: HotspotParams = HotspotParams()) -> D
     return with_yesterday(with_day_history(out))
 
 
-def hour_features(
-    incidents: DataFrame, population: DataFrame, params: HotspotParams = HotspotParams()
+def with_cell_weather(
+    cells: DataFrame, weather: DataFrame, params: WeatherParams
 ) -> DataFrame:
-    """Everything an incident takes from its (area, hour)."""
-    cells = cell_features(hour_cube(incidents, population), params)
-    return hour_lookup(incidents, cells, CELL_COLUMNS, params)
+    """Readings keyed by area and time, joined to the cells instead of the incidents."""
+    timed = cells.withColumn("hour", F.hour("hour_ts"))
+    return enrich.join_readings(timed, weather, params).drop("hour")
 
 
 def engineer(
@@ -205,18 +211,32 @@ def engineer(
     weather_params: WeatherParams = WeatherParams(),
     unique_ids: bool = True,
 ) -> DataFrame:
-    """Incidents (incident_id, area, date, hour, ...) -> incidents with all features."""
-    timed = cal.with_temporal(incidents)
-    out = with_trail(timed, hour_features(timed, population, hotspot)).withColumns(
+    """Incidents (incident_id, area, date, hour, ...) -> incidents with all features.
+
+    Weather keyed by area and time travels with the cells, so the incident table is joined
+    once. Weather keyed by incident id is joined to the incidents.
+    """
+    hour_ts = cal.hour_stamp(F.col("date"), F.col("hour"))
+    base = incidents.withColumn("hour_ts", hour_ts)
+    cells = cell_features(staged_cube(base, population), hotspot)
+    carry = list(CELL_COLUMNS)
+    by_cell = weather is not None and set(weather_params.keys) <= {"area", "date", "hour"}
+    if by_cell:
+        cells = with_cell_weather(cells, weather, weather_params)
+        carry += list(weather_params.features)
+    out = cal.with_temporal(with_trail(base, cells, carry, hotspot)).withColumns(
         {
             c: F.coalesce(c, F.lit(0))
             for c in ("is_hourly_hot", "is_daily_hot", "is_monthly_hot", "is_yearly_hot",
                       "was_daily_hot_yesterday")
         }
     )
+    if by_cell:
+        weights = base.groupBy(*weather_params.keys).agg(F.count("*").alias("w"))
+        return enrich.fill_readings(out, weather, weather_params, weights)
     if weather is not None:
-        out = enrich.add_weather(
-            out, weather, weather_params, unique_ids=unique_ids, counted=timed
+        return enrich.add_weather(
+            out, weather, weather_params, unique_ids=unique_ids, counted=base
         )
     return out
 
@@ -269,7 +289,7 @@ def model_table_from_cells(
     hours = incidents.select(
         "area", cal.hour_stamp(F.col("date"), F.col("hour")).alias("hour_ts")
     )
-    cells = cell_features(hour_cube(hours, population), hotspot).withColumn(
+    cells = cell_features(staged_cube(hours, population), hotspot).withColumn(
         "hour", F.hour("hour_ts")
     )
     rows = cal.with_temporal(trail(cells, hotspot))

@@ -6,8 +6,10 @@ import tempfile
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -64,6 +66,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", by: tuple[str, .
     return path
 
 
+def read_part(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """One directory of a partitioned table, empty when nothing was written to it.
+
+    Read by its own path, so the planner sees the size of this part only.
+    """
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 def materialised(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives executor loss."""
     spark = df.sparkSession

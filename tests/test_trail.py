@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from beatgrid.config import HotspotParams
 from beatgrid.operators import grains
-from beatgrid.operators.trail import incident_trail
+from beatgrid.operators.trail import incident_trail, leading_ids
 from beatgrid.plans import features
+from beatgrid.sources import files
 
 BASE = dt.datetime(2021, 3, 1)
 SCHEMA = "incident_id bigint, area string, hour_ts timestamp_ntz"
@@ -144,10 +145,24 @@ def test_history_across_leap_day(spark):
     assert got[days[3]].was_daily_hot_yesterday == 0
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_group_limit_runs_before_the_exchange(spark):
-    df = incidents(spark, [("a", 0, 50)])
-    plan = incident_trail(df, population(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    plan = plan_of(leading_ids(incidents(spark, [("a", 0, 50)]), 25))
+    exchange = plan.index("Exchange hashpartitioning")
+    # printed from the top: the partial limit stands below the exchange
+    assert "row_number(), 24, Partial" in plan[exchange:]
+
+
+def test_settled_rows_are_not_shuffled(spark):
+    """The incident rows only meet small broadcast tables."""
+    df = incidents(spark, [("a", 0, 500), ("a", 1, 400)])
+    path = files.write_table(df, files.scratch_path(spark, "rows"))
+    plan = plan_of(incident_trail(spark.read.parquet(path), population(spark, ["a"])))
+    assert plan.count("BroadcastHashJoin") == 3
+    assert "Exchange hashpartitioning" not in plan
 
 
 def test_model_table_from_cells_equals_row_level(spark):

@@ -89,8 +89,7 @@ def io5(spark, sf_dir):
 
 @query("io6_split_metadata")
 def io6(spark, sf_dir):
-    flagged = _hourly_hot(spark, sf_dir).select("incident_id", "hour_ts", "area", "is_hourly_hot")
-    return files.split_metadata(splits.split_by_time(flagged), "is_hourly_hot")
+    return files.split_metadata(_split_and_flagged(spark, sf_dir), "is_hourly_hot")
 
 
 @query("io7_run_versions")
@@ -508,8 +507,7 @@ def ag16(spark, sf_dir):
 
 @query("ag17_class_balance")
 def ag17(spark, sf_dir):
-    flagged = _hourly_hot(spark, sf_dir).select("incident_id", "hour_ts", "is_hourly_hot")
-    return rounded(splits.class_balance(splits.split_by_time(flagged), "is_hourly_hot"))
+    return rounded(splits.class_balance(_split_and_flagged(spark, sf_dir), "is_hourly_hot"))
 
 
 # ------------------------------------------------------------------ windows
@@ -521,6 +519,13 @@ def _hourly_hot(spark, sf_dir):
     )
 
 
+def _split_and_flagged(spark, sf_dir):
+    """The cut needs hour and id only, so it is found before the flags are computed."""
+    parts = _event_split(spark, sf_dir)
+    flagged = incident_trail(parts, src.event_population(spark, sf_dir))
+    return flagged.select("incident_id", "hour_ts", "area", "split", "is_hourly_hot")
+
+
 def _trail_query(name: str, *columns: str) -> None:
     @query(name)
     def run(spark, sf_dir):
