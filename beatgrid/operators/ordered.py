@@ -87,10 +87,10 @@ def cumulative(
 def count_values(
     df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
-    """One row per (by, value) with its row count ``_n``; NULL values are not counted."""
+    """One row per (by, value) with its row count ``_n``; NULL and NaN are not counted."""
     size = F.count("*") if weight is None else F.sum(weight)
     return (
-        df.filter(F.col(value).isNotNull())
+        df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         .groupBy(*by, F.col(value).cast("double").alias(value))
         .agg(size.alias("_n"))
     )
@@ -156,18 +156,24 @@ def rank_cut(rows: DataFrame, ident: str, targets: DataFrame, by: Sequence[str]
 
     spread = rows.groupBy(*by).agg(F.min(ident).alias("lo"), F.max(ident).alias("hi"))
     state = materialised(attach(targets, spread), "cut")
-    span = state.agg(F.max(F.col("hi") - F.col("lo"))).first()[0]
+    wide = "decimal(20,0)"
+    span = state.agg(F.max(F.col("hi").cast(wide) - F.col("lo").cast(wide))).first()[0]
     if span is None:
         return state.select(*by, F.lit(None).cast("bigint").alias("cut_id"))
-    steps = max(1, math.ceil(math.log(span + 1, FANOUT)))
+    if span >= 2**63:
+        raise ValueError(f"ids of column {ident} spread over more than 63 bits")
+    steps = 1
+    while FANOUT**steps <= span:
+        steps += 1
     state = state.select(*by, "lo", "rank")
     for step in range(steps):
         width = FANOUT ** (steps - 1 - step)
         offset = F.col(ident) - F.col("lo")
-        inside = attach(rows, state).filter(
-            (offset >= 0) & (offset < F.lit(width).cast("decimal(38,0)") * FANOUT)
-        )
-        ranges = inside.groupBy(*by, "lo", "rank", F.floor(offset / width).alias("range")).agg(
+        reach = min(width * FANOUT, 2**63) - 1
+        inside = attach(rows, state).filter((F.col(ident) >= F.col("lo")) & (offset <= reach))
+        # the remainder goes first: a plain quotient of large numbers would be rounded
+        place = ((offset - offset % width) / width).cast("bigint")
+        ranges = inside.groupBy(*by, "lo", "rank", place.alias("range")).agg(
             F.count("*").alias("n")
         )
         # at most FANOUT rows per group

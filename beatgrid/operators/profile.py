@@ -153,17 +153,21 @@ def rolling_daily(df: DataFrame, date: str = "date", rows: int = 30) -> DataFram
 def rolling_by_category(
     df: DataFrame, category: str = "category", date: str = "date", rows: int = 30
 ) -> DataFrame:
-    """The same per category on the grid of all days; a day without rows blanks its windows."""
+    """The same per category over all days of the table; a day without rows blanks its windows.
+
+    Days are numbered across all categories and the frame runs over that number, so the grid
+    of days x categories is never built; a missing (day, category) has no row and no mean.
+    """
     cells = count_by(df, [date, category])
-    grid = (
-        cells.select(date)
-        .distinct()
-        .join(F.broadcast(cells.select(category).distinct()))  # days x categories
-        .join(cells, [date, category], "left")
-    )
-    recent = Window.partitionBy(category).orderBy(date).rowsBetween(-(rows - 1), 0)
-    return grid.withColumn(
-        "rolling_mean", F.when(F.count("n").over(recent) == rows, F.avg("n").over(recent))
+    # one row per day: the calendar bounds this window
+    days = cells.select(date).distinct().withColumn("day_no", F.row_number().over(Window.orderBy(date)))
+    recent = Window.partitionBy(category).orderBy("day_no").rangeBetween(-(rows - 1), 0)
+    return (
+        cells.join(days, date)
+        .withColumn(
+            "rolling_mean", F.when(F.count("n").over(recent) == rows, F.avg("n").over(recent))
+        )
+        .drop("day_no")
     )
 
 

@@ -20,7 +20,7 @@ def rank_sum(df: DataFrame, value: str, in_first: Column) -> DataFrame:
     Values are counted per sample first; ranks come from the cumulative counts.
     """
     rows = df.select(F.col(value).cast("double").alias("v"), in_first.alias("a")).filter(
-        F.col("v").isNotNull() & F.col("a").isNotNull()
+        F.col("v").isNotNull() & ~F.isnan("v") & F.col("a").isNotNull()
     )
     counted = (
         rows.groupBy("v")

@@ -60,13 +60,17 @@ def order_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     """1000 residents per customer in 1995, growing by 10 per customer and year."""
-    years = spark.range(1995, 2003).select(F.col("id").cast("int").alias("year"))
+    years = F.explode(F.sequence(F.lit(1995), F.lit(2002)))
     return (
         table(spark, sf_dir, "customer")
         .groupBy(F.col("c_nationkey").alias("area"))
         .agg(F.count("*").alias("customers"))
-        .join(F.broadcast(years))  # eight years
-        .select("area", "year", (F.col("customers") * (1000 + 10 * (F.col("year") - 1995))).alias("population"))
+        .select("area", "customers", years.alias("year"))
+        .select(
+            "area",
+            "year",
+            (F.col("customers") * (1000 + 10 * (F.col("year") - 1995))).alias("population"),
+        )
     )
 
 

@@ -542,7 +542,7 @@ oracle(
 oracle(
     "wn13_rolling_by_category",
     with_(OI, CATEGORY_ROLL.format(rows=7, back=6))
-    + "select date, category, n, round(rolling_mean, 6) as rolling_mean from rolled",
+    + "select date, category, n, round(rolling_mean, 6) as rolling_mean from rolled where n is not null",
 )
 AREA_SPLIT = """
 ranked as (
