@@ -37,7 +37,8 @@ oi_pop as (
 WEATHER = """
 weather as (
   select s_nationkey as area, cast(l_shipdate as date) as date,
-         round(avg(l_quantity), 4) as temp, round(avg(l_discount), 4) as wspeed
+         (cast(sum(cast(l_quantity as bigint)) as bigint) * 10000 // count(*)) / 10000 as temp,
+         (cast(sum(cast(round(l_discount * 100) as bigint)) as bigint) * 100 // count(*)) / 10000 as wspeed
   from lineitem join supplier on l_suppkey = s_suppkey group by 1, 2)
 """
 
