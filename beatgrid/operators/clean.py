@@ -66,7 +66,7 @@ def repair_age(
     age = col(column).cast("double")
     repaired = F.when(age < 0, F.coalesce(mean, F.lit(default))).otherwise(age)
     clipped = F.when(
-        repaired.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(float(upper)), repaired))
+        age.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(float(upper)), repaired))
     )
     return df.withColumn(column, clipped)
 
@@ -80,8 +80,12 @@ def allow_values(
 
 
 def until_year(df: DataFrame, column: str, max_year: int) -> DataFrame:
-    """Keep rows up to the year; rows without a date drop out."""
-    return df.filter(F.year(col(column)) <= max_year)
+    """Keep rows up to the year; rows without a date drop out.
+
+    Written as a bound on the column itself, so that it reaches a parquet scan.
+    """
+    bound = F.lit(f"{max_year + 1}-01-01").cast(dict(df.dtypes)[column])
+    return df.filter(col(column) < bound)
 
 
 def upper_case(df: DataFrame, columns: Sequence[str]) -> DataFrame:
