@@ -6,15 +6,74 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beatgrid.llm import token_counts
+from beatgrid.llm import packing, token_counts, token_files, warc, wu_manber
 from beatgrid.llm.common import table
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(table(spark, sf_dir, "documents"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wu_manber.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_files": op1_token_files,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op7_token_counts": op7_token_counts,
+    "op8_decontamination": op8_decontamination,
+    "op10_warc": op10_warc,
+}
+
+#: SQL of the same results, where SQL can express them.
+ORACLE: dict[str, str] = {
+    "op8_decontamination": r"""
+        with d as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+        b as (
+            select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark where item_id is not null),
+        p as (
+            select distinct item_id, least(len(w), 10) as n, array_to_string(w[k : k + least(len(w), 10) - 1], ' ') as run
+            from (select *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as k from b where len(w) > 0)),
+        sizes as (select distinct n from p),
+        found as (
+            select o.doc_id, o.k, o.n, p.item_id
+            from (
+                select doc_id, n, k, array_to_string(w[k : k + n - 1], ' ') as run
+                from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as k from d, sizes where len(w) >= n)) o
+            join p on p.n = o.n and p.run = o.run),
+        hit as (
+            select doc_id, count(distinct place) as n_hit
+            from (select doc_id, unnest(range(k, k + n)) as place from found) group by doc_id),
+        named as (
+            select doc_id, count(*) as n_items, string_agg(i, ',' order by i) as items
+            from (select distinct doc_id, item_id::varchar as i from found) group by doc_id)
+        select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+            sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from d left join hit using (doc_id) left join named using (doc_id)
+    """,
+    "op10_warc": """
+        with p as (
+            select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+        k as (select payload_digest, max(page_id) as keep from p where payload_bytes >= 1000 group by payload_digest)
+        select p.page_id, payload_bytes, p.payload_digest,
+            case when keep <> p.page_id then 'revisit' else 'response' end as record_type,
+            case when keep <> p.page_id then keep end as refers_to
+        from p left join k on p.payload_digest = k.payload_digest and p.payload_bytes >= 1000
+    """,
 }
-ORACLE: dict[str, str] = {}

@@ -1,72 +1,83 @@
 """Token counts by a two-tier lookup on the map side.
 
-A first pass gives each partition a bounded summary of its most frequent pieces between white
-space; bounded summaries are merged, so no piece of text is ever shuffled by key. The
-frequent pieces are encoded once and broadcast as piece lengths (at most ``table_size`` entries).
-The second pass adds up lengths: first tier the broadcast table, second tier the worker's cache,
-and the tokenizer library for what neither holds. The counts are exact whatever the summaries hold.
+A first pass gives each partition a bounded summary of its frequent pieces of text; the summaries
+are merged, so no piece is ever shuffled by key. The frequent pieces are encoded once and broadcast
+as a compact hash table of lengths (at most ``table_size`` entries of about 12 bytes). The second
+pass adds up lengths: first tier the broadcast table, second tier the worker's cache, and the
+tokenizer library for what neither holds. The counts are right whatever the summaries hold.
 """
 
 from __future__ import annotations
 
-import itertools
 import pickle
 import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beatgrid.llm.common import pieces, texts_of
-from beatgrid.llm.tokens import ChunkCoder, chunks_of, coder, per_text, vocabulary
+from beatgrid.llm.tokens import HashTable, PieceCoder, coder, per_text, pieces_of, vocabulary
+from beatgrid.llm.words import hashes
 
-#: Longer pieces are not worth a place in a broadcast table.
-LONGEST = 32
+#: Longer pieces, and pieces met less often within 2 MB of text, are not worth a place in the table.
+LONGEST, OFTEN = 32, 3
 
+Counts = dict[bytes, int]
 
-def _prune(counts: Counter, keep: int) -> Counter:
+
+def _pruned(counts: Counts, keep: int) -> Counts:
     """A mergeable summary of ``keep`` entries: subtract the largest count that is left out."""
     if len(counts) <= keep:
         return counts
-    floor = np.partition(np.fromiter(counts.values(), np.int64), -keep - 1)[-keep - 1]
-    return Counter({k: v - int(floor) for k, v in counts.items() if v > floor})
+    floor = int(np.partition(np.fromiter(counts.values(), np.int64, len(counts)), -keep - 1)[-keep - 1])
+    return {k: v - floor for k, v in counts.items() if v > floor}
+
+
+def _plus(counts: Counts, packed: bytes, keep: int) -> Counts:
+    for k, v in pickle.loads(zlib.decompress(packed)):
+        counts[k] = counts.get(k, 0) + v
+    return _pruned(counts, keep)
 
 
-def _packed(counts: Counter) -> bytes:
+def _packed(counts: Counts) -> bytes:
     return zlib.compress(pickle.dumps(sorted(counts.items())), 1)
 
 
-def frequent_pieces(texts: DataFrame, text: str, size: int) -> list[str]:
+def frequent_pieces(texts: DataFrame, text: str, size: int) -> list[bytes]:
     """At most ``size`` pieces, the frequent ones of all texts among them."""
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        counts: Counts = {}
         for batch in batches:
             for piece in pieces(batch, 0):
-                for t in texts_of(piece, 0):
-                    counts.update(chunks_of(t))
+                words = pieces_of(piece.column(0))
+                _, at, n = np.unique(hashes(words), return_index=True, return_counts=True)
+                keep = (n >= OFTEN) & (words.end[at] - words.start[at] <= LONGEST)
+                for i, k in zip(at[keep].tolist(), n[keep].tolist()):
+                    word = words.text(i)
+                    counts[word] = counts.get(word, 0) + k
                 if len(counts) > 4 * size:
-                    counts = _prune(counts, 2 * size)
-        counts = Counter({k: v for k, v in counts.items() if v > 1 and 0 < len(k) <= LONGEST})
-        yield pa.RecordBatch.from_pydict({"summary": pa.array([_packed(_prune(counts, size))], pa.binary())})
+                    counts = _pruned(counts, 2 * size)
+        yield pa.RecordBatch.from_pydict({"summary": pa.array([_packed(_pruned(counts, size))], pa.binary())})
 
     def merged(key: tuple, group: pa.Table) -> pa.Table:
-        counts: Counter = Counter()
+        counts: Counts = {}
         for x in group.column("summary"):
-            counts = _prune(counts + Counter(dict(pickle.loads(zlib.decompress(x.as_py())))), size)
+            counts = _plus(counts, x.as_py(), size)
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "summary": pa.array([_packed(counts)], pa.binary())})
 
     found = texts.select(text).mapInArrow(summary, "summary binary").withColumn("part", F.spark_partition_id())
     for _ in range(2):  # a group holds 64 summaries
         found = found.withColumn("part", F.expr("cast(part div 64 as int)"))
         found = found.groupBy("part").applyInArrow(merged, "part int, summary binary")
-    total: Counter = Counter()
+    total: Counts = {}
     for row in found.select("summary").toLocalIterator():
-        total = _prune(total + Counter(dict(pickle.loads(zlib.decompress(bytes(row.summary))))), size)
+        total = _plus(total, bytes(row.summary), size)
     return sorted(total)
 
 
@@ -87,23 +98,21 @@ def count_tokens(
     """
     path = tokenizer or vocabulary()
     rows = docs.select(F.col(ident).alias("ident"), F.col(text).cast("string").alias("text"))
-    spark = docs.sparkSession
     if path.endswith(".model"):
         count = _whole_texts(path)
     else:
-        common = frequent_pieces(rows, "text", table_size)
-        lengths = ChunkCoder(path).lengths(common).astype(np.uint16) if common else np.zeros(0, np.uint16)
-        first = spark.sparkContext.broadcast(zlib.compress(pickle.dumps((common, lengths.tobytes())), 1))
-        count = _two_tiers(path, first)
+        common = pieces_of(pa.array([x.decode() for x in frequent_pieces(rows, "text", table_size)], pa.large_string()))
+        keys = hashes(common) | np.uint64(1)
+        lengths = PieceCoder(path).lengths(common, keys).astype(np.uint16)
+        count = _two_tiers(path, docs.sparkSession.sparkContext.broadcast((keys.tobytes(), lengths.tobytes())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         handle = count()
         for batch in batches:
             for piece in pieces(batch):
-                texts = texts_of(piece)
+                n_bytes = pc.fill_null(pc.binary_length(piece.column(1)), 0).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(handle(texts), pa.int64())],
-                    ["ident", "n_bytes", "n_tokens"],
+                    [piece.column(0), n_bytes, pa.array(handle(piece.column(1)), pa.int64())], ["ident", "n_bytes", "n_tokens"]
                 )
 
     kind = rows.schema["ident"].dataType.simpleString()
@@ -112,28 +121,33 @@ def count_tokens(
     )
 
 
-_FIRST: dict[str, dict[str, int]] = {}
+_FIRST: dict[str, tuple[HashTable, np.ndarray]] = {}
 
 
-def _two_tiers(path, first):
-    """The lookup of a task; the unpacked table stays with the worker."""
+def _two_tiers(path, shared):
+    """The lookup of a task; the hash table stays with the worker."""
     name = uuid.uuid4().hex
 
     def make():
         if name not in _FIRST:
             _FIRST.clear()
-            common, lengths = pickle.loads(zlib.decompress(first.value))
-            _FIRST[name] = dict(zip(common, np.frombuffer(lengths, np.uint16).tolist()))
-        table = _FIRST[name]
+            keys, lengths = (np.frombuffer(x, kind) for x, kind in zip(shared.value, (np.uint64, np.uint16)))
+            table = HashTable(max(1, len(keys)))
+            keys, at = np.unique(keys, return_index=True)
+            table.add(keys)
+            _FIRST[name] = table, lengths[at].astype(np.int64)
+        table, known = _FIRST[name]
         second = coder(path)
 
-        def handle(texts: list[str]) -> np.ndarray:
-            parts = [chunks_of(t) for t in texts]
-            flat = list(itertools.chain.from_iterable(parts))
-            found = np.fromiter((table.get(c, -1) for c in flat), np.int64, len(flat))
-            misses = np.flatnonzero(found < 0)
-            found[misses] = second.lengths([flat[i] for i in misses])
-            return per_text(found, parts)
+        def handle(texts: pa.Array) -> np.ndarray:
+            words = pieces_of(texts)
+            keys = hashes(words) | np.uint64(1)
+            place = table.find(keys)
+            found = np.zeros(len(keys), np.int64)
+            found[place >= 0] = known[place[place >= 0]]
+            miss = np.flatnonzero(place < 0)
+            found[miss] = second.lengths(words.only(miss), keys[miss])
+            return per_text(found, words)
 
         return handle
 
@@ -145,6 +159,11 @@ def _whole_texts(path):
         from sentencepiece import SentencePieceProcessor
 
         library = SentencePieceProcessor(model_file=path)
-        return lambda texts: np.array([len(x) for x in library.encode(texts, num_threads=1)], np.int64)
+
+        def handle(texts: pa.Array) -> np.ndarray:
+            batch = pa.RecordBatch.from_arrays([texts], ["text"])
+            return np.array([len(x) for x in library.encode(texts_of(batch, 0), num_threads=1)], np.int64)
+
+        return handle
 
     return make

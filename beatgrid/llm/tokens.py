@@ -1,4 +1,11 @@
-"""Exact token ids and counts of whole texts, with a bounded cache in each worker."""
+"""Exact token ids and counts of whole texts, with a bounded cache in each worker.
+
+The vocabulary ``word_bpe_49k.json`` drops white space, composes and lower-cases character by
+character and never joins across a space. So the ids of a text are those of its pieces between
+spaces and line ends, one after the other; other white space stays inside a piece and is the
+library's business. Pieces are cut and hashed for many texts at once; the library encodes a piece
+that the worker has not met before.
+"""
 
 from __future__ import annotations
 
@@ -6,36 +13,91 @@ import itertools
 import os
 
 import numpy as np
+import pyarrow as pa
+
+from beatgrid.llm.words import Words, hashes, rule, split
+
+#: A worker's table starts anew beyond so many pieces or ids.
+CACHE_PIECES, CACHE_IDS = 1_200_000, 8_000_000
+
+_SPACES = rule(b" \n", fold=False)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+#: Bytes whose piece is left in its case: they begin a special token, or a mark that may compose.
+_AS_IS = np.zeros(256, bool)
+_AS_IS[[ord("<"), 0xCC, 0xCD]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[ord("a") : ord("z") + 1] = True
+_MARK = np.zeros(256, bool)
+_MARK[[ord("."), ord(",")]] = True
+
+_CODERS: dict[str, "PieceCoder"] = {}
+
+
+def pieces_of(texts: pa.Array) -> Words:
+    """The pieces of each text. A-Z are lower-cased, which the vocabulary would do, and a full stop
+    or comma that follows a letter at the end of a piece is a piece of its own."""
+    words = split(texts, _SPACES)
+    data = _LOWER[words.data]
+    for at in _words_with(words, _AS_IS):
+        data[words.start[at] : words.end[at]] = words.data[words.start[at] : words.end[at]]
+    start, end, first = words.start, words.end, words.first
+    if len(start):
+        last = end - 1
+        cut = np.flatnonzero(_MARK[data[last]] & (end - start > 1) & _LETTER[data[np.maximum(last - 1, 0)]])
+        end = end.copy()
+        end[cut] -= 1
+        first = first + np.searchsorted(cut, first)
+        start, end = np.insert(start, cut + 1, end[cut]), np.insert(end, cut + 1, end[cut] + 1)
+    return Words(data, start, end, first)
+
+
+def _words_with(words: Words, which: np.ndarray) -> list[int]:
+    at = np.flatnonzero(which[words.data])
+    return np.unique(np.searchsorted(words.start, at, side="right") - 1).tolist() if len(at) else []
+
+
+class HashTable:
+    """Open addressing over arrays: distinct non-zero 64-bit keys to places 0, 1, 2, ..."""
+
+    def __init__(self, capacity: int):
+        self.size = 1 << max(10, (2 * capacity - 1).bit_length())
+        self.mask = np.uint64(self.size - 1)
+        self.keys = np.zeros(self.size, np.uint64)
+        self.places = np.zeros(self.size, np.int32)
+        self.used = 0
 
-#: A worker's cache starts anew beyond so many chunks or characters.
-CACHE_CHUNKS, CACHE_CHARS = 400_000, 32_000_000
-
-_CODERS: dict[str, "ChunkCoder"] = {}
-
-
-def chunks_of(text: str) -> list[str]:
-    """Pieces between spaces and line ends.
-
-    The vocabulary ``word_bpe_49k.json`` drops white space, composes and lower-cases character by
-    character and never joins across a space, so the ids of a text are those of its pieces in turn.
-    Any other white space stays inside a piece and is the library's business.
-    """
-    return text.replace("\n", " ").split(" ")
-
-
-def plain_word(chunk: str) -> bool:
-    """Letters below U+0250 only: no composition, no split, and lower-casing that no neighbour changes."""
-    return chunk.isalpha() and (chunk.isascii() or (max(chunk) < "\u0250" and "\u0130" not in chunk))
-
-
-class ChunkCoder:
-    """Ids of texts through a table of pieces seen before; the library encodes the others.
-
-    There are two generations of the table: when the young one is full it becomes the old one, and
-    pieces that are met again move over without a call of the library.
-    """
-
-    def __init__(self, path: str, chunks: int = CACHE_CHUNKS, chars: int = CACHE_CHARS):
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, or -1."""
+        out = np.full(len(keys), -1, np.int64)
+        todo, slot = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
+        while len(todo):
+            there = self.keys[slot]
+            same = there == keys[todo]
+            out[todo[same]] = self.places[slot[same]]
+            going = ~same & (there != 0)
+            todo, slot = todo[going], (slot[going] + 1) & (self.size - 1)
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Distinct keys that are not in the table get the next places in their order."""
+        places = np.arange(self.used, self.used + len(keys), dtype=np.int32)
+        self.used += len(keys)
+        todo, slot = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
+        while len(todo):
+            free = np.flatnonzero(self.keys[slot] == 0)
+            _, one = np.unique(slot[free], return_index=True)
+            won = free[one]
+            self.keys[slot[won]], self.places[slot[won]] = keys[todo[won]], places[todo[won]]
+            going = np.ones(len(todo), bool)
+            going[won] = False
+            todo, slot = todo[going], (slot[going] + 1) & (self.size - 1)
+
+
+class PieceCoder:
+    """Ids of texts through a table of pieces met before."""
+
+    def __init__(self, path: str, pieces: int = CACHE_PIECES, ids: int = CACHE_IDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
@@ -44,101 +106,78 @@ class ChunkCoder:
         self.model = self.library.model
         letters = ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes = {c: letters.pre_tokenize_str(c)[0][0] for c in map(chr, range(0x80, 0x250)) if c.isalpha()}
-        self.ends = {c: self.library.encode(c, add_special_tokens=False).ids for c in ".,;:!?"}
-        self.limits = chunks, chars
+        self.limits = pieces, ids
         self._clear()
-        self.old: tuple = ({}, self.start, self.length, self.ids)
 
     def _clear(self) -> None:
-        self.place: dict[str, int] = {"": 0}
-        self.chars = 0
+        self.table = HashTable(self.limits[0])
         self.start = np.zeros(1 << 12, np.int64)
         self.length = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
-    def _code(self, chunk: str) -> list[int]:
-        if chunk[-1] in self.ends and plain_word(chunk[:-1]):  # a run of letters, then one mark
-            return self._code(chunk[:-1]) + self.ends[chunk[-1]]
-        if plain_word(chunk):
-            word = chunk.lower()
+    def code(self, piece: str) -> list[int]:
+        """Ids by the library. A word of letters below U+0250 passes its normaliser and its splitter
+        unchanged but for lower case, so such a word goes to the model at once."""
+        if piece.isalpha() and (piece.isascii() or (max(piece) < "ɐ" and "İ" not in piece)):
+            word = piece.lower()
             if not word.isascii():
                 word = "".join([self.bytes.get(c, c) for c in word])
             return [t.id for t in self.model.tokenize(word)]
-        return self.library.encode(chunk, add_special_tokens=False).ids
+        return self.library.encode(piece, add_special_tokens=False).ids
 
-    def _add(self, chunks: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
-        n, k = len(self.place), len(ids)
-        while n + len(chunks) > len(self.start):
+    def _learn(self, keys: np.ndarray, texts: list[bytes]) -> None:
+        coded = [self.code(t.decode()) for t in texts]
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+        n, k = self.table.used, int(lengths.sum())
+        while n + len(coded) > len(self.start):
             self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
         while self.used + k > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : self.used + k] = ids
-        self.length[n : n + len(chunks)] = lengths
-        self.start[n : n + len(chunks)] = self.used + np.cumsum(lengths) - lengths
-        self.place.update(zip(chunks, range(n, n + len(chunks))))
+        self.ids[self.used : self.used + k] = np.fromiter(itertools.chain.from_iterable(coded), np.uint32, k)
+        self.length[n : n + len(coded)] = lengths
+        self.start[n : n + len(coded)] = self.used + np.cumsum(lengths) - lengths
+        self.table.add(keys)
         self.used += k
-        self.chars += sum(map(len, chunks))
-
-    def _learn(self, new: list[str]) -> None:
-        place, start, length, pool = self.old
-        again = [c for c in new if c in place]
-        if again:
-            at = np.fromiter(map(place.__getitem__, again), np.int64, len(again))
-            self._add(again, length[at], _gather(pool, start[at], length[at]))
-            new = [c for c in new if c not in place]
-        coded = [self._code(c) for c in new]
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-        self._add(new, lengths, np.fromiter(itertools.chain.from_iterable(coded), np.uint32, int(lengths.sum())))
-
-    def _places(self, flat: list[str]) -> np.ndarray:
-        known = self.place
-        new = list({c for c in flat if c not in known})
-        if new:
-            if len(known) + len(new) > self.limits[0] or self.chars > self.limits[1]:
-                self.old = (self.place, self.start, self.length, self.ids)
-                self._clear()
-                new = [c for c in set(flat) if c]
-            self._learn(new)
-        return np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def places(self, words: Words, keys: np.ndarray) -> np.ndarray:
+        """The table's place of each piece."""
+        found = self.table.find(keys)
+        if (found < 0).any():
+            new, at = np.unique(keys[found < 0], return_index=True)
+            if self.table.used + len(new) > self.limits[0] or self.used > self.limits[1]:
+                self._clear()
+                new, at = np.unique(keys, return_index=True)
+            else:
+                at = np.flatnonzero(found < 0)[at]
+            self._learn(new, [words.text(i) for i in at.tolist()])
+            found = self.table.find(keys)
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, and the number of each text's ids."""
-        parts = [chunks_of(t) for t in texts]
-        at = self._places(list(itertools.chain.from_iterable(parts)))
+        words = pieces_of(texts)
+        at = self.places(words, hashes(words) | np.uint64(1))
         lengths = self.length[at]
-        return _gather(self.ids, self.start[at], lengths), per_text(lengths, parts)
+        before = np.cumsum(lengths) - lengths
+        ids = self.ids[np.repeat(self.start[at] - before, lengths) + np.arange(int(lengths.sum()))]
+        return ids, per_text(lengths, words)
 
-    def lengths(self, chunks: list[str]) -> np.ndarray:
-        """The number of ids of each piece, as ``chunks_of`` gives them."""
-        at = self._places(chunks)
+    def lengths(self, words: Words, keys: np.ndarray) -> np.ndarray:
+        """The number of ids of each piece."""
+        at = self.places(words, keys)
         return self.length[at]
 
-    def count(self, texts: list[str]) -> np.ndarray:
-        """The number of each text's ids."""
-        parts = [chunks_of(t) for t in texts]
-        at = self._places(list(itertools.chain.from_iterable(parts)))
-        return per_text(self.length[at], parts)
-
-
-def _gather(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The stretches of ``pool`` one after the other."""
-    before = np.cumsum(lengths) - lengths
-    return pool[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
-
 
-def per_text(lengths: np.ndarray, parts: list[list[str]]) -> np.ndarray:
-    """Sums of what belongs to each text; each has one part at least."""
-    if not parts:
-        return np.zeros(0, np.int64)
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    return np.add.reduceat(lengths, np.cumsum(sizes) - sizes)
+def per_text(lengths: np.ndarray, words: Words) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(lengths)])
+    return total[words.first[1:]] - total[words.first[:-1]]
 
 
-def coder(path: str) -> ChunkCoder:
+def coder(path: str) -> PieceCoder:
     """This worker's coder for a vocabulary file; it outlives the task."""
     if path not in _CODERS:
-        _CODERS[path] = ChunkCoder(path)
+        _CODERS[path] = PieceCoder(path)
     return _CODERS[path]
 
 
