@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from beatgrid.llm import packing, token_counts, token_files, warc, wu_manber
+from beatgrid.llm import block_search, packing, pii, token_counts, token_files, warc, wu_manber
 from beatgrid.llm.common import table
 
 
@@ -14,10 +15,18 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -32,7 +41,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_personal_data": op6_personal_data,
     "op7_token_counts": op7_token_counts,
     "op8_decontamination": op8_decontamination,
     "op10_warc": op10_warc,
@@ -40,6 +51,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: SQL of the same results, where SQL can express them.
 ORACLE: dict[str, str] = {
+    "op4_nearest_neighbours": """
+        with v as (
+            select vec_id, embedding::double[] as e from embeddings
+            where vec_id is not null and embedding is not null and len(embedding) > 0
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+                and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        pairs as (
+            select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e) as score
+            from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id and len(c.e) = len(q.e))
+        select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::integer as rank, vec_id, score
+        from pairs qualify rank <= 20
+    """,
     "op8_decontamination": r"""
         with d as (
             select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
