@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatgrid.llm import block_search, packing, pii, token_counts, token_files, warc, wu_manber
+from beatgrid.llm import block_search, kneser_ney, packing, pii, token_counts, token_files, warc, wu_manber
 from beatgrid.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wu_manber.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_personal_data": op6_personal_data,
     "op7_token_counts": op7_token_counts,
     "op8_decontamination": op8_decontamination,
+    "op9_quality": op9_quality,
     "op10_warc": op10_warc,
 }
 
