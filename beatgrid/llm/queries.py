@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatgrid.llm import block_search, kneser_ney, lm_scoring, packing, pii, token_counts, token_files, warc, wu_manber
+from beatgrid.llm import block_search, kneser_ney, lm_scoring, packing, pii, token_counts, token_files, vertical_join, warc, wu_manber
 from beatgrid.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vertical_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -50,6 +54,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_language_model": op2_language_model,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_personal_data": op6_personal_data,
