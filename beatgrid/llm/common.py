@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts are handled in pieces of about this many bytes, which bounds the numpy temporaries.
@@ -50,23 +50,20 @@ def texts_of(batch: pa.RecordBatch, column: int = 1) -> list[str]:
 
 
 def join_unique(
-    left: DataFrame, right: DataFrame, on: str, count: str, how: str = "left", hot: int = 1024
+    left: DataFrame, right: DataFrame, on: str, count: str, how: str = "left", total: int | None = None, hot: int = 1024
 ) -> DataFrame:
     """Join to a table with one row per key and the key's number of left rows in ``count``.
 
-    A key with more than a ``hot``-th of all those rows is joined by broadcast: there are fewer
-    than ``hot`` such keys at any size. The other keys are shuffled and none of them is large.
-    ``right`` is read twice, so it should be staged. Null keys match nothing.
+    A key with more than a ``hot``-th of all those rows (``total``, summed if not given) is joined by
+    broadcast: there are fewer than ``hot`` such keys at any size. The other keys are shuffled and
+    none of them is large. ``right`` is read more than once, so it should be staged. Null keys match
+    nothing.
     """
-    total = right.agg(F.sum(count)).first()[0] or 0
-    heavy = right.filter(F.col(count) > F.lit(total // hot)).limit(hot + 1)
+    if total is None:
+        total = right.agg(F.sum(count)).first()[0] or 0
+    heavy = right.filter(F.col(count) > F.lit(total // hot)).limit(hot)
     light = right.filter(F.col(count) <= F.lit(total // hot))
-    marked = left.join(F.broadcast(heavy.select(on).withColumn("_hot", F.lit(True))), on, "left")
-    first = marked.filter("_hot").drop("_hot").join(F.broadcast(heavy), on)
-    rest = marked.filter(F.col("_hot").isNull()).drop("_hot").join(light, on, how)
+    marked = left.join(F.broadcast(heavy.withColumn("_hot", F.lit(True))), on, "left")
+    first = marked.filter("_hot").drop("_hot")
+    rest = marked.filter(F.col("_hot").isNull()).select(left.columns).join(light, on, how)
     return first.unionByName(rest)
-
-
-def ascii_lower(c: Column) -> Column:
-    """A-Z lower-cased, all else as it is."""
-    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

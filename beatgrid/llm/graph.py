@@ -15,32 +15,32 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star and small-star steps in turn connect every node to ever smaller neighbours until
     all are connected to the least one; the number of rounds grows with the logarithm of the longest
     path. Each step counts and takes minima per node before it joins, and a node with a large share
-    of the edges is joined by broadcast. Only a count and a digest of the edges leave Spark.
+    of the edges is joined by broadcast. Nothing but the end of the rounds is
+    decided on the driver.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
     edges = materialised(edges.distinct(), "edges")
-    before = None
-    while True:
-        moved = _star(_star(edges, large=True), large=False)
-        # the same edges as a round ago: their number and a digest of them
-        after = moved.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first()
-        if after == before:
-            nodes = moved.select(F.col("a").alias("node"), F.col("b").alias("component"))
-            return nodes.unionByName(moved.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        edges, before = moved, after
+    while _unfinished(edges):
+        edges = _star(_star(edges, large=True), large=False)
+    nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return nodes.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def _unfinished(edges: DataFrame) -> bool:
+    """Whether a node has two smaller neighbours, or a smaller and a larger one."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    found = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return bool(found.filter("up > 1 or up = 1 and down = 1").limit(1).count())
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Connect each node's neighbours to the least of them: the larger ones, or the smaller ones and itself."""
-    if large:
-        near = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    else:
-        near = edges
+    near = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
     least = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("n"))
     least = materialised(least, "least")
-    if large:
-        found = join_unique(near.filter("b > a"), least, "a", "n", "inner").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        found = join_unique(near, least, "a", "n", "inner").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        found = found.unionByName(least.select("a", F.col("m").alias("b")))
-    return materialised(found.filter("a <> b").distinct(), "edges")
+    moved = join_unique(near.filter("b > a") if large else near, least, "a", "n", "inner")
+    moved = moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
+    if not large:
+        moved = moved.unionByName(least.select("a", F.col("m").alias("b")))
+    return materialised(moved.filter("a <> b").distinct(), "edges")

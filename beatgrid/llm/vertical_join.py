@@ -1,9 +1,11 @@
 """Jaccard self-join over word shingles by vertical partitioning.
 
-Shingles (64-bit hashes) have one global order: the ones that many documents share last, otherwise
-by hash. That order is cut into fragments. Two documents can only reach the threshold if they share
-a shingle in their prefixes; the overlap of such a candidate pair is counted fragment by fragment,
-each count on its own, and summed per pair.
+Shingles (64-bit hashes) have one global order, cut into four fragments by their leading bits; within
+the first fragment the ones that many documents share come last, otherwise hashes ascend. Two
+documents can only reach the threshold if they share a shingle in their prefixes. The overlap of such
+a candidate pair is counted fragment by fragment, each count on its own, and summed per pair. The
+first fragment, about a quarter of each set, is kept from the first pass; its count already rules
+most pairs out, and only the texts of the others are read again for the other fragments.
 
 Documents of equal sets are one class. Groups of near copies are linked by a star first: in each
 prefix list the classes of other components are compared with one member of the list's largest
@@ -28,8 +30,10 @@ from beatgrid.sources.files import materialised
 
 #: A shingle in more prefixes than this goes to the end of the order; of so many prefix entries at
 #: least one may, which bounds the list of such shingles to a million.
-OFTEN, MOST_SHARED = 64, 1 << 20
-FRAGMENT_BITS = 3
+OFTEN, MOST_SHARED = 8, 1 << 20
+FRAGMENT_BITS = 2
+#: Hashes below this are in the first fragment (as signed numbers, those from 0 to here).
+FIRST = 1 << (64 - FRAGMENT_BITS)
 #: Words of the bit table that marks documents with candidates (64 bits each).
 MARK_WORDS = 1 << 18
 #: A class in more than this share of the pairs is spread over so many tasks.
@@ -69,14 +73,15 @@ class Sets:
 
 
 def _sets(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """(ident, n, cls, low): of each row, with the shingles of lowest hash a little beyond the prefix."""
+    """(ident, n, cls, low): of each row, with the first fragment of its set and, where that is
+    shorter than the prefix, what else the prefix needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
                 sets = Sets(piece.column(1), size)
-                reach = np.where(sets.n > 0, prefix_length(sets.n, percent) * 5 // 4 + 1, 0)
-                keep = np.arange(len(sets.s)) - sets.first[:-1][sets.row] < reach[sets.row]
+                rank = np.arange(len(sets.s)) - sets.first[:-1][sets.row]
+                keep = (sets.s < np.uint64(FIRST)) | (rank < prefix_length(sets.n, percent)[sets.row])
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array(sets.n, pa.int64()), pa.array(sets.classes()), sets.lists(keep)], ["ident", "n", "cls", "low"]
                 )
@@ -85,29 +90,53 @@ def _sets(rows: DataFrame, size: int, percent: int) -> DataFrame:
     return rows.mapInArrow(run, f"ident {kind}, n bigint, cls bigint, low array<bigint>")
 
 
-def _prefixes(rows: DataFrame, size: int, percent: int, shared) -> DataFrame:
+def _prefixes(sets: DataFrame, percent: int, often) -> DataFrame:
     """(cls, n, prefix): the first shingles of each set in the global order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = np.frombuffer(shared.value, np.uint64)
+        late = np.frombuffer(often.value, np.uint64)
         for batch in batches:
-            for piece in pieces(batch):
-                sets = Sets(piece.column(1), size)
-                late = np.zeros(len(sets.s), bool)
-                if len(often):
-                    late = often[np.minimum(np.searchsorted(often, sets.s), len(often) - 1)] == sets.s
-                order = np.argsort(2 * sets.row + late, kind="stable")
-                reach = np.where(sets.n > 0, prefix_length(sets.n, percent), 0)
-                keep = np.arange(len(order)) - sets.first[:-1][sets.row] < reach[sets.row]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sets.classes()), pa.array(sets.n, pa.int64()), sets.lists(keep, sets.s[order[keep]])], ["cls", "n", "prefix"]
-                )
+            n = batch.column(1).to_numpy(zero_copy_only=False)
+            low = batch.column(2)
+            s = low.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            sizes = np.asarray(low.value_lengths()).astype(np.int64)
+            first, row = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes)), sizes)
+            place = np.where(s < np.uint64(FIRST), 0, 2)
+            if len(late) and len(s):
+                shared = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s
+                place = np.where(shared & (place == 0), 1, place)
+            order = np.argsort(3 * row + place, kind="stable")  # hashes ascend already
+            keep = np.arange(len(s)) - first[row] < prefix_length(n, percent)[row]
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(row[keep], minlength=len(n)))]).astype(np.int32)
+            prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(s[order[keep]].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prefix], ["cls", "n", "prefix"])
+
+    return sets.select("cls", "n", "low").mapInArrow(run, "cls bigint, n bigint, prefix array<bigint>")
+
+
+def _entries(prefixes: DataFrame, marks) -> DataFrame:
+    """(cls, n, pos, s) of the prefix entries that the bit table marks as shared."""
 
-    return rows.mapInArrow(run, "cls bigint, n bigint, prefix array<bigint>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(marks.value, np.uint64)
+        for batch in batches:
+            prefix = batch.column(2)
+            s = prefix.flatten().to_numpy(zero_copy_only=False)
+            sizes = np.asarray(prefix.value_lengths()).astype(np.int64)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            pos = np.arange(len(s)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            keep = np.flatnonzero(_marked(table, s))
+            at = pa.array(row[keep])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(pos[keep].astype(np.int32)), pa.array(s[keep])], ["cls", "n", "pos", "s"]
+            )
+
+    return prefixes.mapInArrow(run, "cls bigint, n bigint, pos int, s bigint")
 
 
 def _segments(rows: DataFrame, size: int, shared) -> DataFrame:
-    """(cls, fragment, segment) of the rows that the bit table marks (and a few others by chance)."""
+    """(cls, fragment, part) beyond the first fragment, of the rows that the bit table marks (and a few
+    others by chance)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.frombuffer(shared.value, np.uint64)
@@ -117,19 +146,21 @@ def _segments(rows: DataFrame, size: int, shared) -> DataFrame:
                 if not some.num_rows:
                     continue
                 sets = Sets(some.column(1), size)
-                part = (sets.s >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int64)
-                key = (sets.row << FRAGMENT_BITS) + part
+                beyond = sets.s >= np.uint64(FIRST)
+                s, row = sets.s[beyond], sets.row[beyond]
+                part = (s >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int64)
+                key = (row << FRAGMENT_BITS) + part
                 at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
                 offsets = np.append(at, len(key)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(sets.classes()[sets.row[at]]), pa.array(part[at].astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(sets.s.view(np.int64))),
+                        pa.array(sets.classes()[row[at]]), pa.array(part[at].astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(s.view(np.int64))),
                     ],
-                    ["cls", "fragment", "segment"],
+                    ["cls", "fragment", "part"],
                 )
 
-    return rows.mapInArrow(run, "cls bigint, fragment int, segment array<bigint>")
+    return rows.mapInArrow(run, "cls bigint, fragment int, part array<bigint>")
 
 
 def _marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -151,46 +182,61 @@ def _mark_table(keys: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def _near(nx: Column, ny: Column, percent: int) -> Column:
-    """Sizes that the threshold allows."""
-    return F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent
+def _met(pairs: DataFrame, parts: DataFrame, hot: DataFrame) -> DataFrame:
+    """Pairs with the parts of both sides, fragment by fragment: columns px and py. The classes in
+    ``hot`` are spread over several tasks."""
+    salted = pairs.join(F.broadcast(hot), "y", "left").withColumn(
+        "salt", F.when(F.col("hot"), F.pmod(F.xxhash64("x"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+    )
+    left = salted.drop("hot").join(parts.select(F.col("cls").alias("x"), "fragment", F.col("part").alias("px")), "x")
+    right = parts.select(F.col("cls").alias("y"), "fragment", F.col("part").alias("py")).join(F.broadcast(hot), "y", "left")
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    right = right.withColumn("salt", F.explode(salts)).drop("hot")
+    return left.join(right, ["y", "fragment", "salt"]).drop("salt")
 
 
-def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, rows: DataFrame, sets: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (x, y, nx, ny) that reach the threshold, as edges (a, b)."""
-    pairs = materialised(pairs, "pairs")
+    spark = pairs.sparkSession
     total = pairs.count()
-    if not total:
-        return pairs.select(F.col("x").alias("a"), F.col("y").alias("b"))
     hot = pairs.groupBy("y").count().filter(F.col("count") > max(1000, total // HOT_SHARE)).select("y", F.lit(True).alias("hot"))
-    hot = hot.limit(HOT_SHARE)
-    salted = pairs.join(F.broadcast(hot), "y", "left").withColumn(
-        "salt", F.when(F.col("hot"), F.pmod(F.xxhash64("x"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
-    )
-    left = salted.join(segments.select(F.col("cls").alias("x"), "fragment", F.col("segment").alias("sx")), "x")
-    right = segments.select(F.col("cls").alias("y"), "fragment", F.col("segment").alias("sy")).join(F.broadcast(hot), "y", "left")
-    right = right.withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("hot")
-    both = left.join(right, ["y", "fragment", "salt"])
-    partial = both.select("x", "y", "nx", "ny", "fragment", F.size(F.array_intersect("sx", "sy")).alias("part"))
-    # a segment may be there twice (repeated rows), so one count for each fragment
-    partial = partial.groupBy("x", "y", "nx", "ny", "fragment").agg(F.max("part").alias("part"))
-    summed = partial.groupBy("x", "y", "nx", "ny").agg(F.sum("part").alias("common"))
+    hot = materialised(hot.limit(HOT_SHARE), "hot")
+
+    def named(df: DataFrame) -> DataFrame:
+        ids = df.select(F.explode(F.array("x", "y")).alias("cls")).distinct()
+        return ids.join(classes.select("cls", "least"), "cls")
+
+    near = named(pairs).select(F.col("cls").alias("_cls"), "least")
+    first = sets.join(near, (F.col("cls") == F.col("_cls")) & F.col("ident").eqNullSafe(F.col("least")))
+    inside = F.filter("low", lambda s: (s >= 0) & (s < FIRST))
+    first = first.select("cls", F.lit(0).alias("fragment"), inside.alias("part")).dropDuplicates(["cls"])
+    both = _met(pairs, materialised(first, "first-fragment"), hot)
+    both = both.withColumn("common", F.size(F.array_intersect("px", "py")))
+    most = F.col("common") + F.least(F.col("nx") - F.size("px"), F.col("ny") - F.size("py"))
+    both = both.filter(most * 100 >= (F.col("nx") + F.col("ny") - most) * percent)
+    left = materialised(both.select("x", "y", "nx", "ny", "common"), "left")
+
+    marks = spark.sparkContext.broadcast(_mark_table(named(left).select(F.xxhash64("least").alias("key"))).tobytes())
+    more = materialised(_segments(rows.withColumn("key", F.xxhash64("ident")), size, marks), "fragments")
+    both = _met(left.select("x", "y"), more, hot)
+    partial = both.select("x", "y", "fragment", F.size(F.array_intersect("px", "py")).alias("part"))
+    # a fragment may be there twice (repeated rows), so one count for each
+    partial = partial.groupBy("x", "y", "fragment").agg(F.max("part").alias("part"))
+    partial = partial.groupBy("x", "y").agg(F.sum("part").alias("more"))
+    summed = left.join(partial, ["x", "y"], "left").withColumn("common", F.col("common") + F.coalesce("more", F.lit(0)))
     reached = F.col("common") * 100 >= (F.col("nx") + F.col("ny") - F.col("common")) * percent
     return summed.filter(reached).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def _with_components(entries: DataFrame, links: DataFrame | None) -> DataFrame:
+def _with_components(entries: DataFrame, found: DataFrame) -> DataFrame:
     """Prefix entries with the component of their class."""
-    if links is None:
-        return entries.withColumn("comp", F.col("cls"))
-    found = materialised(components(links).toDF("cls", "comp"), "components")
     return entries.join(found, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
 
 
 def _largest(entries: DataFrame) -> DataFrame:
     """(s, best, member, size): of each list with several components, the largest and a member of it,
     and the list's length."""
-    by = entries.groupBy("s", "comp").agg(F.count("*").alias("k"), F.max(F.struct("cls", "n")).alias("member"))
+    by = entries.groupBy("s", "comp").agg(F.count("*").alias("k"), F.max(F.struct("cls", "n", "pos")).alias("member"))
     best = by.groupBy("s").agg(
         F.max(F.struct("k", "comp", "member")).alias("top"), F.sum("k").alias("size"), F.count("*").alias("comps")
     )
@@ -198,10 +244,16 @@ def _largest(entries: DataFrame) -> DataFrame:
     return materialised(best, "largest")
 
 
+def _possible(nx: Column, ny: Column, px: Column, py: Column, percent: int) -> Column:
+    """Sizes that the threshold allows, and enough shingles left from a first common one on."""
+    asked = F.ceil((nx + ny) * percent / (100 + percent) - 1e-9)
+    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & (F.least(nx - px, ny - py) >= asked)
+
+
 def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Each class outside its lists' largest components with the member that most of its lists name."""
     named = join_unique(entries, _largest(entries), "s", "size", "inner").filter("comp <> best")
-    named = named.filter(_near(F.col("n"), F.col("member.n"), percent))
+    named = named.filter(_possible(F.col("n"), F.col("member.n"), F.col("pos"), F.col("member.pos"), percent))
     votes = named.groupBy(F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("member.cls").alias("y"), F.col("member.n").alias("ny")).agg(
         F.count("*").alias("votes")
     )
@@ -218,9 +270,7 @@ def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
         "comp <> comp_x and (not outer or cls > cls_x)"
     )
     nx, ny = F.col("n_x"), F.col("n")
-    asked = F.ceil((nx + ny) * percent / (100 + percent) - 1e-9)
-    reach = F.least(nx - F.col("pos_x"), ny - F.col("pos"))  # what is left from the first common shingle on
-    pairs = pairs.filter(_near(nx, ny, percent) & (reach >= asked))
+    pairs = pairs.filter(_possible(nx, ny, F.col("pos_x"), F.col("pos"), percent))
     return pairs.select(
         F.least("cls_x", "cls").alias("x"), F.greatest("cls_x", "cls").alias("y"),
         F.when(F.col("cls_x") < F.col("cls"), nx).otherwise(ny).alias("nx"), F.when(F.col("cls_x") < F.col("cls"), ny).otherwise(nx).alias("ny"),
@@ -233,7 +283,7 @@ def join_documents(
     text: str = "text",
     size: int = 3,
     percent: int = 90,
-    stars: int = 2,
+    stars: int = 1,
 ) -> DataFrame:
     """(ident, n_shingles, component_id), one row per row of ``docs``.
 
@@ -249,30 +299,29 @@ def join_documents(
     sets = materialised(_sets(rows, size, percent), "sets")
     classes = materialised(sets.filter("n > 0").groupBy("cls").agg(F.min("ident").alias("least"), F.first("n").alias("n"), F.count("*").alias("rows")), "classes")
 
-    entries = sets.select(F.explode("low").alias("s"))
+    entries = sets.select(F.explode("low").alias("s")).filter((F.col("s") >= 0) & (F.col("s") < FIRST // 2))
     total = sets.agg(F.coalesce(F.sum(F.size("low")), F.lit(0))).first()[0]
     bound = max(OFTEN, total // MOST_SHARED)
     often = entries.groupBy("s").count().filter(F.col("count") > bound).select("s").toPandas()["s"]  # MOST_SHARED rows at most
-    often = np.sort(often.to_numpy(np.int64).view(np.uint64))
-    shared = spark.sparkContext.broadcast(often.tobytes())
-
-    first = _prefixes(rows, size, percent, shared).filter("n > 0")
-    first = first.groupBy("cls").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    entries = materialised(first, "prefixes").select("cls", "n", F.posexplode("prefix").alias("pos", "s"))
-    lists = materialised(entries.groupBy("s").agg(F.count("*").alias("size")).filter("size > 1"), "lists")
-    entries = materialised(join_unique(entries, lists, "s", "size", "inner").drop("size"), "entries")
-
-    involved = entries.select("cls").distinct().join(classes, "cls").select(F.xxhash64("least").alias("key"))
-    marks = spark.sparkContext.broadcast(_mark_table(involved).tobytes())
-    segments = materialised(_segments(rows.withColumn("key", F.xxhash64("ident")), size, marks), "segments")
-
-    links = None
-    for _ in range(stars):
-        more = materialised(_linked(_star_pairs(_with_components(entries, links), percent), segments, percent), "links")
+    often = spark.sparkContext.broadcast(np.sort(often.to_numpy(np.int64).view(np.uint64)).tobytes())
+
+    prefixes = _prefixes(sets.filter("n > 0"), percent, often).groupBy("cls")
+    prefixes = materialised(prefixes.agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "prefixes")
+    lists = prefixes.select(F.explode("prefix").alias("s")).groupBy("s").agg(F.count("*").alias("size"))
+    lists = materialised(lists.filter("size > 1"), "lists")
+    marks = spark.sparkContext.broadcast(_mark_table(lists.select(F.col("s").alias("key"))).tobytes())
+    entries = materialised(join_unique(_entries(prefixes, marks), lists, "s", "size", "inner").drop("size"), "entries")
+
+    links, found = None, spark.createDataFrame([], "cls bigint, comp bigint")
+    for k in range(stars + 1):
+        placed = materialised(_with_components(entries, found), "placed")
+        pairs = materialised((_star_pairs if k < stars else _cross_pairs)(placed, percent), "pairs")
+        if pairs.isEmpty():
+            break  # no list holds two components any more
+        more = materialised(_linked(pairs, rows, sets, classes, size, percent), "links")
         links = more if links is None else links.unionByName(more)
-    more = materialised(_linked(_cross_pairs(materialised(_with_components(entries, links), "entries"), percent), segments, percent), "links")
-    links = more if links is None else links.unionByName(more)
-    found = materialised(components(links).toDF("cls", "comp"), "components")
+        if not more.isEmpty():
+            found = materialised(components(links).toDF("cls", "comp"), "components")
     return _result(sets, classes, found).withColumnRenamed("ident", ident)
 
 
