@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from beatgrid.config import GateParams
 from beatgrid.functions.numeric import ratio
 from beatgrid.operators.ordered import bucket_edges, cumulative
+from beatgrid.sources.files import materialised
 
 # Thresholds of the sweep, 0.1 to 0.9.
 THRESHOLDS = tuple(i / 10 for i in range(1, 10))
@@ -107,14 +108,15 @@ def class_report(scored: DataFrame) -> DataFrame:
 def roc_auc(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Area under the ROC curve by rank sums, ties averaged; NULL with one class only.
 
-    Scores are counted per distinct value, ranks come from bucketed running totals.
+    Scores are counted per distinct value and staged, ranks come from bucketed running totals.
     """
     by = list(by)
     rows = scored.select(*by, F.col("score").cast("double").alias("score"), "label")
     counted = rows.groupBy(*by, "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count("*").alias("n")
     )
-    ranked = cumulative(counted, "score", "n", bucket_edges(rows, ["score"])["score"], by)
+    counted = materialised(counted, "counted")
+    ranked = cumulative(counted, "score", "n", bucket_edges(counted, ["score"])["score"], by)
     pos = F.col("n_pos").cast("double")
     return (
         ranked.groupBy(*by)
@@ -135,7 +137,8 @@ def roc_auc(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def compare_models(scored: DataFrame) -> DataFrame:
-    """One row per model, best F1 first."""
+    """One row per model, best F1 first. The pruned scores are staged and read from there."""
+    scored = materialised(scored.select("model", "label", "prediction", "score"), "scores")
     areas = roc_auc(scored, ["model"]).select("model", "roc_auc")
     return (
         metrics(scored, ["model"]).join(areas, "model", "left").orderBy(F.desc("f1_score"), "model")

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from beatgrid.learn.resample import uniform
 from beatgrid.sources.files import materialised
 
-BLOCK_ROWS = 100_000  # rows that are shuffled among each other
-
-
 def permutation_importance(
     model,
     test: DataFrame,
@@ -26,31 +23,34 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean drop in accuracy when one feature is shuffled, per feature.
 
-    Rows are dealt into blocks by the hash of their id; inside a block the row with the i-th
-    lowest hash takes the value of the row with the i-th lowest second hash. That is a
-    permutation, and no block grows with the data. All rows are used unless ``sample_rows``
-    asks for a random sample.
+    The row with the i-th lowest hash of its id takes the value of the row with the i-th lowest
+    second hash: a permutation of the whole table, whatever its size. Ranks come from counts per
+    range of hashes and an order within each range, so no task sorts the table. All rows are
+    used unless ``sample_rows`` asks for a random sample.
     """
     values = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in features])
     rows = test.select(ident, F.col(label).cast("int").alias("label"), values.alias("x"))
     if sample_rows is not None:
         rows = rows.orderBy(F.xxhash64(F.col(ident), F.lit(seed))).limit(sample_rows)
     rows = materialised(rows, "rows")
-    total = rows.count()
-    blocks = max(1, -(-total // BLOCK_ROWS))
-
-    repeated = rows.withColumn(
-        "repeat", F.explode(F.array(*[F.lit(r) for r in range(repeats)]))
-    ).withColumn("block", F.pmod(F.xxhash64(F.col(ident), F.lit(seed)), F.lit(blocks)))
+    ranges = int(test.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    repeated = rows.withColumn("repeat", F.explode(F.array(*[F.lit(r) for r in range(repeats)])))
 
     def placed(df: DataFrame, side: int) -> DataFrame:
-        by = Window.partitionBy("repeat", "block").orderBy(
-            uniform(F.col(ident), F.col("repeat"), F.lit(seed + side)), F.col(ident)
+        draw = uniform(F.col(ident), F.col("repeat"), F.lit(seed + side))
+        spread = df.withColumn("draw", draw).withColumn("range", F.floor(F.col("draw") * ranges))
+        upto = Window.partitionBy("repeat").orderBy("range")  # one row per range
+        sizes = spread.groupBy("repeat", "range").agg(F.count("*").alias("n"))
+        sizes = sizes.select("repeat", "range", (F.sum("n").over(upto) - F.col("n")).alias("before"))
+        inside = Window.partitionBy("repeat", "range").orderBy("draw", ident)
+        return (
+            spread.withColumn("inside", F.row_number().over(inside))
+            .join(sizes, ["repeat", "range"])
+            .withColumn("place", F.col("before") + F.col("inside"))
         )
-        return df.withColumn("place", F.row_number().over(by))
 
-    partner = placed(repeated, 2).select("repeat", "block", "place", F.col("x").alias("other"))
-    paired = placed(repeated, 1).join(partner, ["repeat", "block", "place"])
+    partner = placed(repeated, 2).select("repeat", "place", F.col("x").alias("other"))
+    paired = placed(repeated, 1).join(partner, ["repeat", "place"])
 
     def with_other(j: int):
         return F.transform("x", lambda v, i: F.when(i == j, F.col("other")[j]).otherwise(v))

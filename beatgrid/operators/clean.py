@@ -28,14 +28,15 @@ def fill_constants(df: DataFrame, values: Mapping[str, str]) -> DataFrame:
     )
 
 
-def fill_mode(df: DataFrame, column: str) -> DataFrame:
+def fill_mode(df: DataFrame, column: str, source: DataFrame | None = None) -> DataFrame:
     """Replace NULL by the most frequent value.
 
     The mode is a counted top-1, so no task sees all values; it enters as a scalar subquery.
+    ``source`` may hold the same rows' column, staged.
     """
     if column not in df.columns:
         return df
-    mode = mode_value(df.select(col(column).alias("v")), "v").scalar()
+    mode = mode_value((df if source is None else source).select(col(column).alias("v")), "v").scalar()
     return df.withColumn(column, F.coalesce(col(column), mode))
 
 
@@ -57,12 +58,15 @@ def parse_dates(df: DataFrame, columns: Sequence[str], formats: tuple[str, ...])
 
 
 def repair_age(
-    df: DataFrame, column: str, default: float = 30.0, upper: float = 100.0
+    df: DataFrame, column: str, default: float = 30.0, upper: float = 100.0, source: DataFrame | None = None
 ) -> DataFrame:
-    """Negative -> mean of the positive values, then clip to 0..upper. Zero and NULL stay."""
+    """Negative -> mean of the positive values, then clip to 0..upper. Zero and NULL stay.
+
+    ``source`` may hold the same rows' column, staged.
+    """
     if column not in df.columns:
         return df
-    mean = df.agg(F.avg(F.when(col(column) > 0, col(column))).alias("mean_age")).scalar()
+    mean = (df if source is None else source).agg(F.avg(F.when(col(column) > 0, col(column))).alias("mean_age")).scalar()
     age = col(column).cast("double")
     repaired = F.when(age < 0, F.coalesce(mean, F.lit(default))).otherwise(age)
     clipped = F.when(

@@ -9,6 +9,7 @@ from beatgrid.config import WeatherParams
 from beatgrid.functions import encode
 from beatgrid.operators.clean import keep_first
 from beatgrid.operators.ordered import bucket_edges, quantiles
+from beatgrid.sources.files import materialised
 
 
 def readings_of(weather: DataFrame, params: WeatherParams) -> DataFrame:
@@ -34,7 +35,7 @@ def fill_readings(
     features = list(params.features)
     if params.fill != "median":
         return rows.fillna(float(params.fill), subset=features)
-    weighted = readings_of(weather, params).join(weights, list(params.keys))
+    weighted = materialised(readings_of(weather, params).join(weights, list(params.keys)), "weighted")
     edges = bucket_edges(weighted, features)
     medians = {
         f: quantiles(weighted, f, {"median": 0.5}, weight="w", edges=edges[f]).scalar()
@@ -77,7 +78,9 @@ def high_flag(df: DataFrame, value: str, name: str, quantile: float = 0.75) -> D
 
 
 def weather_interactions(df: DataFrame) -> DataFrame:
-    """Night temperature, high wind flag and temperature band."""
+    """Night temperature, high wind flag and temperature band; the rows are staged, as the flag's
+    quantile reads them as well."""
+    df = materialised(df, "weather-rows")
     return high_flag(df, "wspeed", "high_wind").withColumns(
         {
             "temp_night": encode.night_value(F.col("temp"), F.col("hour")),

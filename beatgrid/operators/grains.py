@@ -67,15 +67,18 @@ def hour_cube(incidents: DataFrame, population: DataFrame) -> DataFrame:
     """One row per (area, hour) that has incidents, with counts and rates at all four grains.
 
     All windows share the distribution by area, so the cube needs one exchange for counting
-    and one for the windows. An area has at most 8,784 rows per year here, however many
-    incidents it has.
+    and one for the windows. An area has at most 9,150 rows per year here, however many
+    incidents it has. Incidents with a date but no hour count for their day, month and year, as
+    in ``counts``.
     """
+    day = F.to_date("hour_ts")
+    if "date" in incidents.columns:
+        day = F.coalesce(F.to_date("date"), day)
     hourly = (
-        not_null(incidents, ["area", "hour_ts"])
-        .groupBy("area", "hour_ts")
+        not_null(incidents.select("area", "hour_ts", day.alias("date")), ["area", "date"])
+        .groupBy("area", "date", "hour_ts")
         .agg(F.count("*").alias("n_hour"))
-        .withColumns({"date": F.to_date("hour_ts"), "year": F.year("hour_ts")})
-        .withColumn("month", F.month("hour_ts"))
+        .withColumns({"year": F.year("date"), "month": F.month("date")})
     )
     with_counts = hourly.withColumns(
         {
@@ -85,7 +88,7 @@ def hour_cube(incidents: DataFrame, population: DataFrame) -> DataFrame:
         }
     )
     residents = F.col("population")
-    return with_population(with_counts, population).select(
+    return with_population(with_counts.filter(F.col("hour_ts").isNotNull()), population).select(
         "area",
         "hour_ts",
         "date",

@@ -107,12 +107,12 @@ def quantiles(
     """Exact linear-interpolated quantiles, one row per group with a column per entry of probs.
 
     Rows are counted per distinct value before anything else, so repeated values cost nothing
-    and no group is held in one place.
+    and no group is held in one place. The counts are staged, so ``df`` is read once.
     """
     by = list(by)
-    counted = count_values(df, value, by, weight)
+    counted = materialised(count_values(df, value, by, weight), "counted")
     if edges is None:
-        edges = bucket_edges(df, [value])[value]
+        edges = bucket_edges(counted, [value])[value]
     placed = cumulative(counted, value, "_n", edges, by)
     picks: list[Column] = []
     for name, p in probs.items():

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from beatgrid.operators.grains import not_null
 from beatgrid.operators.ordered import quantiles
+from beatgrid.sources.files import materialised
+
+#: Columns that a cross-tab may have.
+MAX_COLUMNS = 10_000
 
 
 def value_counts(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:
@@ -42,11 +46,26 @@ def average_per_year(df: DataFrame, part: str, year: str = "year") -> DataFrame:
 
 
 def pivot_counts(
-    df: DataFrame, row: str, column: str, values: Sequence, prefix: str, fill: int | None = None
+    df: DataFrame, row: str, column: str, prefix: str, values: Sequence | None = None, fill: int | None = None
 ) -> DataFrame:
-    """Cross-tab with one column per listed value, so no job is needed to find them."""
-    cells = not_null(df, [row, column]).groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1)))
-    named = cells.select(row, *[F.col(f"`{v}`").alias(f"{prefix}{v}") for v in values])
+    """Cross-tab with one column per value of ``column`` in the data.
+
+    Rows are counted per pair first, so finding the values and folding them read that small
+    table. With ``values`` (a closed domain, such as the hours of a day) there is one column for
+    each of them, and a value outside it is an error when the rows are read.
+    """
+    cells = count_by(df, [row, column])
+    if values is None:
+        cells = materialised(cells, "pairs")
+        values = sorted(r[0] for r in cells.select(column).distinct().limit(MAX_COLUMNS + 1).collect())
+        if len(values) > MAX_COLUMNS:
+            raise ValueError(f"column {column} has more than {MAX_COLUMNS} values")
+    else:
+        known = F.col(column).isin(list(values))
+        stray = F.raise_error(F.concat(F.lit(f"unlisted value of {column}: "), F.col(column).cast("string")))
+        cells = cells.withColumn(column, F.when(known, F.col(column)).otherwise(stray.cast(cells.schema[column].dataType)))
+    picked = [F.sum(F.when(F.col(column) == F.lit(v), F.col("n"))).alias(f"{prefix}{v}") for v in values]
+    named = cells.groupBy(row).agg(*picked)
     return named if fill is None else named.fillna(fill)
 
 
@@ -202,25 +221,19 @@ def area_counts_on_districts(
 def top_area_per_category(df: DataFrame, area: str = "area", category: str = "category") -> DataFrame:
     """Greedy pairing: largest (area, category) counts first, no area or category twice.
 
-    The fold runs over the area x category summary, which has one entry per pair.
+    In rounds: a pair that is first both for its area and for its category is taken, as the greedy
+    walk would, and all pairs of that area or category go. Each round works on the summary with one
+    row per pair and is distributed by area and by category; every round takes the largest pair left
+    at least, and usually many.
     """
-    pairs = count_by(df, [area, category])
-    ordered = F.array_sort(
-        F.collect_list(
-            F.struct((-F.col("n")).alias("neg"), F.col(area).alias("area"), F.col(category).alias("category"))
-        )
-    )
-    kind = f"array<struct<neg:bigint,area:{dict(df.dtypes)[area]},category:{dict(df.dtypes)[category]}>>"
-    chosen = F.aggregate(
-        ordered,
-        F.array().cast(kind),
-        lambda acc, x: F.when(
-            F.exists(acc, lambda y: (y["area"] == x["area"]) | (y["category"] == x["category"])),
-            acc,
-        ).otherwise(F.concat(acc, F.array(x))),
-    )
-    return (
-        pairs.agg(chosen.alias("chosen"))
-        .select(F.explode("chosen").alias("x"))
-        .select("x.area", "x.category", (-F.col("x.neg")).alias("n"))
-    )
+    left = materialised(count_by(df, [area, category]).toDF("area", "category", "n"), "pairs")
+    first = lambda by: Window.partitionBy(by).orderBy(F.desc("n"), "area", "category")
+    chosen = None
+    while not left.isEmpty():
+        ranked = left.withColumn("by_area", F.row_number().over(first("area")))
+        ranked = ranked.withColumn("by_category", F.row_number().over(first("category")))
+        taken = materialised(ranked.filter("by_area = 1 and by_category = 1").select("area", "category", "n"), "taken")
+        chosen = taken if chosen is None else chosen.unionByName(taken)
+        left = left.join(taken.select("area"), "area", "left_anti").join(taken.select("category"), "category", "left_anti")
+        left = materialised(left, "pairs")
+    return left if chosen is None else chosen

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatgrid.operators.ordered import rank_cut
@@ -16,16 +16,16 @@ TRAIN, TEST = "train", "test"
 def _boundary(df: DataFrame, order: str, ratio: float, by: Sequence[str]) -> DataFrame:
     """(by..., cut_ts, rank): the hour in which the cut falls and how many of its rows are train.
 
-    ``order`` is an hour key, so a group has at most 8,784 rows per year after counting.
+    ``order`` is an hour key, so a group has at most 8,784 rows per year after counting. Rows
+    without an hour come last, as one more hour; then ``cut_ts`` is NULL.
     """
     by = list(by)
-    upto = Window.partitionBy(*by).orderBy(order)
+    upto = Window.partitionBy(*by).orderBy(F.asc_nulls_last(order))
     whole = Window.partitionBy(*by)
     counted = (
         df.groupBy(*by, order)
         .agg(F.count("*").alias("n"))
         .withColumn("total", F.sum("n").over(whole))
-        .filter(F.col(order).isNotNull())
         .withColumn("upto", F.sum("n").over(upto))
         .withColumn("k", F.floor(F.col("total") * F.lit(float(ratio))))
     )
@@ -34,6 +34,21 @@ def _boundary(df: DataFrame, order: str, ratio: float, by: Sequence[str]) -> Dat
     ).select(*by, F.col(order).alias("cut_ts"), (F.col("k") - F.col("upto") + F.col("n")).alias("rank"))
 
 
+def _before(order: Column, cut: Column) -> Column:
+    """Whether an hour lies before the cut hour; every hour lies before a missing one."""
+    return F.coalesce(order < cut, order.isNotNull() & cut.isNull())
+
+
+def _check_cut(rows: DataFrame, ident: str, by: Sequence[str], targets: DataFrame, ids: DataFrame) -> None:
+    """Fail if ids repeat at a cut, where no exact split by id exists."""
+    by = list(by)
+    taken = rows.join(ids, by) if by else rows.join(F.broadcast(ids))
+    taken = taken.filter(F.col(ident) <= F.col("cut_id")).groupBy(*by).agg(F.count("*").alias("taken"))
+    wrong = (taken.join(targets, by) if by else taken.join(F.broadcast(targets))).filter("taken <> rank")
+    if wrong.limit(1).count():
+        raise ValueError(f"column {ident} repeats within an hour, so the rows there have no order to split by")
+
+
 def split_by_time(
     df: DataFrame,
     order: str = "hour_ts",
@@ -43,21 +58,24 @@ def split_by_time(
 ) -> DataFrame:
     """First floor(n * ratio) rows in time order are train; rows of the cut hour go by id.
 
-    The cut is found as two scalars, so the split itself is a projection whose filters
-    reach the scan.
+    Rows without an hour are the last ones. The cut is found as two scalars, so the split itself
+    is a projection whose filters reach the scan. The cut hour travels as text: a Python datetime
+    would be read in the driver's time zone. Ids that repeat at the cut are an error.
     """
     first, second = labels
-    edge = _boundary(df, order, ratio, ()).first()
+    kind = df.schema[order].dataType
+    edge = _boundary(df, order, ratio, ()).select(F.col("cut_ts").cast("string"), "rank").first()
     if edge is None:
         return df.withColumn("split", F.lit(second))
     spark = df.sparkSession
-    at_edge = F.col(order) == F.lit(edge["cut_ts"]).cast("timestamp_ntz")
+    cut = F.lit(edge["cut_ts"]).cast(kind)
+    at_edge = F.col(order).isNull() if edge["cut_ts"] is None else F.col(order) == cut
     target = spark.range(1).select(F.lit(edge["rank"]).cast("bigint").alias("rank"))
-    cut_id = rank_cut(df.filter(at_edge).select(ident), ident, target).first()["cut_id"]
-    is_first = (F.col(order) < F.lit(edge["cut_ts"]).cast("timestamp_ntz")) | (
-        at_edge & (F.col(ident) <= F.lit(cut_id))
-    )
-    return df.withColumn("split", F.when(is_first, first).otherwise(second))
+    rows = df.filter(at_edge).select(ident)
+    found = rank_cut(rows, ident, target)
+    _check_cut(rows, ident, (), target, found)
+    is_first = _before(F.col(order), cut) | (at_edge & (F.col(ident) <= F.lit(found.first()["cut_id"])))
+    return df.withColumn("split", F.when(F.coalesce(is_first, F.lit(False)), first).otherwise(second))
 
 
 def split_by_group(
@@ -75,14 +93,17 @@ def split_by_group(
     edges = materialised(_boundary(grouped, order, ratio, [by]), "edges")
     at_edge = (
         grouped.select(by, order, ident)
-        .join(edges.select(by, F.col("cut_ts").alias(order)), [by, order])
+        .join(edges.select(by, "cut_ts"), by)
+        .filter(F.col(order).eqNullSafe(F.col("cut_ts")))
         .select(by, ident)
     )
     ids = rank_cut(at_edge, ident, edges.select(by, "rank"), [by])
+    _check_cut(at_edge, ident, [by], edges.select(by, "rank"), ids)
     cuts = edges.select(by, "cut_ts").join(ids, by)
-    is_train = (F.col(order) < F.col("cut_ts")) | (
-        (F.col(order) == F.col("cut_ts")) & (F.col(ident) <= F.col("cut_id"))
+    is_train = _before(F.col(order), F.col("cut_ts")) | (
+        F.col(order).eqNullSafe(F.col("cut_ts")) & (F.col(ident) <= F.col("cut_id"))
     )
+    is_train = F.col("cut_id").isNotNull() & F.coalesce(is_train, F.lit(False))
     return (
         grouped.join(cuts, by, "left")
         .withColumn("split", F.when(is_train, TRAIN).otherwise(TEST))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from beatgrid.functions.numeric import chi2_upper_tail, normal_upper_tail
 from beatgrid.operators.ordered import bucket_edges, cumulative
+from beatgrid.sources.files import materialised
 
 
 def rank_sum(df: DataFrame, value: str, in_first: Column) -> DataFrame:
@@ -29,7 +30,8 @@ def rank_sum(df: DataFrame, value: str, in_first: Column) -> DataFrame:
             F.count("*").alias("n"),
         )
     )
-    ranked = cumulative(counted, "v", "n", bucket_edges(rows, ["v"])["v"])
+    counted = materialised(counted, "counted")
+    ranked = cumulative(counted, "v", "n", bucket_edges(counted, ["v"])["v"])
     n = F.col("n").cast("double")
     return ranked.agg(
         F.sum("n_a").alias("n1"),

@@ -16,9 +16,11 @@ ordinary window functions run on it.
 
 Incidents then find their position. The first s - 1 ids of an hour (*leading* rows) are a
 top-k that Spark limits before the shuffle. All later rows are settled: they need one row per
-(area, hour), a table that is small whenever many rows are settled. Both tables are written to
-the shared folder first, so Catalyst knows their real size when it chooses between a broadcast
-and a shuffle. Nothing is dropped or approximated.
+(area, hour). Both tables are written to the shared folder first. Area-hours with more than a
+1024th of all settled incidents, of which there are fewer than 1024 at any size, are joined by
+broadcast and so never shuffled; the others are shuffled and none of them is large. Nothing is
+dropped or approximated. Ids must be unique within an area-hour; a repeated one among the leading
+rows is an error.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 
 from beatgrid.config import HotspotParams
 from beatgrid.operators.grains import hour_cube
-from beatgrid.sources.files import read_part, scratch_path, write_table
+from beatgrid.operators.joins import join_unique
+from beatgrid.sources.files import materialised
 
 TRAIL_COLUMNS = [
     "rolling_mean",
@@ -124,16 +127,16 @@ def with_trail(
     places = (
         trail(cells, params)
         .join(leading_ids(incidents, last), [*key, "pos"])
-        .select(*key, "incident_id", *columns, (F.col("pos") == last).cast("int").alias("settled"))
+        .select(*key, "incident_id", *columns, "n_hour", "pos")
     )
-    spark = incidents.sparkSession
-    path = write_table(places, scratch_path(spark, "places"), by=("settled",))
-    schema = places.drop("settled").schema
-    leading = read_part(spark, f"{path}/settled=0", schema)
-    settled = read_part(spark, f"{path}/settled=1", schema)
-
-    bound = settled.withColumnRenamed("incident_id", "lead_max")
-    rows = incidents.join(bound, key, "left")
+    places = materialised(places, "places")
+    leading = places.filter(F.col("pos") < last).select(*key, "incident_id", *columns)
+    if leading.groupBy(*key, "incident_id").count().filter("count > 1").limit(1).count():
+        raise ValueError("incident_id repeats within an area and hour")
+    settled = places.filter(F.col("pos") == last)
+
+    bound = settled.withColumnRenamed("incident_id", "lead_max").drop("pos")
+    rows = join_unique(incidents, bound, key, "n_hour")
     is_settled = F.col("incident_id") > F.col("lead_max")
     late = rows.filter(is_settled).select(*incidents.columns, *columns)
     early = (

@@ -6,21 +6,21 @@ import tempfile
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where nothing is configured (tests on one machine) a temporary folder is set.
+    Only in a session on one machine a temporary folder is set where nothing is configured.
     """
     folder = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not folder:
         folder = spark.sparkContext.getCheckpointDir() or ""
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="beatgrid-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
@@ -66,17 +66,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", by: tuple[str, .
     return path
 
 
-def read_part(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One directory of a partitioned table, empty when nothing was written to it.
-
-    Read by its own path, so the planner sees the size of this part only.
-    """
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-
-
 def materialised(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives executor loss."""
     spark = df.sparkSession

@@ -244,7 +244,7 @@ oracle(
     "tk3_leading_trends",
     with_(
         OI,
-        CATEGORY_ROLL.format(rows=7, back=6),
+        CATEGORY_ROLL.format(rows=30, back=29),
         """
 sums as (select category, coalesce(sum(rolling_mean), 0) as trend_sum from rolled group by 1),
 placed as (
@@ -253,8 +253,8 @@ placed as (
 """,
     )
     + """select category, round(trend_sum, 4) as trend_sum, cast(ft as integer) as from_top,
-         cast(fb as integer) as from_bottom, cast(ft <= 2 as integer) as is_top,
-         cast(fb <= 2 as integer) as is_bottom from placed where ft <= 2 or fb <= 2""",
+         cast(fb as integer) as from_bottom, cast(ft <= 3 as integer) as is_top,
+         cast(fb <= 4 as integer) as is_bottom from placed where ft <= 3 or fb <= 4""",
 )
 oracle("tk4_series_order", with_(EV) + "select incident_id, area, hour_ts, category from ev")
 
@@ -542,7 +542,7 @@ oracle(
 )
 oracle(
     "wn13_rolling_by_category",
-    with_(OI, CATEGORY_ROLL.format(rows=7, back=6))
+    with_(OI, CATEGORY_ROLL.format(rows=30, back=29))
     + "select date, category, n, round(rolling_mean, 6) as rolling_mean from rolled where n is not null",
 )
 AREA_SPLIT = """

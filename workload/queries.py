@@ -226,8 +226,8 @@ def tk2(spark, sf_dir):
 
 @query("tk3_leading_trends")
 def tk3(spark, sf_dir):
-    rolled = profile.rolling_by_category(src.order_incidents(spark, sf_dir), rows=7)
-    return rounded(profile.leading_trends(rolled, "category", 2, 2), 4)
+    rolled = profile.rolling_by_category(src.order_incidents(spark, sf_dir))
+    return rounded(profile.leading_trends(rolled, "category"), 4)
 
 
 @query("tk4_series_order")
@@ -437,22 +437,18 @@ def ag7b(spark, sf_dir):
 @query("ag8_weekday_hour_pivot")
 def ag8(spark, sf_dir):
     df = _events(spark, sf_dir).withColumn("day_of_week", F.weekday("date"))
-    return profile.pivot_counts(df, "day_of_week", "hour", range(24), "h")
-
-
-# Categories of the stand-in tables, given so that pivots need no extra job.
-ORDER_CODES = ["F", "O", "P"]
+    return profile.pivot_counts(df, "day_of_week", "hour", "h", range(24))
 
 
 @query("ag9_cross_tab")
 def ag9(spark, sf_dir):
     df = src.order_incidents(spark, sf_dir)
-    return profile.pivot_counts(df, "category", "code", ORDER_CODES, "code_", fill=0)
+    return profile.pivot_counts(df, "category", "code", "code_", fill=0)
 
 
 @query("ag10_year_by_code")
 def ag10(spark, sf_dir):
-    return profile.pivot_counts(_order_parts(spark, sf_dir), "year", "code", ORDER_CODES, "code_", fill=0)
+    return profile.pivot_counts(_order_parts(spark, sf_dir), "year", "code", "code_", fill=0)
 
 
 @query("ag11_row_shares")
@@ -573,7 +569,7 @@ def wn12(spark, sf_dir):
 
 @query("wn13_rolling_by_category")
 def wn13(spark, sf_dir):
-    return rounded(profile.rolling_by_category(src.order_incidents(spark, sf_dir), rows=7))
+    return rounded(profile.rolling_by_category(src.order_incidents(spark, sf_dir)))
 
 
 @query("wn14_split_per_area")
@@ -916,8 +912,6 @@ def _votes(spark, sf_dir):
 def ml10(spark, sf_dir):
     wide = _votes(spark, sf_dir)
     weights = {"m1": 1.0, "m2": 2.0, "m3": 1.0}
-    soft = ev.vote(wide, weights, "soft").select(
-        "incident_id", F.col("score").alias("soft_score"), F.col("prediction").alias("soft_vote")
-    )
-    hard = ev.vote(wide, weights, "hard").select("incident_id", F.col("prediction").alias("hard_vote"))
-    return rounded(soft.join(hard, "incident_id"))
+    soft = ev.vote(wide, weights, "soft").withColumnsRenamed({"score": "soft_score", "prediction": "soft_vote"})
+    both = ev.vote(soft, weights, "hard").withColumnRenamed("prediction", "hard_vote")
+    return rounded(both.select("incident_id", "soft_score", "soft_vote", "hard_vote"))
