@@ -1,11 +1,13 @@
 """Jaccard self-join over word shingles by vertical partitioning.
 
-Shingles (64-bit hashes) have one global order, cut into four fragments by their leading bits; within
-the first fragment the ones that many documents share come last, otherwise hashes ascend. Two
-documents can only reach the threshold if they share a shingle in their prefixes. The overlap of such
-a candidate pair is counted fragment by fragment, each count on its own, and summed per pair. The
-first fragment, about a quarter of each set, is kept from the first pass; its count already rules
-most pairs out, and only the texts of the others are read again for the other fragments.
+Shingles (64-bit hashes) have one global order. First come those that no other document has: a pass
+over all texts leaves a table of bits in which every shingle of two documents is marked (and a few
+others by chance). The marked ones follow, cut into four fragments by their leading bits; within the
+first fragment the ones that many documents share come last, otherwise hashes ascend. Two documents
+can only reach the threshold if they share a shingle in their prefixes, so a document whose prefix is
+all its own has no link. The overlap of a candidate pair is counted fragment by fragment, each count
+on its own, and summed per pair. The first fragment, about a quarter of each set, is kept from the
+first pass; its count rules most pairs out, and only the texts of the others are read again.
 
 Documents of equal sets are one class. Groups of near copies are linked by a star first: in each
 prefix list the classes of other components are compared with one member of the list's largest
@@ -32,8 +34,12 @@ from beatgrid.sources.files import materialised
 #: least one may, which bounds the list of such shingles to a million.
 OFTEN, MOST_SHARED = 8, 1 << 20
 FRAGMENT_BITS = 2
+#: Bits of the table of shared shingles (32 MB), and shingles that a task sorts at a time.
+SHARED_BITS, FLUSH = 28, 3_000_000
 #: Hashes below this are in the first fragment (as signed numbers, those from 0 to here).
 FIRST = 1 << (64 - FRAGMENT_BITS)
+#: Stretches of the order, by leading bits, whose shared shingles are counted for each set.
+STRETCH_BITS = 5
 #: Words of the bit table that marks documents with candidates (64 bits each).
 MARK_WORDS = 1 << 18
 #: A class in more than this share of the pairs is spread over so many tasks.
@@ -72,66 +78,108 @@ class Sets:
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
 
 
-def _sets(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """(ident, n, cls, low): of each row, with the first fragment of its set and, where that is
-    shorter than the prefix, what else the prefix needs."""
+def _shared_bits(rows: DataFrame, size: int) -> np.ndarray:
+    """A bit for each value of the leading SHARED_BITS bits of a hash: set if two rows have a shingle
+    with these. Each task deals its shingles out by their leading bits, 32 bits each and packed; what
+    is dealt to one place is sorted, and repeated values set bits."""
+    parts = rows.rdd.getNumPartitions()
+    bits = min(SHARED_BITS - 6, max(6, (2 * parts - 1).bit_length()))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def dealt() -> pa.RecordBatch:
+            s, counts = np.unique(np.concatenate(held), return_counts=True)
+            s = np.repeat(s, np.minimum(counts, 2))  # twice is all that matters
+            edges = np.searchsorted(s, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+            low = ((s >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype("<u4")
+            values = [low[a:b].tobytes() for a, b in zip(edges, [*edges[1:], len(low)])]
+            return pa.RecordBatch.from_arrays([pa.array(np.arange(1 << bits, dtype=np.int32)), pa.array(values, pa.binary())], ["place", "packed"])
+
+        for batch in batches:
+            for piece in pieces(batch, 0):
+                held.append(Sets(piece.column(0), size).s)
+                n += len(held[-1])
+                if n >= FLUSH:
+                    yield dealt()
+                    held, n = [], 0
+        if n:
+            yield dealt()
+
+    def repeated(key: tuple, group: pa.Table) -> pa.Table:
+        values = np.sort(np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in group.column("packed")]))
+        twice = np.unique(values[1:][values[1:] == values[:-1]] >> np.uint32(32 - (SHARED_BITS - bits)))
+        marks = np.zeros(1 << (SHARED_BITS - bits), bool)
+        marks[twice] = True
+        packed = np.packbits(marks, bitorder="little").tobytes()
+        return pa.table({"place": pa.array([key[0].as_py()], pa.int32()), "marks": pa.array([packed], pa.binary())})
+
+    found = rows.select("t").mapInArrow(deal, "place int, packed binary").groupBy("place").applyInArrow(repeated, "place int, marks binary")
+    out = np.zeros((1 << bits, 1 << (SHARED_BITS - bits - 3)), np.uint8)
+    for row in found.toLocalIterator():
+        out[row.place] = np.frombuffer(bytes(row.marks), np.uint8)
+    return out.ravel()
+
+
+def _is_shared(bits: np.ndarray, s: np.ndarray) -> np.ndarray:
+    at = (s >> np.uint64(64 - SHARED_BITS)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _sets(rows: DataFrame, size: int, percent: int, shared) -> DataFrame:
+    """(ident, n, cls, m, parts, low): of each row, with the number m of shared shingles in its set, and
+    in each stretch of the order. low holds those in the first fragment and, where these are fewer,
+    what else the prefix needs; it is empty if the prefix has no shared shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for piece in pieces(batch):
                 sets = Sets(piece.column(1), size)
-                rank = np.arange(len(sets.s)) - sets.first[:-1][sets.row]
-                keep = (sets.s < np.uint64(FIRST)) | (rank < prefix_length(sets.n, percent)[sets.row])
+                some = _is_shared(bits, sets.s)
+                total = np.concatenate([[0], np.cumsum(some)])
+                m = total[sets.first[1:]] - total[sets.first[:-1]]
+                reach = m - (sets.n - prefix_length(sets.n, percent))  # shared shingles in the prefix
+                rank = total[:-1] - total[sets.first[:-1]][sets.row]
+                keep = some & (reach[sets.row] > 0) & ((sets.s < np.uint64(FIRST)) | (rank < reach[sets.row]))
+                cell = (sets.row[some] << STRETCH_BITS) + (sets.s[some] >> np.uint64(64 - STRETCH_BITS)).astype(np.int64)
+                parts = np.bincount(cell, minlength=piece.num_rows << STRETCH_BITS).astype(np.int32)
+                edges = (np.arange(piece.num_rows + 1) << STRETCH_BITS).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(sets.n, pa.int64()), pa.array(sets.classes()), sets.lists(keep)], ["ident", "n", "cls", "low"]
+                    [
+                        piece.column(0), pa.array(sets.n, pa.int64()), pa.array(sets.classes()), pa.array(m, pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(edges), pa.array(parts)), sets.lists(keep),
+                    ],
+                    ["ident", "n", "cls", "m", "parts", "low"],
                 )
 
     kind = rows.schema["ident"].dataType.simpleString()
-    return rows.mapInArrow(run, f"ident {kind}, n bigint, cls bigint, low array<bigint>")
+    return rows.mapInArrow(run, f"ident {kind}, n bigint, cls bigint, m bigint, parts array<int>, low array<bigint>")
 
 
 def _prefixes(sets: DataFrame, percent: int, often) -> DataFrame:
-    """(cls, n, prefix): the first shingles of each set in the global order."""
+    """(cls, n, m, parts, prefix): the shared shingles of each prefix, in the global order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = np.frombuffer(often.value, np.uint64)
         for batch in batches:
-            n = batch.column(1).to_numpy(zero_copy_only=False)
-            low = batch.column(2)
+            n, m = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
+            low = batch.column(4)
             s = low.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             sizes = np.asarray(low.value_lengths()).astype(np.int64)
             first, row = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes)), sizes)
             place = np.where(s < np.uint64(FIRST), 0, 2)
             if len(late) and len(s):
-                shared = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s
-                place = np.where(shared & (place == 0), 1, place)
+                hot = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s
+                place = np.where(hot & (place == 0), 1, place)
             order = np.argsort(3 * row + place, kind="stable")  # hashes ascend already
-            keep = np.arange(len(s)) - first[row] < prefix_length(n, percent)[row]
+            keep = np.arange(len(s)) - first[row] < (m - n + prefix_length(n, percent))[row]
             offsets = np.concatenate([[0], np.cumsum(np.bincount(row[keep], minlength=len(n)))]).astype(np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(s[order[keep]].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prefix], ["cls", "n", "prefix"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], prefix], ["cls", "n", "m", "parts", "prefix"])
 
-    return sets.select("cls", "n", "low").mapInArrow(run, "cls bigint, n bigint, prefix array<bigint>")
-
-
-def _entries(prefixes: DataFrame, marks) -> DataFrame:
-    """(cls, n, pos, s) of the prefix entries that the bit table marks as shared."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(marks.value, np.uint64)
-        for batch in batches:
-            prefix = batch.column(2)
-            s = prefix.flatten().to_numpy(zero_copy_only=False)
-            sizes = np.asarray(prefix.value_lengths()).astype(np.int64)
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            pos = np.arange(len(s)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            keep = np.flatnonzero(_marked(table, s))
-            at = pa.array(row[keep])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(pos[keep].astype(np.int32)), pa.array(s[keep])], ["cls", "n", "pos", "s"]
-            )
-
-    return prefixes.mapInArrow(run, "cls bigint, n bigint, pos int, s bigint")
+    rows = sets.select("cls", "n", "m", "parts", "low")
+    return rows.mapInArrow(run, "cls bigint, n bigint, m bigint, parts array<int>, prefix array<bigint>")
 
 
 def _segments(rows: DataFrame, size: int, shared) -> DataFrame:
@@ -196,7 +244,7 @@ def _met(pairs: DataFrame, parts: DataFrame, hot: DataFrame) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, rows: DataFrame, sets: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (x, y, nx, ny) that reach the threshold, as edges (a, b)."""
+    """The pairs (x, y, nx, ny, mx, my) that reach the threshold, as edges (a, b)."""
     spark = pairs.sparkSession
     total = pairs.count()
     hot = pairs.groupBy("y").count().filter(F.col("count") > max(1000, total // HOT_SHARE)).select("y", F.lit(True).alias("hot"))
@@ -212,7 +260,7 @@ def _linked(pairs: DataFrame, rows: DataFrame, sets: DataFrame, classes: DataFra
     first = first.select("cls", F.lit(0).alias("fragment"), inside.alias("part")).dropDuplicates(["cls"])
     both = _met(pairs, materialised(first, "first-fragment"), hot)
     both = both.withColumn("common", F.size(F.array_intersect("px", "py")))
-    most = F.col("common") + F.least(F.col("nx") - F.size("px"), F.col("ny") - F.size("py"))
+    most = F.col("common") + F.least(F.col("mx") - F.size("px"), F.col("my") - F.size("py"))
     both = both.filter(most * 100 >= (F.col("nx") + F.col("ny") - most) * percent)
     left = materialised(both.select("x", "y", "nx", "ny", "common"), "left")
 
@@ -236,7 +284,7 @@ def _with_components(entries: DataFrame, found: DataFrame) -> DataFrame:
 def _largest(entries: DataFrame) -> DataFrame:
     """(s, best, member, size): of each list with several components, the largest and a member of it,
     and the list's length."""
-    by = entries.groupBy("s", "comp").agg(F.count("*").alias("k"), F.max(F.struct("cls", "n", "pos")).alias("member"))
+    by = entries.groupBy("s", "comp").agg(F.count("*").alias("k"), F.max(F.struct("m", "cls", "n", "pos", "parts")).alias("member"))
     best = by.groupBy("s").agg(
         F.max(F.struct("k", "comp", "member")).alias("top"), F.sum("k").alias("size"), F.count("*").alias("comps")
     )
@@ -244,37 +292,46 @@ def _largest(entries: DataFrame) -> DataFrame:
     return materialised(best, "largest")
 
 
-def _possible(nx: Column, ny: Column, px: Column, py: Column, percent: int) -> Column:
-    """Sizes that the threshold allows, and enough shingles left from a first common one on."""
+def _possible(x: dict[str, Column], y: dict[str, Column], percent: int) -> Column:
+    """Sizes that the threshold allows, enough shared shingles from a first common one on, and enough
+    that can be common in all stretches together."""
+    nx, ny = x["n"], y["n"]
     asked = F.ceil((nx + ny) * percent / (100 + percent) - 1e-9)
-    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & (F.least(nx - px, ny - py) >= asked)
+    left = F.least(x["m"] - x["pos"], y["m"] - y["pos"])
+    most = F.aggregate(F.zip_with(x["parts"], y["parts"], lambda a, b: F.least(a, b)), F.lit(0), lambda a, b: a + b)
+    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & (left >= asked) & (most >= asked)
+
+
+def _columns(form: str) -> dict[str, Column]:
+    return {c: F.col(form.format(c)) for c in ("n", "m", "pos", "parts")}
 
 
 def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Each class outside its lists' largest components with the member that most of its lists name."""
     named = join_unique(entries, _largest(entries), "s", "size", "inner").filter("comp <> best")
-    named = named.filter(_possible(F.col("n"), F.col("member.n"), F.col("pos"), F.col("member.pos"), percent))
-    votes = named.groupBy(F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("member.cls").alias("y"), F.col("member.n").alias("ny")).agg(
-        F.count("*").alias("votes")
-    )
-    first = votes.groupBy("x", "nx").agg(F.max(F.struct("votes", "y", "ny")).alias("top"))
-    return first.select("x", F.col("top.y").alias("y"), "nx", F.col("top.ny").alias("ny"))
+    named = named.filter(_possible(_columns("{}"), _columns("member.{}"), percent))
+    keys = [F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("m").alias("mx")]
+    keys += [F.col("member.cls").alias("y"), F.col("member.n").alias("ny"), F.col("member.m").alias("my")]
+    votes = named.groupBy(*keys).agg(F.count("*").alias("votes"))
+    first = votes.groupBy("x", "nx", "mx").agg(F.max(F.struct("votes", "y", "ny", "my")).alias("top"))
+    return first.select("x", F.col("top.y").alias("y"), "nx", F.col("top.ny").alias("ny"), "mx", F.col("top.my").alias("my"))
 
 
 def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """All candidate pairs of two components."""
     lists = _largest(entries)
     inside = materialised(join_unique(entries, lists.drop("member"), "s", "size", "inner"), "lists")
-    outer = inside.filter("comp <> best").select("s", *[F.col(c).alias(f"{c}_x") for c in ("cls", "n", "pos", "comp")])
+    outer = inside.filter("comp <> best").select("s", *[F.col(c).alias(f"{c}_x") for c in ("cls", "n", "m", "pos", "parts", "comp")])
     pairs = outer.join(inside.withColumn("outer", F.col("comp") != F.col("best")), "s").filter(
         "comp <> comp_x and (not outer or cls > cls_x)"
     )
-    nx, ny = F.col("n_x"), F.col("n")
-    pairs = pairs.filter(_possible(nx, ny, F.col("pos_x"), F.col("pos"), percent))
+    pairs = pairs.filter(_possible(_columns("{}_x"), _columns("{}"), percent))
+    one, two = (F.struct(*[F.col(c.format(k)).alias(k) for k in ("cls", "n", "m")]) for c in ("{}_x", "{}"))
+    pairs = pairs.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
     return pairs.select(
-        F.least("cls_x", "cls").alias("x"), F.greatest("cls_x", "cls").alias("y"),
-        F.when(F.col("cls_x") < F.col("cls"), nx).otherwise(ny).alias("nx"), F.when(F.col("cls_x") < F.col("cls"), ny).otherwise(nx).alias("ny"),
-    ).distinct()
+        F.col("a.cls").alias("x"), F.col("b.cls").alias("y"), F.col("a.n").alias("nx"), F.col("b.n").alias("ny"),
+        F.col("a.m").alias("mx"), F.col("b.m").alias("my"),
+    )
 
 
 def join_documents(
@@ -296,7 +353,8 @@ def join_documents(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(ident).alias("ident"), F.col(text).cast("string").alias("t"))
-    sets = materialised(_sets(rows, size, percent), "sets")
+    shared = spark.sparkContext.broadcast(_shared_bits(rows, size).tobytes())
+    sets = materialised(_sets(rows, size, percent, shared), "sets")
     classes = materialised(sets.filter("n > 0").groupBy("cls").agg(F.min("ident").alias("least"), F.first("n").alias("n"), F.count("*").alias("rows")), "classes")
 
     entries = sets.select(F.explode("low").alias("s")).filter((F.col("s") >= 0) & (F.col("s") < FIRST // 2))
@@ -305,12 +363,11 @@ def join_documents(
     often = entries.groupBy("s").count().filter(F.col("count") > bound).select("s").toPandas()["s"]  # MOST_SHARED rows at most
     often = spark.sparkContext.broadcast(np.sort(often.to_numpy(np.int64).view(np.uint64)).tobytes())
 
-    prefixes = _prefixes(sets.filter("n > 0"), percent, often).groupBy("cls")
-    prefixes = materialised(prefixes.agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "prefixes")
-    lists = prefixes.select(F.explode("prefix").alias("s")).groupBy("s").agg(F.count("*").alias("size"))
-    lists = materialised(lists.filter("size > 1"), "lists")
-    marks = spark.sparkContext.broadcast(_mark_table(lists.select(F.col("s").alias("key"))).tobytes())
-    entries = materialised(join_unique(_entries(prefixes, marks), lists, "s", "size", "inner").drop("size"), "entries")
+    prefixes = _prefixes(sets.filter(F.size("low") > 0), percent, often).groupBy("cls")
+    prefixes = materialised(prefixes.agg(*[F.first(c).alias(c) for c in ("n", "m", "parts", "prefix")]), "prefixes")
+    entries = prefixes.select("cls", "n", "m", "parts", F.posexplode("prefix").alias("pos", "s"))
+    lists = materialised(entries.groupBy("s").agg(F.count("*").alias("size")).filter("size > 1"), "lists")
+    entries = materialised(join_unique(entries, lists, "s", "size", "inner").drop("size"), "entries")
 
     links, found = None, spark.createDataFrame([], "cls bigint, comp bigint")
     for k in range(stars + 1):

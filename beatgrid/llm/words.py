@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95
 #: Bytes whose powers are kept at a time.
-_SPAN = 1 << 21
+_SPAN = 1 << 18
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
