@@ -74,6 +74,23 @@ def order_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather-like readings per (area, date, hour) from the events that are no clicks; hours with
+    clicks only have none. Whole cents, so that the mean does not depend on the row order."""
+    rows = table(spark, sf_dir, "events").filter(F.col("event_type") != "click")
+    return (
+        rows.groupBy(
+            (F.col("user_id") % 21).cast("int").alias("area"),
+            F.to_date("ts").alias("date"),
+            F.hour("ts").alias("hour"),
+        )
+        .agg(F.count("*").alias("n"), F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("cents"))
+        .select(
+            "area", "date", "hour", (F.expr("cents div n") / 100).alias("temp"), F.col("n").cast("double").alias("wspeed")
+        )
+    )
+
+
 def ship_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather-like readings per (area, date) from shipments of the area's suppliers.
 

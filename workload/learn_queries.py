@@ -1,7 +1,7 @@
 """Training, tuning, resampling and scoring as queries over the given tables.
 
-Fits use small settings here so that a check stays short; the library defaults are the
-published ones. All rows of the tables take part.
+Fits use the published inputs, settings, draws and folds, but for the exhaustive grid search
+(see ``ml9``). All rows of the tables take part.
 """
 
 from __future__ import annotations
@@ -12,29 +12,28 @@ from pyspark.sql import functions as F
 from beatgrid.learn import anomaly, evaluate, importance, prep, resample, score, train
 from beatgrid.operators import splits
 from beatgrid.plans import features
+from beatgrid.config import WeatherParams
 from beatgrid.sources import files
-from workload.queries import _event_features, query, rounded, snake
+from beatgrid.sources import stand_ins as src
+from workload.queries import _event_features, _events, query, rounded, snake
 
 LABEL = features.LABEL
-# the numeric model inputs that exist without weather
-INPUT = [c for c in features.MODEL_INPUT if c not in ("Temp", "Wspeed")]
-SMALL_FOREST = {"numTrees": 10, "maxDepth": 6}
-SMALL_BOOST = {"maxIter": 8, "maxDepth": 3}
-
-_tables: dict[tuple[str, str], str] = {}
+INPUT = list(features.MODEL_INPUT)
+BY_HOUR = WeatherParams(keys=("area", "date", "hour"))
 
 
 def model_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model rows with an 80 / 20 time split, written once per session and folder.
+    """Model rows with weather and an 80 / 20 time split.
 
     Fits read their input many times, so they start from a written table.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _tables:
-        rows = files.materialised(features.model_rows(_event_features(spark, sf_dir)), "model-rows")
-        parts = splits.split_by_time(rows, order="Datetime_Key")
-        _tables[key] = files.write_split(parts, files.scratch_path(spark, "model-split"))
-    return files.read_table(spark, _tables[key])
+    base = _events(spark, sf_dir).select("incident_id", "area", "date", "hour", "category")
+    full = features.engineer(
+        base, src.event_population(spark, sf_dir), src.event_weather(spark, sf_dir), weather_params=BY_HOUR
+    )
+    rows = files.materialised(features.model_rows(full), "model-rows")
+    parts = splits.split_by_time(rows, order="Datetime_Key")
+    return files.read_table(spark, files.write_split(parts, files.scratch_path(spark, "model-split")))
 
 
 def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -49,11 +48,11 @@ def _metrics_of(model, test: DataFrame) -> DataFrame:
     return evaluate.compare_models(result).drop("model")
 
 
-def _fit_query(name: str, family: str, settings: dict, use_smote: bool = False) -> None:
+def _fit_query(name: str, family: str, use_smote: bool = False) -> None:
     @query(name)
     def run(spark, sf_dir):
         fit_on, test = halves(spark, sf_dir)
-        return _metrics_of(train.train(fit_on, INPUT, LABEL, family, use_smote, settings), test)
+        return _metrics_of(train.train(fit_on, INPUT, LABEL, family, use_smote), test)
 
 
 # ------------------------------------------------------------------ preparation
@@ -83,21 +82,21 @@ def ml1(spark, sf_dir):
     return balanced.groupBy(LABEL, "is_synthetic").agg(F.count("*").alias("n"))
 
 
-_fit_query("ml2_random_forest", "random_forest", SMALL_FOREST)
-_fit_query("ml2b_random_forest_smote", "random_forest", SMALL_FOREST, use_smote=True)
-_fit_query("ml3_boosted_weighted", "xgboost", SMALL_BOOST)
-_fit_query("ml4_boosted_early_stop", "catboost", SMALL_BOOST)
-_fit_query("ml4b_boosted_class_weights", "catboost_weighted", SMALL_BOOST)
-_fit_query("ml5_extra_trees", "extra_trees", SMALL_FOREST)
-_fit_query("ml6_balanced_forest", "balanced_random_forest", SMALL_FOREST)
+_fit_query("ml2_random_forest", "random_forest")
+_fit_query("ml2b_random_forest_smote", "random_forest", use_smote=True)
+_fit_query("ml3_boosted_weighted", "xgboost")
+_fit_query("ml4_boosted_early_stop", "catboost")
+_fit_query("ml4b_boosted_class_weights", "catboost_weighted")
+_fit_query("ml5_extra_trees", "extra_trees")
+_fit_query("ml6_balanced_forest", "balanced_random_forest")
 
 
 @query("ml7_model_dispatch")
 def ml7(spark, sf_dir):
     fit_on, test = halves(spark, sf_dir)
     out = None
-    for family, settings in (("random_forest", SMALL_FOREST), ("xgboost", SMALL_BOOST)):
-        model = train.train(fit_on, INPUT, LABEL, family, overrides=settings)
+    for family in train.available():
+        model = train.train(fit_on, INPUT, LABEL, family)
         part = _metrics_of(model, test).withColumn("model", F.lit(family))
         out = part if out is None else out.unionByName(part)
     return out
@@ -106,16 +105,17 @@ def ml7(spark, sf_dir):
 @query("ml8_random_search")
 def ml8(spark, sf_dir):
     fit_on, _ = halves(spark, sf_dir)
-    ranges = {"numTrees": [5, 10], "maxDepth": [4, 6], "minInstancesPerNode": [2, 4]}
-    found = train.random_search(fit_on, INPUT, LABEL, "random_forest", draws=3, folds=3, ranges=ranges)
+    found = train.random_search(fit_on, INPUT, LABEL, "random_forest")
     return train.search_results(found, fit_on)
 
 
 @query("ml9_grid_search")
 def ml9(spark, sf_dir):
+    """The published grid of 24 points but for its number of trees, 20 and 40 here for 100 and 200:
+    120 fits of the published size take hours on one machine."""
     fit_on, _ = halves(spark, sf_dir)
-    grid = {"numTrees": [5], "maxDepth": [4, 6], "impurity": ["gini", "entropy"]}
-    found = train.grid_search(fit_on, INPUT, LABEL, "random_forest", folds=3, grid=grid)
+    grid = {**train.SEARCH_GRIDS["random_forest"], "numTrees": [20, 40], "maxDepth": [20, 10, 15]}
+    found = train.grid_search(fit_on, INPUT, LABEL, "random_forest", grid=grid)
     return train.search_results(found, fit_on)
 
 
@@ -123,8 +123,8 @@ def ml9(spark, sf_dir):
 def ml10b(spark, sf_dir):
     fit_on, test = halves(spark, sf_dir)
     models = {
-        "forest": train.train(fit_on, INPUT, LABEL, "random_forest", overrides=SMALL_FOREST),
-        "boosted": train.train(fit_on, INPUT, LABEL, "xgboost", overrides=SMALL_BOOST),
+        "forest": train.train(fit_on, INPUT, LABEL, "random_forest"),
+        "boosted": train.train(fit_on, INPUT, LABEL, "xgboost"),
     }
     voted = train.vote_models(models, train.vectors(test, INPUT), {"forest": 2.0, "boosted": 1.0})
     return evaluate.metrics(voted.withColumn("label", F.col(LABEL)))
@@ -133,9 +133,7 @@ def ml10b(spark, sf_dir):
 @query("ml11_stacking")
 def ml11(spark, sf_dir):
     fit_on, test = halves(spark, sf_dir)
-    model = train.stack(
-        fit_on, INPUT, LABEL, {"random_forest": SMALL_FOREST, "xgboost": SMALL_BOOST}, folds=3
-    )
+    model = train.stack(fit_on, INPUT, LABEL, {"random_forest": {}, "xgboost": {}})
     return _metrics_of(model, test)
 
 
@@ -183,8 +181,8 @@ def ml13(spark, sf_dir):
     fit_on = train.prepared(encoded.filter(F.col("split") == "train"), "xgboost", LABEL)
     test = encoded.filter(F.col("split") == "test")
     out = None
-    for family, settings in (("random_forest", SMALL_FOREST), ("xgboost", SMALL_BOOST)):
-        learner = train.estimator(family, LABEL, settings).fit(fit_on)
+    for family in ("random_forest", "xgboost"):
+        learner = train.estimator(family, LABEL).fit(fit_on)
         part = evaluate.metrics(train.scored(learner, test, LABEL)).withColumn("model", F.lit(family))
         out = part if out is None else out.unionByName(part)
     return out
@@ -193,15 +191,13 @@ def ml13(spark, sf_dir):
 @query("ml14_refit_on_top")
 def ml14(spark, sf_dir):
     fit_on, test = halves(spark, sf_dir)
-    first = train.train(fit_on, INPUT, LABEL, "random_forest", overrides=SMALL_FOREST)
-    return _metrics_of(
-        train.refit_on_top(fit_on, INPUT, LABEL, first, overrides=SMALL_FOREST), test
-    )
+    first = train.train(fit_on, INPUT, LABEL, "random_forest")
+    return _metrics_of(train.refit_on_top(fit_on, INPUT, LABEL, first), test)
 
 
 def _forest(spark, sf_dir):
     fit_on, test = halves(spark, sf_dir)
-    return train.train(fit_on, INPUT, LABEL, "random_forest", overrides=SMALL_FOREST), test
+    return train.train(fit_on, INPUT, LABEL, "random_forest"), test
 
 
 @query("tk5_top_features")
@@ -223,8 +219,7 @@ def ev6(spark, sf_dir):
     return importance.permutation_importance(model, test, INPUT, LABEL)
 
 
-@query("ev11_batch_scoring")
-def ev11(spark, sf_dir):
+def _batch_scored(spark, sf_dir):
     model, test = _forest(spark, sf_dir)
     model_path = score.save(score.scoring_chain(model, INPUT), files.scratch_path(spark, "model"))
     plain = test.select(
@@ -238,4 +233,47 @@ def ev11(spark, sf_dir):
             "incident_id", F.lit(fmt).alias("format"), "prediction", "probability_0", "probability_1"
         )
         out = part if out is None else out.unionByName(part)
-    return snake(out)
+    return out
+
+
+@query("ev11_batch_scoring")
+def ev11(spark, sf_dir):
+    return snake(_batch_scored(spark, sf_dir))
+
+
+@query("ev11b_scoring_checks")
+def ev11b(spark, sf_dir):
+    """Per format: rows scored, rows whose probabilities sum to one, rows both formats agree on."""
+    out = files.materialised(_batch_scored(spark, sf_dir), "scored")
+    other = out.select("incident_id", F.when(F.col("format") == "json", "csv").otherwise("json").alias("format"), F.col("probability_1").alias("p"))
+    sums = F.abs(F.col("probability_0") + F.col("probability_1") - 1) < 1e-9
+    return out.join(other, ["incident_id", "format"]).groupBy("format").agg(
+        F.count("*").alias("n_rows"), F.count_if(sums).alias("n_sums"), F.count_if(F.abs(F.col("p") - F.col("probability_1")) < 1e-9).alias("n_agree")
+    )
+
+
+@query("ml7b_family_checks")
+def ml7b(spark, sf_dir):
+    """Per family: test rows scored, positive ones, scores between 0 and 1, and whether positive rows
+    score higher than the others on average."""
+    fit_on, test = halves(spark, sf_dir)
+    out = None
+    for family in train.available():
+        result = train.scored(train.train(fit_on, INPUT, LABEL, family), train.vectors(test, INPUT), LABEL)
+        part = result.groupBy(F.lit(family).alias("model")).agg(
+            F.count("*").alias("n_rows"), F.sum(F.col("label").cast("bigint")).alias("n_positive"), F.count_if((F.col("score") >= 0) & (F.col("score") <= 1)).alias("n_in_range"),
+            (F.avg(F.when(F.col("label") == 1, F.col("score"))) > F.avg(F.when(F.col("label") == 0, F.col("score")))).alias("separates"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("ev5b_importance_sums")
+def ev5b(spark, sf_dir):
+    """Importances sum to one over all inputs, each in its group."""
+    model, test = _forest(spark, sf_dir)
+    table = train.importance_by_group(train.importance_table(model, test, INPUT), features.FEATURE_GROUPS)
+    counts = test.agg(F.count("*").alias("n_test"))
+    return table.agg(
+        F.count("*").alias("n_features"), F.round(F.sum("importance"), 6).alias("total"), F.min(F.col("importance") >= 0).alias("none_negative")
+    ).join(F.broadcast(counts))

@@ -1040,3 +1040,50 @@ oracle(
          cast(value > (select quantile_cont(value, 0.8) from trail where is_hourly_hot = 0) as integer) as is_anomaly
          from trail""",
 )
+
+# ------------------------------------------------------------------ what a fit does not decide
+oracle(
+    "st4b_stratified_sizes",
+    with_(EV_TRAIL)
+    + """, c as (select is_hourly_hot, count(*) as n from trail group by 1)
+    select is_hourly_hot, 'train' as split, n - cast(ceil(n * 0.2) as bigint) as n from c where n - ceil(n * 0.2) > 0
+    union all select is_hourly_hot, 'test', cast(ceil(n * 0.2) as bigint) from c where n > 0""",
+)
+# the model rows with weather by area and hour, and their time split
+_LEARN_SQL = {**MODEL_SQL, "temp": "temp", "wspeed": "wspeed"}
+LEARN = (
+    EV_FEATURES
+    + f""", reading as (
+      select cast(user_id % 21 as integer) as area, cast(ts as date) as date, cast(hour(ts) as integer) as hour,
+             sum(cast(round(value * 100) as bigint)) // count(*) / 100 as t0, cast(count(*) as double) as w0
+      from events where event_type <> 'click' group by 1, 2, 3),
+    every as (select t.*, r.t0, r.w0 from feat t left join reading r using (area, date, hour)),
+    middle as (select quantile_cont(t0, 0.5) as mt, quantile_cont(w0, 0.5) as mw from every),
+    filled as (select every.*, coalesce(t0, mt) as temp, coalesce(w0, mw) as wspeed from every, middle),
+    m as (select min(incident_id) as incident_id, {_model(_LEARN_SQL)} from filled group by all),
+    placed as (select *, row_number() over (order by datetime_key, incident_id) as rn, count(*) over () as total from m),
+    test as (select * from placed where rn > floor(total * 0.8)),
+    fit as (select * from placed where rn <= floor(total * 0.8)) """
+)
+oracle(
+    "ml1_smote",
+    LEARN
+    + """, c as (select is_hourly_hotspot, count(*) as n from fit group by 1)
+    select is_hourly_hotspot, false as is_synthetic, n from c
+    union all select is_hourly_hotspot, true, (select max(n) - min(n) from c) from c
+    where n < (select max(n) from c)""",
+)
+oracle(
+    "ev11b_scoring_checks",
+    LEARN + "select f as format, count(*) as n_rows, count(*) as n_sums, count(*) as n_agree from test, (values ('json'), ('csv')) x(f) group by 1",
+)
+oracle(
+    "ml7b_family_checks",
+    LEARN
+    + """select f as model, count(*) as n_rows, cast(sum(is_hourly_hotspot) as bigint) as n_positive, count(*) as n_in_range, true as separates
+    from test, (values ('balanced_random_forest'), ('catboost'), ('catboost_weighted'), ('extra_trees'), ('random_forest'), ('xgboost')) x(f) group by 1""",
+)
+oracle(
+    "ev5b_importance_sums",
+    LEARN + "select cast(15 as bigint) as n_features, 1.0::double as total, true as none_negative, count(*) as n_test from test",
+)

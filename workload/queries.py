@@ -700,6 +700,13 @@ def st4(spark, sf_dir):
     return splits.split_stratified(flagged, "is_hourly_hot")
 
 
+@query("st4b_stratified_sizes")
+def st4b(spark, sf_dir):
+    flagged = _hourly_hot(spark, sf_dir).select("incident_id", "is_hourly_hot")
+    parts = splits.split_stratified(flagged, "is_hourly_hot")
+    return parts.groupBy("is_hourly_hot", "split").agg(F.count("*").alias("n"))
+
+
 @query("st5_features_target")
 def st5(spark, sf_dir):
     table = _event_model_table(spark, sf_dir, features.CORRELATED)
