@@ -91,6 +91,51 @@ def event_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents of two large areas with one hour a month: many rows in each area-hour. One incident
+    per order and line number, as these repeat in the table."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber")
+    lines = lines.agg(F.min("l_suppkey").alias("supplier"), F.min("l_shipdate").alias("shipped"))
+    return lines.select(
+        (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("incident_id"),
+        (F.col("supplier") % 2).cast("int").alias("area"),
+        F.to_date(F.date_trunc("month", "shipped")).alias("date"),
+        F.date_trunc("month", "shipped").cast("timestamp_ntz").alias("hour_ts"),
+    )
+
+
+def line_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        table(spark, sf_dir, "lineitem")
+        .groupBy((F.col("l_suppkey") % 2).cast("int").alias("area"))
+        .agg((F.count_distinct("l_suppkey") * 1000).alias("population"))
+    )
+
+
+def order_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather-like readings per incident id, in the raw layout; cut to four digits."""
+    return (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_orderkey").alias("DR_NO"))
+        .agg(
+            F.count("*").alias("n"),
+            F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
+            F.sum(F.round(F.col("l_discount") * 100).cast("bigint")).alias("discount"),
+        )
+        .select(
+            "DR_NO",
+            (F.expr("quantity * 10000 div n") / 10000).cast("string").alias("Temp"),
+            (F.expr("discount * 100 div n") / 10000).cast("string").alias("Wspeed"),
+        )
+    )
+
+
+def named_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg((F.count("*") * 1000).alias("population"))
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", F.upper("n_name").alias("area"))
+    return customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("area", "population")
+
+
 def ship_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather-like readings per (area, date) from shipments of the area's suppliers.
 

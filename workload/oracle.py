@@ -1087,3 +1087,40 @@ oracle(
     "ev5b_importance_sums",
     LEARN + "select cast(15 as bigint) as n_features, 1.0::double as total, true as none_negative, count(*) as n_test from test",
 )
+
+# ------------------------------------------------------------------ crowded hours, the whole processing run
+_LINES = """
+ev as (
+  select l_orderkey * 1000 + l_linenumber as incident_id, cast(min(l_suppkey) % 2 as integer) as area,
+         date_trunc('month', min(l_shipdate))::timestamp as hour_ts from lineitem group by l_orderkey, l_linenumber),
+ev_pop as (
+  select cast(l_suppkey % 2 as integer) as area, count(distinct l_suppkey) * 1000 as population from lineitem group by 1)
+"""
+oracle(
+    "wn4b_crowded_hours",
+    with_(EV_TRAIL.replace(EV, _LINES))
+    + """select incident_id, area, round(hourly_rate, 6) as hourly_rate, is_hourly_hot, round(rolling_mean, 6) as rolling_mean,
+         round(rate_last_row, 6) as rate_last_row, round(rate_last_6_sum, 6) as rate_last_6_sum, was_hourly_hot_last_row from trail""",
+)
+_REPORTS = f"""
+ev as (
+  select dr_no as incident_id, upper(area_name) as area, cast(occurred as date) as date,
+         cast(cast(occurred as date) as timestamp) + to_hours(time_occ // 100) as hour_ts
+  from (select *, {PARSED.format('date_occ')} as occurred from raw)
+  where coalesce(vict_sex, 'X') <> '-' and premis_cd is not null and status is not null and year(occurred) <= 2000),
+ev_pop as (
+  select upper(n_name) as area, count(*) * 1000 as population from customer join nation on c_nationkey = n_nationkey group by 1)
+"""
+oracle(
+    "ds6_processing_run",
+    with_(RAW, EV_TRAIL.replace(EV, _REPORTS), EV_SPLIT.format(src="trail"))
+    + """, reading as (
+      select l_orderkey as incident_id, (cast(sum(cast(l_quantity as bigint)) as bigint) * 10000 // count(*)) / 10000 as t0,
+             (cast(sum(cast(round(l_discount * 100) as bigint)) as bigint) * 100 // count(*)) / 10000 as w0
+      from lineitem group by 1),
+    every as (select h.*, t0, w0 from halves h left join reading using (incident_id)),
+    middle as (select median(t0) as mt, median(w0) as mw from every)
+    select split, is_hourly_hot as is_hourly_hotspot, count(*) as n_rows, cast(COLUMNS_HERE as integer) as n_features,
+           round(avg(coalesce(t0, mt)), 4) as temp, round(avg(coalesce(w0, mw)), 4) as wspeed
+    from every, middle group by 1, 2""".replace("COLUMNS_HERE", str(len([c for c in MODEL_SQL if c not in DROPPED]) + 2)),
+)

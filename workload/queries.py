@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from beatgrid import dimensions
 from beatgrid.config import CleaningParams, HotspotParams, WeatherParams
 from beatgrid.functions import calendar as cal
 from beatgrid.functions import encode
@@ -922,3 +923,30 @@ def ml10(spark, sf_dir):
     soft = ev.vote(wide, weights, "soft").withColumnsRenamed({"score": "soft_score", "prediction": "soft_vote"})
     both = ev.vote(soft, weights, "hard").withColumnRenamed("prediction", "hard_vote")
     return rounded(both.select("incident_id", "soft_score", "soft_vote", "hard_vote"))
+
+
+# ------------------------------------------------------------------ crowded hours, the whole processing run
+
+
+@query("wn4b_crowded_hours")
+def wn4b(spark, sf_dir):
+    out = incident_trail(src.line_incidents(spark, sf_dir), src.line_population(spark, sf_dir))
+    cols = ["incident_id", "area", "hourly_rate", "is_hourly_hot", "rolling_mean", "rate_last_row", "rate_last_6_sum"]
+    return rounded(out.select(*cols, "was_hourly_hot_last_row"))
+
+
+@query("ds6_processing_run")
+def ds6(spark, sf_dir):
+    """Raw reports and weather -> clean -> tidy -> features -> split -> sink, and its metadata."""
+    cleaned = cleaning.clean_reports(src.raw_reports(spark, sf_dir), CleaningParams(max_year=2000))
+    tidy = raw_incidents.tidy(cleaned, dimensions.offence_groups(spark))
+    weather = raw_incidents.tidy_weather(cleaning.clean_weather(src.order_weather(spark, sf_dir)))
+    full = features.engineer(
+        tidy.select("incident_id", "area", "date", "hour"), src.named_population(spark, sf_dir), weather
+    )
+    rows = files.materialised(features.model_table(full, keep=["incident_id"]), "rows")
+    path = files.write_split(splits.split_by_time(rows, order="Datetime_Key"), files.scratch_path(spark, "dataset"))
+    written = files.read_table(spark, path)
+    about = files.split_metadata(written, features.LABEL).select("split", features.LABEL, "n_rows", "n_features")
+    means = written.groupBy("split", features.LABEL).agg(F.avg("Temp").alias("temp"), F.avg("Wspeed").alias("wspeed"))
+    return rounded(about.join(means, ["split", features.LABEL]), 4)
