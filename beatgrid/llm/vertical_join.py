@@ -34,8 +34,8 @@ from beatgrid.sources.files import materialised
 #: least one may, which bounds the list of such shingles to a million.
 OFTEN, MOST_SHARED = 8, 1 << 20
 FRAGMENT_BITS = 2
-#: Bits of the table of shared shingles (32 MB), and shingles that a task sorts at a time.
-SHARED_BITS, FLUSH = 28, 3_000_000
+#: Bits of the table of shared shingles (16 MB), and shingles that a task sorts at a time.
+SHARED_BITS, FLUSH = 27, 2_000_000
 #: Hashes below this are in the first fragment (as signed numbers, those from 0 to here).
 FIRST = 1 << (64 - FRAGMENT_BITS)
 #: Stretches of the order, by leading bits, whose shared shingles are counted for each set.
