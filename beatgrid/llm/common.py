@@ -17,6 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(owner: str, beside: tuple[str, ...] = ()) -> dict:
+    """What a worker keeps from task to task for one operator. Python workers outlive a query, so the
+    caches of all other operators, but those named in ``beside``, are given up."""
+    for name in list(_CACHES):
+        if name != owner and name not in beside:
+            _CACHES.pop(name).clear()
+    return _CACHES.setdefault(owner, {})
+
+
 def pieces(batch: pa.RecordBatch, text: int = 1, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts (column ``text``) hold about ``limit`` bytes, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatgrid.llm.common import pieces, texts_of
+from beatgrid.llm.common import pieces, texts_of, worker_cache
 from beatgrid.llm.tokens import HashTable, PieceCoder, coder, per_text, pieces_of, vocabulary
 from beatgrid.llm.words import hashes
 
@@ -121,22 +121,20 @@ def count_tokens(
     )
 
 
-_FIRST: dict[str, tuple[HashTable, np.ndarray]] = {}
-
-
 def _two_tiers(path, shared):
     """The lookup of a task; the hash table stays with the worker."""
     name = uuid.uuid4().hex
 
     def make():
-        if name not in _FIRST:
-            _FIRST.clear()
+        tables = worker_cache("token counts", ("tokens",))
+        if name not in tables:
+            tables.clear()
             keys, lengths = (np.frombuffer(x, kind) for x, kind in zip(shared.value, (np.uint64, np.uint16)))
             table = HashTable(max(1, len(keys)))
             keys, at = np.unique(keys, return_index=True)
             table.add(keys)
-            _FIRST[name] = table, lengths[at].astype(np.int64)
-        table, known = _FIRST[name]
+            tables[name] = table, lengths[at].astype(np.int64)
+        table, known = tables[name]
         second = coder(path)
 
         def handle(texts: pa.Array) -> np.ndarray:

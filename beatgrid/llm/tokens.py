@@ -15,6 +15,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
+from beatgrid.llm.common import worker_cache
 from beatgrid.llm.words import Words, hashes, rule, split
 
 #: A worker's table starts anew beyond so many pieces or ids.
@@ -31,9 +32,6 @@ _LETTER[ord("a") : ord("z") + 1] = True
 _MARK = np.zeros(256, bool)
 _MARK[[ord("."), ord(",")]] = True
 
-_CODERS: dict[str, "PieceCoder"] = {}
-
-
 def pieces_of(texts: pa.Array) -> Words:
     """The pieces of each text. A-Z are lower-cased, which the vocabulary would do, and a full stop
     or comma that follows a letter at the end of a piece is a piece of its own."""
@@ -176,9 +174,10 @@ def per_text(lengths: np.ndarray, words: Words) -> np.ndarray:
 
 def coder(path: str) -> PieceCoder:
     """This worker's coder for a vocabulary file; it outlives the task."""
-    if path not in _CODERS:
-        _CODERS[path] = PieceCoder(path)
-    return _CODERS[path]
+    coders = worker_cache("tokens", ("token counts",))
+    if path not in coders:
+        coders[path] = PieceCoder(path)
+    return coders[path]
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:

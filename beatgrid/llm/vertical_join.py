@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beatgrid.llm.common import join_unique, pieces
+from beatgrid.llm.common import join_unique, pieces, worker_cache
 from beatgrid.llm.graph import components
 from beatgrid.llm.words import SPACED, shingles, split
 from beatgrid.sources.files import materialised
@@ -35,7 +35,7 @@ from beatgrid.sources.files import materialised
 OFTEN, MOST_SHARED = 8, 1 << 20
 FRAGMENT_BITS = 2
 #: Bits of the table of shared shingles (16 MB), and shingles that a task sorts at a time.
-SHARED_BITS, FLUSH = 27, 2_000_000
+SHARED_BITS, FLUSH = 27, 1_000_000
 #: Hashes below this are in the first fragment (as signed numbers, those from 0 to here).
 FIRST = 1 << (64 - FRAGMENT_BITS)
 #: Stretches of the order, by leading bits, whose shared shingles are counted for each set.
@@ -86,6 +86,7 @@ def _shared_bits(rows: DataFrame, size: int) -> np.ndarray:
     bits = min(SHARED_BITS - 6, max(6, (2 * parts - 1).bit_length()))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("join")  # other operators' caches go
         held, n = [], 0
 
         def dealt() -> pa.RecordBatch:
