@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 
+# The published hotspot defaults.
 @dataclass(frozen=True)
 class HotspotParams:
     z_threshold: float = 1.5
@@ -14,6 +15,7 @@ class HotspotParams:
     z_digits: int = 9  # z is rounded before the threshold so equal inputs decide equally
 
 
+# The published cleaning defaults.
 @dataclass(frozen=True)
 class CleaningParams:
     drop: tuple[str, ...] = ("Crm Cd 1", "Crm Cd 2", "Crm Cd 3", "Crm Cd 4", "Cross Street")

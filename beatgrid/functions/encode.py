@@ -61,4 +61,4 @@ def with_category(
     ``categories`` is the fixed offence list (139 rows), so it is sent to every task.
     """
     right = categories.select(F.col(key).alias(offence), "category")
-    return df.join(F.broadcast(right), offence, "left")
+    return df.join(right, offence, "left")
