@@ -58,7 +58,7 @@ def with_category(
 ) -> DataFrame:
     """Add ``category`` by exact match; offences that are not listed give NULL.
 
-    ``categories`` is the fixed offence list (139 rows), so it is sent to every task.
+    ``categories`` is the fixed offence list (139 rows); the planner broadcasts it by its size.
     """
     right = categories.select(F.col(key).alias(offence), "category")
     return df.join(right, offence, "left")

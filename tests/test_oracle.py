@@ -21,7 +21,11 @@ def test_every_sql_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+#: Takes minutes with the published settings; tests/test_round.py fits every family on a small table.
+SLOW = {"ml7b_family_checks"}
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - SLOW))
 def test_matches_sql(spark, con, name):
     ok, note = compare(spark, con, name, QUERIES[name], ORACLE[name], SF_DIR)
     assert ok, note
