@@ -157,11 +157,12 @@ def test_group_limit_runs_before_the_exchange(spark):
 
 
 def test_settled_rows_are_not_shuffled(spark):
-    """The incident rows only meet small broadcast tables."""
+    """The incident rows only meet small broadcast tables: crowded hours, other hours and leading ids,
+    in both branches."""
     df = incidents(spark, [("a", 0, 500), ("a", 1, 400)])
     path = files.write_table(df, files.scratch_path(spark, "rows"))
     plan = plan_of(incident_trail(spark.read.parquet(path), population(spark, ["a"])))
-    assert plan.count("BroadcastHashJoin") == 3
+    assert plan.count("BroadcastHashJoin") >= 3 and "SortMergeJoin" not in plan
     assert "Exchange hashpartitioning" not in plan
 
 
