@@ -341,7 +341,7 @@ def join_documents(
     text: str = "text",
     size: int = 3,
     percent: int = 90,
-    stars: int = 1,
+    stars: int = 2,
 ) -> DataFrame:
     """(ident, n_shingles, component_id), one row per row of ``docs``.
 
