@@ -371,11 +371,11 @@ def join_documents(
     entries = materialised(join_unique(entries, lists, "s", "size", "inner").drop("size"), "entries")
 
     links, found = None, spark.createDataFrame([], "cls bigint, comp bigint")
-    for k in range(stars + 1):
+    for ask in [_star_pairs] * stars + [_cross_pairs]:
         placed = materialised(_with_components(entries, found), "placed")
-        pairs = materialised((_star_pairs if k < stars else _cross_pairs)(placed, percent), "pairs")
+        pairs = materialised(ask(placed, percent), "pairs")
         if pairs.isEmpty():
-            break  # no list holds two components any more
+            continue  # a list whose chosen member is out of the question may still hold other links
         more = materialised(_linked(pairs, rows, sets, classes, size, percent), "links")
         links = more if links is None else links.unionByName(more)
         if not more.isEmpty():

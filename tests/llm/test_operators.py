@@ -192,6 +192,14 @@ def test_jaccard_join_of_chains_and_common_passages(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == plain.jaccard_components(dict(data), 3, 80)
 
 
+def test_jaccard_join_when_no_list_names_a_possible_partner(spark):
+    for seed in (0, 1, 6, 11):
+        w = words(random.Random(seed), 16).split(" ")
+        data = {i: " ".join(w[: n + 2]) for i, n in enumerate((9, 10, 12, 14))}
+        got = vertical_join.join_documents(spark.createDataFrame(list(data.items()), "doc_id long, text string"))
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == plain.jaccard_components(data, 3, 90), seed
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(0)
     data = [(i, [float(np.float32(x)) for x in rng.normal(size=4).round(1)]) for i in range(200)]
