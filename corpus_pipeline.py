@@ -12,7 +12,7 @@ from beatgrid.sources.files import materialised
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity stays under the threshold of their language."""
-    model = kneser_ney.fit(docs, table(spark, sf_dir, "labels"))
+    model = kneser_ney.fit(docs, table(spark, sf_dir, "labels"), whole=True)
     return model.judged(model.perplexities(docs, docs.columns)).filter("_keep").select(docs.columns)
 
 

@@ -281,6 +281,20 @@ def test_quality_without_labels_or_documents(docs, nothing):
     assert kneser_ney.classify(nothing, nothing).count() == 0
 
 
+def test_quality_of_repeated_and_shuffled_words(spark):
+    """Labelled rows with one word over and over are told apart, and the order of words is seen."""
+    rng = random.Random(4)
+    good = [" ".join(rng.choice(["ab cde fa.", "bcd eff ga.", "dad gab be."]) for _ in range(30)) for _ in range(60)]
+    bad = [f"{rng.choice(t.split())} " * 60 for t in good]
+    turned = [" ".join(reversed(t.split())) for t in good[:3]]
+    data = [(i, t, "xx" if i % 2 else "yy") for i, t in enumerate([*good, *bad, *turned])]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i < 60), 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    result = {r.doc_id: r for r in kneser_ney.classify(docs, labels, whole=True, min_trusted=20).collect()}
+    assert all(result[i].keep for i in range(60)) and not any(result[i].keep for i in range(60, 120))
+    assert all(result[120 + i].perplexity > 1.5 * result[i].perplexity for i in range(3))
+
+
 def test_archives(spark, nothing):
     long, short = "é" + "x" * 1500, "y" * 300
     pages = [(1, "http://a/ü b", long), (2, "http://b", long), (3, None, long), (4, "u", short), (5, "u", short), (6, "u", None), (7, "u", ""), (None, "u", long), (3, "v", long), (9, "w", "z\r\n\r\n" * 400)]
