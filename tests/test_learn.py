@@ -187,3 +187,18 @@ def test_round_trip_keeps_awkward_text(spark, fmt):
 def test_unknown_format(spark):
     with pytest.raises(ValueError):
         files.read_table(spark, "/tmp/none", "xml")
+
+
+def test_grid_search_query_has_the_published_points(spark, data, monkeypatch):
+    from workload import learn_queries
+
+    seen = []
+    monkeypatch.setattr(learn_queries, "INPUT", X)
+    monkeypatch.setattr(learn_queries, "LABEL", "y")
+    monkeypatch.setattr(learn_queries, "halves", lambda *_: (data, data))
+    monkeypatch.setattr(train, "_search", lambda df, learner, grid, *_: seen.extend(grid))
+    monkeypatch.setattr(train, "search_results", lambda *_: None)
+    learn_queries.ml9(spark, "")
+    points = [{p.name: v for p, v in point.items()} for point in seen]
+    assert len(points) == 24
+    assert all({p[name] for p in points} == set(values) for name, values in train.SEARCH_GRIDS["random_forest"].items())

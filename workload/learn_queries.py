@@ -1,7 +1,6 @@
 """Training, tuning, resampling and scoring as queries over the given tables.
 
-Fits use the published inputs, settings, draws and folds, but for the exhaustive grid search
-(see ``ml9``). All rows of the tables take part.
+Fits use the published inputs, settings, grids, draws and folds. All rows of the tables take part.
 """
 
 from __future__ import annotations
@@ -111,11 +110,8 @@ def ml8(spark, sf_dir):
 
 @query("ml9_grid_search")
 def ml9(spark, sf_dir):
-    """The published grid of 24 points but for its number of trees, 10 and 20 here for 100 and 200:
-    120 fits of the published size take hours on one machine."""
     fit_on, _ = halves(spark, sf_dir)
-    grid = {**train.SEARCH_GRIDS["random_forest"], "numTrees": [10, 20], "maxDepth": [20, 10, 15]}
-    found = train.grid_search(fit_on, INPUT, LABEL, "random_forest", grid=grid)
+    found = train.grid_search(fit_on, INPUT, LABEL, "random_forest")
     return train.search_results(found, fit_on)
 
 
