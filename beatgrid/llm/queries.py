@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatgrid.llm import block_search, kneser_ney, lm_scoring, packing, pii, token_counts, token_files, vertical_join, warc, wu_manber
+from beatgrid.llm import (
+    block_search,
+    fill_middle,
+    kneser_ney,
+    line_dedup,
+    lm_scoring,
+    packing,
+    pii,
+    resampling,
+    token_counts,
+    token_files,
+    vertical_join,
+    warc,
+    wu_manber,
+)
 from beatgrid.llm.common import table
 
 
@@ -51,6 +65,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.transform(table(spark, sf_dir, "documents"), output=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_language_model": op2_language_model,
@@ -62,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 #: SQL of the same results, where SQL can express them.
@@ -114,4 +144,67 @@ ORACLE: dict[str, str] = {
             case when keep <> p.page_id then keep end as refers_to
         from p left join k on p.payload_digest = k.payload_digest and p.payload_bytes >= 1000
     """,
+    "op11_importance_resampling": r"""
+        with steps as (select unnest(range(256))::bigint as v),
+        codes as (  -- the crc of one byte
+            select list(list_reduce([v, 1, 2, 3, 4, 5, 6, 7, 8],
+                lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) order by v) as code from steps),
+        texts as (
+            select doc_id as id, false as wanted, text from documents union all select null, true, text from benchmark),
+        split as (
+            select row_number() over () as r, id, wanted, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from texts),
+        used as (select r, wanted, word, count(*) as n from (select r, wanted, unnest(w) as word from split) group by all),
+        bytes as (
+            select word, list_transform(range(0, strlen(word)), lambda k: ('0x' || substr(hex(encode(word)), 2 * k + 1, 2))::bigint) as b
+            from (select distinct word from used)),
+        hashed as (
+            select word, xor(list_reduce(list_prepend(4294967295::bigint, b), lambda c, x: xor(c // 256, code[xor(c % 256, x) + 1])), 4294967295) % 10000 as bucket
+            from bytes, codes),
+        found as (select r, wanted, bucket, sum(n)::bigint as n from used join hashed using (word) group by all),
+        totals as (
+            select bucket, coalesce(sum(n) filter (not wanted), 0)::double as s, coalesce(sum(n) filter (wanted), 0)::double as t from found group by bucket),
+        gain as (
+            select bucket, floor(1000 * ln((t + 1) * ((select sum(s) from totals) + 10000) / ((s + 1) * ((select sum(t) from totals) + 10000))))::bigint as g
+            from totals),
+        weights as (select r, floor(sum(n * g)::double / sum(n))::bigint as weight from found join gain using (bucket) where not wanted group by r),
+        scored as (
+            select id as doc_id, len(w)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+                coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(id::varchar, '')), 1, 8))::bigint + 0.5) / 4294967296::double)))::bigint as score
+            from split left join weights using (r) where not wanted),
+        ranks as (
+            select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n from scored where n_features >= 20)
+        select doc_id, n_features, weight, score, case when place <= n * 10 // 100 then place end::bigint as rank
+        from scored left join ranks using (doc_id)
+    """,
+    "op12_line_dedup": r"""
+        with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+        l as (
+            select doc_id, pos, lines[pos] as line, translate(trim(lines[pos], concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+            from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as pos from d)),
+        k as (select key, max(doc_id) as keeper from l where length(key) >= 20 group by key having count(distinct doc_id) >= 3)
+        select doc_id, count(*) as n_lines, count(*) filter (keeper <> doc_id) as n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) order by pos) filter (keeper is null or keeper = doc_id), '')) as kept_sha256
+        from l left join k using (key) group by doc_id
+    """,
+    "op13_fill_in_middle": r"""
+        with d as (
+            select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as t,
+                sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents),
+        c as (
+            select *, len(t)::bigint as n, ('0x' || h[1:8])::bigint % (len(t) + 1) as a, ('0x' || h[9:16])::bigint % (len(t) + 1) as b,
+                case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or ('0x' || h[17:24])::bigint % 100 >= 90 then 'plain'
+                    when ('0x' || h[25:32])::bigint % 100 < 20 then 'spm' else 'psm' end as form from d),
+        p as (
+            select *, array_to_string(t[1 : least(a, b)], '') as one, array_to_string(t[least(a, b) + 1 : greatest(a, b)], '') as two,
+                array_to_string(t[greatest(a, b) + 1 :], '') as three from c)
+        select doc_id, n, form, case when form <> 'plain' then length(one) end::bigint as prefix_chars,
+            case when form <> 'plain' then length(two) end::bigint as middle_chars,
+            sha256(case form when 'plain' then text when 'psm' then '<P>' || one || '<S>' || three || '<M>' || two
+                else '<S>' || three || '<P>' || one || '<M>' || two end) as output_sha256,
+            sha256(text) as restored_sha256
+        from p
+    """,
 }
