@@ -78,7 +78,8 @@ def keep_bitmaps(docs: DataFrame, ident: str = "doc_id", text: str = "text", min
     one with the largest id only, there with all its lines. Rows with one id are one document; a null id
     counts as an id below all others.
     """
-    lines = line_keys(docs, ident, text, min_chars)
+    # read for the sketch, for the bounds of the ranges and to be dealt out: texts are cut once
+    lines = materialised(line_keys(docs, ident, text, min_chars), "line-keys")
     hot = hot_hashes(lines)
     is_hot = F.col("h1").isin(hot)
     gone = _streamed(lines.filter(~is_hot) if hot else lines, min_docs)
