@@ -154,3 +154,60 @@ def kneser_ney(train: list[str], texts: list[str], order: int, discounts) -> lis
         logs = [math.log(p(g)) for g in grams(t)]
         out.append(math.exp(-sum(logs) / len(logs)) if logs else None)
     return out
+
+
+def resampled(docs: list[tuple], target: list, least: int, most: int, buckets: int, share: int, min_words: int, seed: int) -> list[tuple]:
+    """(id, features, weight, score, rank) of each document."""
+
+    def codes(text):
+        w = alnum(text)
+        return [zlib.crc32(" ".join(w[i : i + n]).encode()) % buckets for n in range(least, most + 1) for i in range(len(w) - n + 1)]
+
+    s, t = Counter(c for _, x in docs for c in codes(x)), Counter(c for x in target for c in codes(x))
+    gain = {
+        b: math.floor(1000 * math.log((t[b] + 1) * (s.total() + buckets) / ((s[b] + 1) * (t.total() + buckets)))) for b in range(buckets)
+    }
+    rows = []
+    for i, text in docs:
+        c = codes(text)
+        weight = sum(gain[b] for b in c) // len(c) if c else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        rows.append((i, len(c), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), len(alnum(text))))
+    able = sorted((r for r in rows if r[4] >= min_words), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1]))
+    ranks = defaultdict(list)
+    for k, r in enumerate(able):
+        ranks[r].append(k + 1 if k < len(able) * share // 100 else None)
+    return [(*r[:4], ranks[r].pop() if r in ranks and r[4] >= min_words else None) for r in rows]
+
+
+def without_shared_lines(docs: list[tuple], min_chars: int, min_docs: int) -> list[tuple]:
+    """(id, lines, dropped, kept text) of each document."""
+
+    def key(line):
+        return lower(line.strip("\x20\x09\x0a\x0b\x0c\x0d"))
+
+    holders = defaultdict(set)
+    for i, text in docs:
+        for line in (text or "").split("\n"):
+            holders[key(line)].add(-1 if i is None else i)
+    out = []
+    for i, text in docs:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if len(key(x)) < min_chars or len(holders[key(x)]) < min_docs or max(holders[key(x)]) == (-1 if i is None else i)]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def filled(ident, text: str | None, seed: int, rate: int, spm: int) -> tuple:
+    """(tokens, form, prefix length, middle length, output) of one document."""
+    text = text or ""
+    t = re.findall("[A-Za-z]+|[^A-Za-z]", text)
+    digest = hashlib.sha256(f"{seed}:{'' if ident is None else ident}".encode()).hexdigest()
+    h = [int(digest[k : k + 8], 16) for k in (0, 8, 16, 24)]
+    if not text or re.search("<[PSM]>", text) or h[2] % 100 >= rate:
+        return len(t), "plain", None, None, text
+    a, b = sorted((h[0] % (len(t) + 1), h[1] % (len(t) + 1)))
+    p, m, s = "".join(t[:a]), "".join(t[a:b]), "".join(t[b:])
+    if h[3] % 100 < spm:
+        return len(t), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(t), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
