@@ -138,21 +138,33 @@ class _Inflated:
 
     def __init__(self, source):
         self.source, self.gz = source, zlib.decompressobj(GZIP)
+        self.begun = self.ended = False
         self.held = bytearray()
 
+    def _raw(self) -> bytes:
+        """The next compressed bytes; empty at the end of the file. Zeros between members are padding."""
+        raw = self.gz.unconsumed_tail
+        if self.gz.eof:  # what follows the member is in unused_data, whatever the tail holds
+            raw, self.gz, self.begun = self.gz.unused_data.lstrip(b"\0"), zlib.decompressobj(GZIP), False
+        while not raw and not self.ended:
+            raw = self.source.read(CHUNK)
+            self.ended = not raw
+            if not self.begun:
+                raw = raw.lstrip(b"\0")
+        return raw
+
     def _more(self) -> bool:
         while True:
-            raw = self.gz.unconsumed_tail
-            if not raw and self.gz.eof:
-                raw, self.gz = self.gz.unused_data, zlib.decompressobj(GZIP)
-            if not raw:
-                raw = self.source.read(CHUNK)
-                if not raw:
-                    return False
+            raw = self._raw()
+            if not raw and not self.begun:
+                return False
+            self.begun = True
             data = self.gz.decompress(raw, CHUNK)
             if data:
                 self.held += data
                 return True
+            if not raw and not self.gz.eof:
+                raise ValueError("an archive ends within a member")
 
     def head(self) -> bytes | None:
         """Up to the next empty line, or None at the end."""

@@ -328,6 +328,33 @@ def test_normaliser_reads_plain_members_and_long_records(tmp_path):
         warc.normalise_file(source, target)
 
 
+@pytest.mark.parametrize("chunk", [1, 2, 3, 7, 61, 250, 1000, 1 << 20])
+def test_normaliser_at_every_read_boundary(tmp_path, monkeypatch, chunk):
+    """Members of one, several and parts of records, empty members, padding; and every kind of cut."""
+    import gzip
+    import json
+
+    monkeypatch.setattr(warc, "CHUNK", chunk)
+    records = [warc.record(i, "u", bytes([i]) * n, hashlib.sha1(bytes([i])).hexdigest(), "response", None) for i, n in enumerate((5, 900, 0, 2500, 40))]
+    half = len(records[3]) // 2
+    members = [records[0] + records[1], b"", records[2] + records[3][:half], records[3][half:], records[4]]
+    source, target = str(tmp_path / "a.warc.gz"), str(tmp_path / "b.warc.gz")
+    packed = [gzip.compress(m) for m in members]
+    for pad in (b"", b"\0" * 300):
+        with open(source, "wb") as out:
+            out.write(b"".join(m + pad for m in packed))
+        assert warc.normalise_file(source, target)[0] == 5
+        raw = open(target, "rb").read()
+        entries = [json.loads(x) for x in open(target + ".idx")]
+        assert [gzip.decompress(raw[e["offset"] : e["offset"] + e["length"]]) for e in entries] == records
+    whole = b"".join(packed)
+    for cut in (len(whole) - 1, len(whole) - 8, len(whole) - len(packed[-1]) - 3, len(packed[0]) - 9, 5):
+        with open(source, "wb") as out:
+            out.write(whole[:cut])
+        with pytest.raises(ValueError):
+            warc.normalise_file(source, target)
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(3)
     good = [words(rng, 80) for _ in range(30)]
