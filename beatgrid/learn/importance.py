@@ -8,7 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from beatgrid.learn.resample import uniform
+from beatgrid.functions.draws import draw, uniform
 from beatgrid.sources.files import materialised
 
 def permutation_importance(
@@ -31,14 +31,14 @@ def permutation_importance(
     values = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in features])
     rows = test.select(ident, F.col(label).cast("int").alias("label"), values.alias("x"))
     if sample_rows is not None:
-        rows = rows.orderBy(F.xxhash64(F.col(ident), F.lit(seed))).limit(sample_rows)
+        rows = rows.orderBy(draw(F.col(ident), seed)).limit(sample_rows)
     rows = materialised(rows, "rows")
     ranges = int(test.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     repeated = rows.withColumn("repeat", F.explode(F.array(*[F.lit(r) for r in range(repeats)])))
 
     def placed(df: DataFrame, side: int) -> DataFrame:
-        draw = uniform(F.col(ident), F.col("repeat"), F.lit(seed + side))
-        spread = df.withColumn("draw", draw).withColumn("range", F.floor(F.col("draw") * ranges))
+        lot = uniform(F.col(ident), F.col("repeat"), seed + side)
+        spread = df.withColumn("draw", lot).withColumn("range", F.floor(F.col("draw") * ranges))
         upto = Window.partitionBy("repeat").orderBy("range")  # one row per range
         sizes = spread.groupBy("repeat", "range").agg(F.count("*").alias("n"))
         sizes = sizes.select("repeat", "range", (F.sum("n").over(upto) - F.col("n")).alias("before"))

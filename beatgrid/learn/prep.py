@@ -10,6 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from beatgrid.functions.draws import fold
+
 
 def numeric(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(f"`{c}`").cast("double") for c in features})
@@ -46,4 +48,4 @@ def min_max_scaled(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def fold_column(ident: str, folds: int, seed: int = 42):
     """Fold number of a row by its id, equal in every run."""
-    return F.pmod(F.xxhash64(F.col(ident), F.lit(seed)), F.lit(folds)).cast("int")
+    return fold(F.col(ident), folds, seed)

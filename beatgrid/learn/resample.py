@@ -4,18 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from beatgrid.functions.draws import draw, uniform
 from beatgrid.learn.neighbours import nearest
 from beatgrid.operators.ordered import rank_cut
 
 
-def uniform(*parts: Column) -> Column:
-    """Number in [0, 1) that depends on nothing but its arguments, so reruns agree."""
-    return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(2**53))
-
-
 def class_sizes(df: DataFrame, label: str) -> dict[int, int]:
     return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
 
@@ -43,7 +39,7 @@ def smote(
     minority = (
         df.filter(F.col(label) == small)
         .select(ident, F.array(*[F.col(f"`{c}`").cast("double") for c in features]).alias("point"))
-        .withColumn("draw", F.shiftrightunsigned(F.xxhash64(F.col(ident), F.lit(seed)), 2))
+        .withColumn("draw", draw(F.col(ident), seed))
     )
     each, rest = divmod(n_new, n_small)
     copies = F.lit(each)
@@ -63,10 +59,10 @@ def smote(
         .withColumn(
             "pick",
             F.floor(
-                uniform(F.col(ident), F.col("copy"), F.lit(seed)) * F.size("neighbours")
+                uniform(F.col(ident), F.col("copy"), seed) * F.size("neighbours")
             ).cast("int"),
         )
-        .withColumn("u", uniform(F.col(ident), F.col("copy"), F.lit(seed + 1)))
+        .withColumn("u", uniform(F.col(ident), F.col("copy"), seed + 1))
         .withColumn("other", F.coalesce(F.get("neighbours", F.col("pick")), F.col("point")))
     )
     moved = F.zip_with("point", "other", lambda a, b: a + F.col("u") * (b - a))
@@ -86,5 +82,5 @@ def undersample(
     sizes = class_sizes(df, label)
     small = min(sizes, key=lambda c: (sizes[c], c))
     keep = sizes[small] / max(sizes.values())
-    drawn = uniform(F.col(ident), F.lit(seed), F.lit(bag)) < keep
+    drawn = uniform(F.col(ident), seed, bag) < keep
     return df.filter((F.col(label) == small) | drawn)

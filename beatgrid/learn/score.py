@@ -6,15 +6,18 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beatgrid.learn.nodes import Trees
 from beatgrid.learn.prep import assembler, numeric
+from beatgrid.learn.singles import NodeModel
 from beatgrid.learn.train import BaggedModel, StackedModel, VotingModel
-from beatgrid.sources.files import read_table
+from beatgrid.sources.files import read_table, write_table
 
 
 @dataclass
@@ -48,6 +51,10 @@ def _write(spark: SparkSession, model, path: str) -> None:
     elif isinstance(model, VotingModel):
         parts = model.members
         _describe(spark, path, kind="voting", parts=list(parts), weights=model.weights, voting=model.voting)
+    elif isinstance(model, NodeModel):
+        parts = {}
+        _describe(spark, path, kind="nodes", importances=list(model.featureImportances))
+        write_table(spark.createDataFrame(model.trees.table()), f"{path}/nodes")
     elif isinstance(model, StackedModel):
         parts = {**model.bases, "meta learner": model.meta}
         _describe(spark, path, kind="stacked", parts=list(model.bases))
@@ -64,6 +71,8 @@ def _read(spark: SparkSession, path: str):
     part = lambda name: _read(spark, f"{path}/{name.replace(' ', '-')}")
     if about["kind"] == "single":
         return DefaultParamsReader.loadParamsInstance(f"{path}/model", spark)
+    if about["kind"] == "nodes":
+        return NodeModel(Trees.of(read_table(spark, f"{path}/nodes")), np.array(about["importances"]))
     parts = {name: part(name) for name in about["parts"]}
     if about["kind"] == "bagged":
         return BaggedModel(list(parts.values()))

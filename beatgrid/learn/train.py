@@ -5,26 +5,32 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from beatgrid.learn import nodes, singles
 from beatgrid.learn.prep import assembler, fold_column, numeric
 from beatgrid.learn.resample import smote, undersample
+from beatgrid.sources.files import materialised
 
 SEED = 42
 
+#: Deeper forests keep each row's node from level to level instead of walking there from the root.
+NODE_ID_DEPTH = 10
+
 # Published baseline settings per family.
 BASELINES: dict[str, dict] = {
     "random_forest": {"numTrees": 30, "maxDepth": 10, "minInstancesPerNode": 2},
@@ -86,15 +92,15 @@ def _boosted(params: Mapping, label: str) -> GBTClassifier:
 FAMILIES: dict[str, Callable[[Mapping, str], Estimator]] = {
     "random_forest": _forest,
     "xgboost": lambda p, y: _boosted(p, y).setWeightCol("weight"),
-    # stops when the held-out rows no longer gain
-    "catboost": lambda p, y: _boosted(p, y).setValidationIndicatorCol("held_out"),
-    "catboost_weighted": lambda p, y: _boosted(p, y)
-    .setValidationIndicatorCol("held_out")
-    .setWeightCol("weight"),
-    # whole sample per tree, a random feature subset per node
+    # these two are cut at the best round, see ``train_with_patience``
+    "catboost": _boosted,
+    "catboost_weighted": lambda p, y: _boosted(p, y).setWeightCol("weight"),
+    # inside a search or a stack, where one fit serves all trees; ``train`` grows them one by one
     "extra_trees": lambda p, y: _forest(p, y).setBootstrap(False).setFeatureSubsetStrategy("sqrt"),
     "balanced_random_forest": _forest,
 }
+# Rounds without a better F1 after which boosting ends.
+PATIENCE = {"catboost": 20, "catboost_weighted": 20}
 
 
 def available() -> list[str]:
@@ -174,27 +180,73 @@ def train(
     use_smote: bool = False,
     overrides: Mapping | None = None,
     ident: str = "incident_id",
-    bags: int = 5,
+    evaluation: DataFrame | None = None,
 ):
     """Fit one family by name on a table of plain feature columns.
 
-    The two ``catboost`` families stop early: a tenth of the rows, chosen by a hash of the id, is
-    held out and boosting ends when those no longer gain. ``balanced_random_forest`` draws one
-    balanced sample for each of ``bags`` forests, which share the trees among them.
+    The two ``catboost`` families stop early (``train_with_patience``). ``extra_trees`` draws the cut
+    points of every tree at random and ``balanced_random_forest`` a balanced sample for every tree.
     """
     learner = estimator(family, label, overrides)  # an unknown name fails before any work
+    if family in PATIENCE:
+        return train_with_patience(train_df, features, label, family, evaluation, PATIENCE[family], use_smote, overrides, ident).model
     if use_smote:
         train_df = smote(train_df, features, label, ident)
     data = prepared(vectors(train_df, features), family, label, ident)
-    if family != "balanced_random_forest":
-        return learner.fit(data)
-    trees = learner.getNumTrees()
-    members = []
-    for bag in range(min(bags, trees)):
-        share = trees // bags + (1 if bag < trees % bags else 0)
-        sample = undersample(data, label, ident, bag)
-        members.append(learner.copy({learner.numTrees: share, learner.seed: SEED + bag}).fit(sample))
-    return BaggedModel(members)
+    settings = {**BASELINES[family], **(overrides or {})}
+    if family == "extra_trees":
+        return singles.extra_trees(data, label, settings, SEED, _packed)
+    if family == "balanced_random_forest":
+        return singles.balanced_forest(data, label, settings, ident, SEED, _packed)
+    return learner.fit(data)
+
+
+@dataclass
+class PatientFit:
+    """A boosted model cut at its best round, with the F1 of every round on the evaluation rows."""
+
+    model: Model
+    scores: list[float]
+    best: int
+    stopped: int
+    n_fit: int
+    n_evaluation: int
+
+
+def train_with_patience(
+    train_df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    family: str = "catboost",
+    evaluation: DataFrame | None = None,
+    patience: int = 20,
+    use_smote: bool = False,
+    overrides: Mapping | None = None,
+    ident: str = "incident_id",
+) -> PatientFit:
+    """Boosting that ends when ``patience`` rounds bring no better F1 on the evaluation rows, and keeps
+    the rounds up to the best one.
+
+    Without ``evaluation`` a tenth of the rows, chosen by id, is held out for it; synthetic rows are made
+    from the others only. All rounds are fitted at once and scored in one pass, since Spark's boosting
+    cannot go on from a model; rounds after the end do not change the result. Without any evaluation
+    row all rounds stay.
+    """
+    learner = estimator(family, label, overrides)
+    if evaluation is None:
+        out = fold_column(ident, 10, SEED + 7) == 0
+        train_df, evaluation = train_df.filter(~out), train_df.filter(out)
+    if use_smote:
+        train_df = smote(train_df, features, label, ident)
+    data = materialised(prepared(vectors(train_df, features), family, label, ident).select("features", label, ident, "weight"), "boosted-rows")
+    spark = data.sparkSession
+    model = learner.fit(_packed(data))
+    curve = nodes.boosting_curve(nodes.Trees.of(nodes.node_table(model, spark)), vectors(evaluation, features), label)
+    curve = curve.filter(F.col("n") > 0).orderBy("round").collect()  # one row a round
+    scores = [r["f1"] for r in curve]
+    best, stopped = nodes.best_round(scores, patience) if scores else (len(model.treeWeights),) * 2
+    cut = model if best == len(model.treeWeights) else nodes.first_rounds(model, best, spark)
+    return PatientFit(cut, scores, best, stopped, data.count(), curve[0]["n"] if curve else 0)
 
 
 def param_grid(learner: Estimator, values: Mapping[str, Sequence]) -> list[dict]:
@@ -205,34 +257,155 @@ def param_grid(learner: Estimator, values: Mapping[str, Sequence]) -> list[dict]
     ]
 
 
-def f1_evaluator(label: str) -> MulticlassClassificationEvaluator:
-    return MulticlassClassificationEvaluator(
-        labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0
-    )
+#: Rows of one partition when a table is fitted to.
+FIT_ROWS = 50_000
+
+
+def fold_tables(
+    train_df: DataFrame, features: Sequence[str], label: str, folds: int, ident: str, resample: str | None = None
+) -> list[tuple[DataFrame, DataFrame]]:
+    """(rows to fit on, held rows) of each fold as vectors, staged.
+
+    ``resample`` balances the classes of each fold's fit rows, ``smote`` with synthetic rows and
+    ``undersample`` by a draw from the larger class; held rows are always given ones. A row's fold
+    hangs on its id alone.
+    """
+    plain = numeric(train_df.select(ident, label, *[F.col(f"`{c}`") for c in features]), features)
+    rows = materialised(plain.withColumn("fold", fold_column(ident, folds)), "folds")
+    out = []
+    for fold in range(folds):
+        fit, held = rows.filter(F.col("fold") != fold).drop("fold"), rows.filter(F.col("fold") == fold)
+        fit = vectors(resampled(fit, features, label, ident, resample), features)
+        keep = ["features", label, ident, *(["is_synthetic"] if "is_synthetic" in fit.columns else [])]
+        fit = prepared(fit, "", label, ident).select(*keep, "weight", "held_out")
+        out.append((materialised(fit, "fold-fit"), materialised(vectors(held, features).select("features", label, ident), "fold-held")))
+    return out
+
+
+def resampled(df: DataFrame, features: Sequence[str], label: str, ident: str, how: str | None) -> DataFrame:
+    if how is None:
+        return df
+    if how == "smote":
+        return smote(df, features, label, ident)
+    if how == "undersample":
+        return undersample(df, label, ident)
+    raise ValueError(f"unknown resampling: {how}")
 
 
-def accuracy_evaluator(label: str) -> MulticlassClassificationEvaluator:
-    return MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
+def _packed(df: DataFrame) -> DataFrame:
+    """Small tables in few partitions: a fit makes a job a level, and its tasks should have work."""
+    return df.coalesce(max(1, -(-df.count() // FIT_ROWS)))
+
+
+@dataclass
+class SearchResult:
+    """The candidates of a search with their mean scores over the folds, and the best one refitted."""
+
+    points: list[dict]
+    foldMetrics: list[list[float]]
+    #: Rows that each candidate was scored on, over all folds.
+    rows: list[int]
+    refit: Callable[[dict], Model]
+
+    @property
+    def avgMetrics(self) -> list[float]:
+        return [sum(m) / len(m) if m else 0.0 for m in self.foldMetrics]
+
+    @property
+    def best(self) -> dict:
+        """The first of the best candidates."""
+        return self.points[max(range(len(self.points)), key=lambda i: (self.avgMetrics[i], -i))]
+
+    @cached_property
+    def bestModel(self) -> Model:
+        return self.refit(self.best)
+
+    def getEstimatorParamMaps(self) -> list[dict]:
+        return self.points
+
+
+def _fits(learner: Estimator, grid: list[dict]) -> list[tuple[dict, list[int]]]:
+    """(parameters to fit with, candidates they answer).
+
+    Candidates that differ in the number of trees or rounds are answered by the largest one's first
+    trees, and those of a forest that differ in depth by its trees cut at that depth. A forest of one
+    tree draws its features in another way and keeps a fit of its own.
+    """
+    forest = isinstance(learner, RandomForestClassifier)
+    free = ("numTrees", "maxDepth") if forest else ("maxIter",)
+    groups: dict[tuple, list[int]] = {}
+    for i, point in enumerate(grid):
+        values = {p.name: v for p, v in point.items()}
+        fixed = sorted((k, str(v)) for k, v in values.items() if k not in free)
+        groups.setdefault((forest and values.get("numTrees") == 1, *fixed), []).append(i)
+    out = []
+    for members in groups.values():
+        params = dict(grid[members[0]])
+        for param in list(params):
+            if param.name in free:
+                params[param] = max(grid[i][param] for i in members)
+        out.append((params, members))
+    return out
 
 
 def _search(
-    data: DataFrame,
+    train_df: DataFrame,
     learner: Estimator,
     grid: list[dict],
-    evaluator: MulticlassClassificationEvaluator,
+    features: Sequence[str],
+    label: str,
+    metric: str,
     folds: int,
     ident: str,
     parallelism: int,
-) -> CrossValidatorModel:
-    return CrossValidator(
-        estimator=learner,
-        estimatorParamMaps=grid,
-        evaluator=evaluator,
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=SEED,
-    ).fit(data.withColumn("fold", fold_column(ident, folds)))
+    resample: str | None = None,
+) -> SearchResult:
+    """Cross-validated scores of all candidates, from as few fits as answer them (see ``_fits``).
+
+    The fits of all folds run side by side, ``parallelism`` at a time. Folds without held rows give
+    no score.
+    """
+    spark = train_df.sparkSession
+    tables = fold_tables(train_df, features, label, folds, ident, resample)
+    forest = isinstance(learner, RandomForestClassifier)
+    many, deep = ("numTrees", "maxDepth") if forest else ("maxIter", None)
+    scores: list[list[float]] = [[] for _ in grid]
+    rows = [0] * len(grid)
+
+    def value(point: dict, params: dict, name: str):
+        found = {p.name: v for p, v in {**params, **point}.items()}
+        return found.get(name, learner.getOrDefault(name))
+
+    def run(job: tuple[int, dict, list[int]]) -> list[tuple[int, int, dict]]:
+        fold, params, members = job
+        fit, held = tables[fold]
+        settings = dict(params)
+        if forest and value({}, params, "maxDepth") > NODE_ID_DEPTH:
+            settings[learner.cacheNodeIds] = True
+        model = learner.copy(settings).fit(_packed(fit))
+        trees = nodes.Trees.of(nodes.node_table(model, spark))
+        wanted = {i: (value(grid[i], params, many), value(grid[i], params, deep) if deep else None) for i in members}
+        counts, depths = sorted({n for n, _ in wanted.values()}), sorted({d for _, d in wanted.values()}, key=str)
+        # boosting may end before its last round
+        reached = {n: min(n, len(trees.roots)) for n in counts}
+        found = nodes.cut_counts(trees, held, label, sorted(set(reached.values())), depths)
+        table = {(r["trees"], r["depth"]): r.asDict() for r in found.collect()}
+        return [(fold, i, table.get((reached[n], d), {})) for i, (n, d) in wanted.items()]
+
+    jobs = [(fold, params, members) for params, members in _fits(learner, grid) for fold in range(folds)]
+    with ThreadPool(min(parallelism, len(jobs))) as pool:
+        done = [r for part in pool.imap_unordered(inheritable_thread_target(spark)(run), jobs) for r in part]
+    for _, i, r in sorted(done, key=lambda x: x[:2]):
+        if r:
+            whole = 2 * r["tp"] + r["fp"] + r["fn"]
+            scores[i].append(r["n_right"] / r["n"] if metric == "accuracy" else 2 * r["tp"] / whole if whole else 0.0)
+            rows[i] += r["n"]
+
+    def refit(point: dict) -> Model:
+        data = vectors(resampled(train_df, features, label, ident, resample), features)
+        return learner.copy(point).fit(prepared(data, "", label, ident))
+
+    return SearchResult(grid, scores, rows, refit)
 
 
 def random_search(
@@ -244,9 +417,13 @@ def random_search(
     folds: int = 5,
     ranges: Mapping[str, Sequence] | None = None,
     ident: str = "incident_id",
-    parallelism: int = 4,
-) -> CrossValidatorModel:
-    """Cross-validated F1 over random draws without repetition from the published ranges."""
+    parallelism: int = 8,
+    resample: str | None = None,
+) -> SearchResult:
+    """Cross-validated F1 over random draws without repetition from the published ranges.
+
+    With ``resample`` the classes are balanced first, inside each fold, and for the best model's refit.
+    """
     if ranges is None:
         if family not in SEARCH_RANGES:
             raise ValueError(f"no search ranges for model type: {family}")
@@ -254,8 +431,7 @@ def random_search(
     learner = FAMILIES[family]({}, label)
     everything = param_grid(learner, ranges)
     grid = random.Random(SEED).sample(everything, min(draws, len(everything)))
-    data = prepared(vectors(train_df, features), "", label, ident)
-    return _search(data, learner, grid, f1_evaluator(label), folds, ident, parallelism)
+    return _search(train_df, learner, grid, features, label, "f1", folds, ident, parallelism, resample)
 
 
 def grid_search(
@@ -266,19 +442,17 @@ def grid_search(
     folds: int = 5,
     grid: Mapping[str, Sequence] | None = None,
     ident: str = "incident_id",
-    parallelism: int = 4,
-) -> CrossValidatorModel:
+    parallelism: int = 8,
+    resample: str | None = None,
+) -> SearchResult:
     """Cross-validated search of a whole grid: forests by accuracy, boosted trees by F1."""
     learner = FAMILIES[family]({}, label)
     values = SEARCH_GRIDS[family] if grid is None else grid
-    evaluator = accuracy_evaluator(label) if family == "random_forest" else f1_evaluator(label)
-    data = prepared(vectors(train_df, features), "", label, ident)
-    return _search(
-        data, learner, param_grid(learner, values), evaluator, folds, ident, parallelism
-    )
+    metric = "accuracy" if family == "random_forest" else "f1"
+    return _search(train_df, learner, param_grid(learner, values), features, label, metric, folds, ident, parallelism, resample)
 
 
-def search_results(model: CrossValidatorModel, df: DataFrame) -> DataFrame:
+def search_results(model: SearchResult, df: DataFrame) -> DataFrame:
     """One row per parameter set with its mean score; one row per candidate, so it is small."""
     rows = [
         (
@@ -300,6 +474,13 @@ def importance_table(model, df: DataFrame, features: Sequence[str]) -> DataFrame
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
+def importances_from_nodes(model, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, importance) of a fitted tree model, summed from its table of nodes."""
+    found = nodes.importances(nodes.node_table(model, df.sparkSession), len(features))
+    names = F.array(*[F.lit(f) for f in features])
+    return found.select(F.get(names, F.col("feature")).alias("feature"), "importance")
+
+
 def importance_by_group(
     importances: DataFrame, groups: Mapping[str, Sequence[str]]
 ) -> DataFrame:

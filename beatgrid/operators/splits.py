@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from beatgrid.functions.draws import draw
 from beatgrid.operators.ordered import rank_cut
 from beatgrid.sources.files import materialised
 
@@ -122,9 +123,7 @@ def split_stratified(
     df: DataFrame, label: str, ident: str = "incident_id", test_ratio: float = 0.2, seed: int = 42
 ) -> DataFrame:
     """Random split that keeps the class shares: per class the lowest hashes are train."""
-    hashed = df.withColumn(
-        "draw", F.shiftrightunsigned(F.xxhash64(F.col(ident), F.lit(seed)), 2)
-    )
+    hashed = df.withColumn("draw", draw(F.col(ident), seed))
     targets = df.groupBy(label).agg(
         (F.count("*") - F.ceil(F.count("*") * F.lit(test_ratio))).alias("rank")
     )

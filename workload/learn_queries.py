@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatgrid.learn import anomaly, evaluate, importance, prep, resample, score, train
+from beatgrid.learn import anomaly, evaluate, importance, prep, resample, score, singles, train
 from beatgrid.operators import splits
 from beatgrid.plans import features
 from beatgrid.config import WeatherParams
@@ -81,6 +81,14 @@ def ml1(spark, sf_dir):
     return balanced.groupBy(LABEL, "is_synthetic").agg(F.count("*").alias("n"))
 
 
+@query("ml1b_smote_copies")
+def ml1b(spark, sf_dir):
+    """Synthetic rows made from each row of the smaller class."""
+    fit_on, _ = halves(spark, sf_dir)
+    made = resample.smote(fit_on, INPUT, LABEL).filter("is_synthetic")
+    return made.groupBy("incident_id").agg(F.count("*").alias("n"))
+
+
 _fit_query("ml2_random_forest", "random_forest")
 _fit_query("ml2b_random_forest_smote", "random_forest", use_smote=True)
 _fit_query("ml3_boosted_weighted", "xgboost")
@@ -90,6 +98,45 @@ _fit_query("ml5_extra_trees", "extra_trees")
 _fit_query("ml6_balanced_forest", "balanced_random_forest")
 
 
+@query("ml4c_patience_on_given_rows")
+def ml4c(spark, sf_dir):
+    """Light class weights on resampled rows, cut by F1 on the test rows: sizes, and whether the best
+    round is the first best one up to the end and the cut model scores there like the curve."""
+    fit_on, test = halves(spark, sf_dir)
+    found = train.train_with_patience(fit_on, INPUT, LABEL, "catboost_weighted", test, use_smote=True)
+    upto = found.scores[: found.stopped]
+    again = evaluate.metrics(train.scored(found.model, train.vectors(test, INPUT), LABEL)).first()
+    row = (
+        len(found.scores), found.n_fit, found.n_evaluation, found.best <= found.stopped <= min(found.best + 20, len(found.scores)),
+        upto.index(max(upto)) + 1 == found.best == len(found.model.treeWeights), abs(again["f1_score"] - max(upto)) < 1e-6,
+    )
+    return spark.createDataFrame([row], "n_rounds bigint, n_fit bigint, n_evaluation bigint, in_order boolean, is_first_best boolean, cut_agrees boolean")
+
+
+@query("ml5b_random_cuts")
+def ml5b(spark, sf_dir):
+    """Trees of the extra-trees forest, cut points that two of them share, and those outside their feature's range."""
+    fit_on, _ = halves(spark, sf_dir)
+    model = train.train(fit_on, INPUT, LABEL, "extra_trees")
+    table = spark.createDataFrame(model.trees.table()).filter("feature >= 0")
+    split = table.select("tree", "feature", "threshold").distinct()
+    shared = split.groupBy("feature", "threshold").agg(F.count_distinct("tree").alias("n"))
+    low = train.vectors(fit_on, INPUT).agg(*[F.min(F.col(f"`{c}`").cast("double")).alias(f"a{i}") for i, c in enumerate(INPUT)]).first()
+    high = train.vectors(fit_on, INPUT).agg(*[F.max(F.col(f"`{c}`").cast("double")).alias(f"b{i}") for i, c in enumerate(INPUT)]).first()
+    ends = spark.createDataFrame([(i, low[i], high[i]) for i in range(len(INPUT))], "feature int, low double, high double")
+    outside = split.join(F.broadcast(ends), "feature").agg(F.count_if(~F.col("threshold").between(F.col("low"), F.col("high"))).alias("n_outside"))
+    return split.agg(F.count_distinct("tree").alias("n_trees")).join(shared.agg(F.count_if(F.col("n") > 1).alias("n_shared_cuts"))).join(outside)
+
+
+@query("ml6b_balanced_draws")
+def ml6b(spark, sf_dir):
+    """Rows of each class in the sample of each tree."""
+    fit_on, _ = halves(spark, sf_dir)
+    trees = train.BASELINES["balanced_random_forest"]["numTrees"]
+    drawn = singles.balanced_draws(fit_on.select("incident_id", LABEL), LABEL, trees, "incident_id", train.SEED)
+    return drawn.groupBy("tree", LABEL).agg(F.count("*").alias("n"))
+
+
 @query("ml7_model_dispatch")
 def ml7(spark, sf_dir):
     fit_on, test = halves(spark, sf_dir)
@@ -108,6 +155,25 @@ def ml8(spark, sf_dir):
     return train.search_results(found, fit_on)
 
 
+@query("ml8b_resampled_folds")
+def ml8b(spark, sf_dir):
+    """Rows of each class that each fold of a resampled search fits on and holds back."""
+    fit_on, _ = halves(spark, sf_dir)
+    out = None
+    for fold, (fit, held) in enumerate(train.fold_tables(fit_on, INPUT, LABEL, 5, "incident_id", "smote")):
+        for part, df in (("fit", fit), ("held", held.withColumn("is_synthetic", F.lit(False)))):
+            n = df.groupBy(F.lit(fold).alias("fold"), F.lit(part).alias("part"), LABEL, "is_synthetic").agg(F.count("*").alias("n"))
+            out = n if out is None else out.unionByName(n)
+    return out
+
+
+@query("ml8c_search_after_resampling")
+def ml8c(spark, sf_dir):
+    """Classes balanced inside each fold, then the random search, as one call."""
+    fit_on, _ = halves(spark, sf_dir)
+    return train.search_results(train.random_search(fit_on, INPUT, LABEL, "random_forest", resample="smote"), fit_on)
+
+
 @query("ml9_grid_search")
 def ml9(spark, sf_dir):
     fit_on, _ = halves(spark, sf_dir)
@@ -115,6 +181,22 @@ def ml9(spark, sf_dir):
     return train.search_results(found, fit_on)
 
 
+@query("ml9b_grid_checks")
+def ml9b(spark, sf_dir):
+    """The published grid: candidates, folds, rows each candidate is scored on, and whether accuracies
+    lie between 0 and 1, a tree count or depth changes them, and the best one beats always saying no."""
+    fit_on, _ = halves(spark, sf_dir)
+    found = train.grid_search(fit_on, INPUT, LABEL, "random_forest")
+    scores = found.avgMetrics
+    names = [{p.name: v for p, v in m.items()} for m in found.points]
+    by = {tuple(sorted((k, v) for k, v in n.items())): s for n, s in zip(names, scores)}
+    plain = fit_on.agg(F.avg((F.col(LABEL) == 0).cast("double"))).first()[0]
+    row = (len(by), min(map(len, found.foldMetrics)), min(found.rows), max(found.rows), all(0 <= s <= 1 for s in scores), len(set(scores)) > 1, max(scores) > plain)
+    return spark.createDataFrame(
+        [row], "n_points bigint, n_folds bigint, least_rows bigint, most_rows bigint, in_range boolean, differ boolean, beats_majority boolean"
+    )
+
+
 @query("ml10b_vote_models")
 def ml10b(spark, sf_dir):
     fit_on, test = halves(spark, sf_dir)
@@ -215,6 +297,18 @@ def ev6(spark, sf_dir):
     return importance.permutation_importance(model, test, INPUT, LABEL)
 
 
+@query("ev5c_importance_from_nodes")
+def ev5c(spark, sf_dir):
+    """Importances summed from the forest's nodes against those of the model: inputs on which both
+    agree, and leading inputs that both name."""
+    model, test = _forest(spark, sf_dir)
+    theirs = train.importance_table(model, test, INPUT).withColumnRenamed("importance", "theirs")
+    ours = train.importances_from_nodes(model, test, INPUT)
+    both = ours.join(theirs, "feature")
+    top = train.top_features(ours, 12).join(train.top_features(theirs.withColumnRenamed("theirs", "importance"), 12).select("feature"), "feature")
+    return both.agg(F.count_if(F.abs(F.col("importance") - F.col("theirs")) < 1e-9).alias("n_agree")).join(top.agg(F.count("*").alias("n_top")))
+
+
 def _batch_scored(spark, sf_dir):
     model, test = _forest(spark, sf_dir)
     model_path = score.save(score.scoring_chain(model, INPUT), files.scratch_path(spark, "model"))

@@ -1049,6 +1049,19 @@ oracle(
     select is_hourly_hot, 'train' as split, n - cast(ceil(n * 0.2) as bigint) as n from c where n - ceil(n * 0.2) > 0
     union all select is_hourly_hot, 'test', cast(ceil(n * 0.2) as bigint) from c where n > 0""",
 )
+def drawn(*parts: str, digits: int = 15) -> str:
+    """The number that a hash of the parts begins with."""
+    return f"('0x' || substr(md5(concat_ws(':', {', '.join(parts)})), 1, {digits}))::bigint"
+
+
+oracle(
+    "st4_stratified_split",
+    with_(EV_TRAIL)
+    + f"""select incident_id, is_hourly_hot,
+         case when row_number() over (partition by is_hourly_hot order by {drawn("incident_id", "42")}) <= count(*) over c - ceil(count(*) over c * 0.2)
+              then 'train' else 'test' end as split
+       from trail window c as (partition by is_hourly_hot)""",
+)
 # the model rows with weather by area and hour, and their time split
 _LEARN_SQL = {**MODEL_SQL, "temp": "temp", "wspeed": "wspeed"}
 LEARN = (
@@ -1073,6 +1086,55 @@ oracle(
     union all select is_hourly_hotspot, true, (select max(n) - min(n) from c) from c
     where n < (select max(n) from c)""",
 )
+oracle(
+    "ml1b_smote_copies",
+    LEARN
+    + f""", c as (select is_hourly_hotspot, count(*) as n from fit group by 1),
+    few as (
+      select incident_id, row_number() over (order by {drawn("incident_id", "42")}) as place, count(*) over () as n_few,
+             (select max(n) - min(n) from c) as n_new
+      from fit where is_hourly_hotspot = (select is_hourly_hotspot from c order by n, 1 limit 1))
+    select incident_id, n_new // n_few + cast(place <= n_new % n_few as bigint) as n from few
+    where n_new // n_few + cast(place <= n_new % n_few as bigint) > 0""",
+)
+_FOLDS = f"folded as (select *, cast({drawn('incident_id', '42')} % 5 as integer) as fold from fit)"
+oracle(
+    "ml8b_resampled_folds",
+    LEARN
+    + f""", {_FOLDS},
+    sizes as (
+      select k::integer as fold, is_hourly_hotspot, count(*) as n from folded, range(5) r(k) where folded.fold <> k group by all),
+    parts as (
+      select fold, 'fit' as part, is_hourly_hotspot, false as is_synthetic, n from sizes
+      union all
+      select fold, 'fit', arg_min(is_hourly_hotspot, n), true, max(n) - min(n) from sizes group by fold
+      union all
+      select fold, 'held', is_hourly_hotspot, false, count(*) from folded group by 1, 3)
+    select * from parts where n > 0""",
+)
+oracle(
+    "ml6b_balanced_draws",
+    LEARN
+    + f""", c as (select is_hourly_hotspot, count(*) as n from fit group by 1),
+    small as (select arg_min(is_hourly_hotspot, n) as label, min(n)::double / max(n) as keep from c)
+    select t::integer as tree, is_hourly_hotspot, count(*) as n
+    from fit, small, range(50) r(t)
+    where is_hourly_hotspot = label or {drawn("incident_id", "42", "t", digits=13)} / 4503599627370496::double < keep group by all""",
+)
+oracle(
+    "ml4c_patience_on_given_rows",
+    LEARN
+    + """select cast(200 as bigint) as n_rounds, cast(2 * (select max(n) from (select count(*) as n from fit group by is_hourly_hotspot)) as bigint) as n_fit,
+         count(*) as n_evaluation, true as in_order, true as is_first_best, true as cut_agrees from test""",
+)
+oracle("ml5b_random_cuts", "select cast(50 as bigint) as n_trees, cast(0 as bigint) as n_shared_cuts, cast(0 as bigint) as n_outside")
+oracle(
+    "ml9b_grid_checks",
+    LEARN
+    + """select cast(24 as bigint) as n_points, cast(5 as bigint) as n_folds, count(*) as least_rows, count(*) as most_rows,
+         true as in_range, true as differ, true as beats_majority from fit""",
+)
+oracle("ev5c_importance_from_nodes", "select cast(15 as bigint) as n_agree, cast(12 as bigint) as n_top")
 oracle(
     "ev11b_scoring_checks",
     LEARN + "select f as format, count(*) as n_rows, count(*) as n_sums, count(*) as n_agree from test, (values ('json'), ('csv')) x(f) group by 1",
