@@ -114,13 +114,15 @@ def personal(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
-def kneser_ney(train: list[str], texts: list[str], order: int, discounts) -> list[float | None]:
-    """Perplexity of each text; ``discounts`` gives the three discounts from counts of counts."""
+def kneser_ney(train: list[str], texts: list[str], order: int, discounts, whole: bool = False) -> list[float | None]:
+    """Perplexity of each text; ``discounts`` gives the three discounts from counts of counts. The
+    n-grams run within each word and its end, or with ``whole`` across all of a text's words."""
     lead = (0,) * (order - 1)
 
     def grams(text):
-        for word in re.findall(r"[^\x20\x09-\x0D]+", text):
-            signs = (*lead, *word.encode(), 0x20)
+        found = re.findall(r"[^\x20\x09-\x0D]+", text)
+        for run in ([found] if whole else [[w] for w in found]):
+            signs = (*lead, *(max(b, 1) for word in run for b in (*word.encode(), 0x20)))
             for i in range(order - 1, len(signs)):
                 yield signs[i - order + 1 : i + 1]
 

@@ -274,6 +274,31 @@ def test_quality_like_the_plain_model(spark, texts):
         assert {r.threshold for r in result.values() if r.lang == lang} == {trusted[math.ceil(0.5 * len(trusted)) - 1] * 1.1}
 
 
+def test_quality_across_words_is_scored_by_the_other_halfs_model(spark, texts):
+    few = [(i, t, "aa") for i, t in texts if t is None or len(t) < 2000]
+    docs = spark.createDataFrame(few, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    halves = {r.doc_id: r.h for r in docs.select("doc_id", kneser_ney.half("doc_id").alias("h")).collect()}
+    got = {r.doc_id: r for r in kneser_ney.classify(docs, labels, whole=True, min_trusted=8, quantile=0.5, slack=1.1).collect()}
+
+    def discounts(n1, n2, n3, n4):
+        if min(n1, n2, n3) > 0:
+            y = n1 / (n1 + 2 * n2)
+            found = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
+            if all(0 < d < i for d, i in zip(found, (1, 2, 3))):
+                return found
+        return 0.5, 1.0, 1.5
+
+    assert len(got) == len(few) and set(halves.values()) == {0, 1}
+    for h in (0, 1):
+        mine = [(i, t or "") for i, t, _ in few if halves[i] == h]
+        train = [t for i, t, _ in few if i < 30 and halves[i] != h]
+        for (i, _), p in zip(mine, plain.kneser_ney(train, [t for _, t in mine], kneser_ney.ORDER, discounts, whole=True)):
+            assert (got[i].perplexity is None) == (p is None) and (p is None or abs(got[i].perplexity - p) < 1e-9 * p)
+    trusted = sorted(got[i].perplexity for i in range(30))
+    assert {r.threshold for r in got.values()} == {trusted[14] * 1.1}
+
+
 def test_quality_without_labels_or_documents(docs, nothing):
     with_lang = docs.withColumn("lang", F.lit(None).cast("string"))
     got = kneser_ney.classify(with_lang, nothing).collect()
