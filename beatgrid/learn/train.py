@@ -547,6 +547,43 @@ class StackedModel:
         return self.meta.transform(assembler(names, "base_scores").transform(df))
 
 
+def out_of_fold(
+    data: DataFrame, label: str, families: Mapping[str, Mapping], folds: int, ident: str, parallelism: int = 8
+) -> tuple[DataFrame, dict[str, Model]]:
+    """((ident, label, base_<family>...), base models): every row's scores by models fitted without its
+    fold, staged, and each family fitted to all rows.
+
+    ``data`` has vectors and ``fold``. All fits are independent and run side by side. A row without
+    exactly one score of each family is an error; so are repeated ids.
+    """
+    spark = data.sparkSession
+    data = materialised(data.select(ident, label, "features", "fold"), "stack-rows")
+
+    def fit(job: tuple[str, int | None]) -> Model:
+        name, fold = job
+        rest = data if fold is None else data.filter(F.col("fold") != fold)
+        return estimator(name, label, families[name]).fit(_packed(prepared(rest, name, label, ident)))
+
+    jobs = [(name, fold) for fold in [*range(folds), None] for name in families]
+    with ThreadPool(min(parallelism, len(jobs))) as pool:
+        models = dict(zip(jobs, pool.map(inheritable_thread_target(spark)(fit), jobs, chunksize=1)))
+    parts = [
+        positive_score(models[name, fold], data.filter(F.col("fold") == fold), "score").select(ident, label, F.lit(name).alias("family"), "score")
+        for name, fold in jobs
+        if fold is not None
+    ]
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    columns = [F.max(F.when(F.col("family") == n, F.col("score"))).alias(f"base_{n}") for n in families]
+    scored = materialised(every.groupBy(ident, label).agg(F.count("score").alias("n"), *columns), "out-of-fold")
+    n_rows = data.count()
+    found = scored.agg(F.count("*"), F.coalesce(F.min("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    if tuple(found) != (n_rows, len(families), len(families)):
+        raise ValueError(f"{n_rows} rows have {found[0]} rows of {found[1]} to {found[2]} scores, not one by each of {len(families)} families")
+    return scored.drop("n"), {name: models[name, None] for name in families}
+
+
 def stack(
     train_df: DataFrame,
     features: Sequence[str],
@@ -557,24 +594,9 @@ def stack(
 ) -> StackedModel:
     """Stacking: out-of-fold scores of every base train the meta learner, bases refit on all."""
     data = vectors(train_df, features).withColumn("fold", fold_column(ident, folds))
-    out_of_fold = None
-    for fold in range(folds):
-        rest = data.filter(F.col("fold") != fold)
-        held = data.filter(F.col("fold") == fold)
-        for name, overrides in families.items():
-            base = estimator(name, label, overrides).fit(prepared(rest, name, label, ident))
-            held = positive_score(base, held, f"base_{name}")
-        part = held.select(ident, label, *[f"base_{n}" for n in families])
-        out_of_fold = part if out_of_fold is None else out_of_fold.unionByName(part)
-    names = [f"base_{n}" for n in families]
-    meta = LogisticRegression(labelCol=label, featuresCol="base_scores").fit(
-        assembler(names, "base_scores").transform(out_of_fold)
-    )
-    bases = {
-        name: estimator(name, label, overrides).fit(prepared(data, name, label, ident))
-        for name, overrides in families.items()
-    }
-    return StackedModel(bases, meta)
+    scored, bases = out_of_fold(data, label, families, folds, ident)
+    meta = LogisticRegression(labelCol=label, featuresCol="base_scores")
+    return StackedModel(bases, meta.fit(assembler([f"base_{n}" for n in families], "base_scores").transform(scored)))
 
 
 def vote_models(

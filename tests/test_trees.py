@@ -163,6 +163,20 @@ def test_search_scores_are_those_of_fits_per_candidate(table):
     assert found.bestModel.getNumTrees == found.best[learner.numTrees]
 
 
+def test_out_of_fold_scores(spark, table):
+    families = {"random_forest": {"numTrees": 4, "maxDepth": 3}, "xgboost": {"maxIter": 3, "maxDepth": 2}}
+    data = train.vectors(table, X).withColumn("fold", F.pmod("incident_id", F.lit(3)).cast("int"))
+    scored, bases = train.out_of_fold(data, "y", families, 3, "incident_id")
+    got = {r.incident_id: r for r in scored.collect()}
+    assert sorted(got) == list(range(900)) and set(bases) == set(families)
+    rest = train.prepared(data.filter("fold <> 1"), "xgboost", "y", "incident_id")
+    model = train.estimator("xgboost", "y", families["xgboost"]).fit(rest.select("features", "y", "weight"))
+    for i, s in ((r.incident_id, r.s) for r in train.positive_score(model, data.filter("fold = 1"), "s").select("incident_id", "s").collect()):
+        assert got[i].base_xgboost == pytest.approx(s)
+    with pytest.raises(ValueError, match="scores"):
+        train.out_of_fold(data.unionByName(data.limit(1)), "y", families, 3, "incident_id")
+
+
 def test_boosted_search_reads_rounds_off_one_fit(table):
     found = train.grid_search(table, X, "y", "xgboost", folds=2, grid={"maxIter": [2, 6], "maxDepth": [2, 3]}, resample="undersample")
     learner = train.FAMILIES["xgboost"]({}, "y")

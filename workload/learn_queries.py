@@ -215,6 +215,24 @@ def ml11(spark, sf_dir):
     return _metrics_of(model, test)
 
 
+@query("ml11b_out_of_fold_scores")
+def ml11b(spark, sf_dir):
+    """Per fold: rows with out-of-fold scores of every base model, positive ones, scores between 0 and 1,
+    and whether positive rows score higher on average by each model."""
+    fit_on, _ = halves(spark, sf_dir)
+    data = train.vectors(fit_on, INPUT).withColumn("fold", prep.fold_column("incident_id", 5))
+    scored, _ = train.out_of_fold(data, LABEL, {"random_forest": {}, "xgboost": {}}, 5, "incident_id")
+    bases = ["base_random_forest", "base_xgboost"]
+    inside = F.lit(True)
+    for c in bases:
+        inside = inside & F.col(c).between(0, 1)
+    y = F.col(LABEL) == 1
+    apart = [F.avg(F.when(y, F.col(c))) > F.avg(F.when(~y, F.col(c))) for c in bases]
+    return scored.groupBy(prep.fold_column("incident_id", 5).alias("fold")).agg(
+        F.count("*").alias("n_rows"), F.sum(F.col(LABEL).cast("bigint")).alias("n_positive"), F.count_if(inside).alias("n_in_range"), (apart[0] & apart[1]).alias("separates")
+    )
+
+
 @query("ml12_reconstruction_anomaly")
 def ml12(spark, sf_dir):
     table = model_split(spark, sf_dir)

@@ -1112,6 +1112,13 @@ oracle(
       select fold, 'held', is_hourly_hotspot, false, count(*) from folded group by 1, 3)
     select * from parts where n > 0""",
 )
+oracle(
+    "ml11b_out_of_fold_scores",
+    LEARN
+    + f""", {_FOLDS}
+    select fold, count(*) as n_rows, cast(sum(is_hourly_hotspot) as bigint) as n_positive, count(*) as n_in_range, true as separates
+    from folded group by fold""",
+)
 oracle(
     "ml6b_balanced_draws",
     LEARN
