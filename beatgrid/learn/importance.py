@@ -50,22 +50,21 @@ def permutation_importance(
         )
 
     partner = placed(repeated, 2).select("repeat", "place", F.col("x").alias("other"))
-    paired = placed(repeated, 1).join(partner, ["repeat", "place"])
-
-    def with_other(j: int):
-        return F.transform("x", lambda v, i: F.when(i == j, F.col("other")[j]).otherwise(v))
-
-    swapped = F.posexplode(F.array(*[with_other(j) for j in range(len(features))])).alias(
-        "j", "swapped"
-    )
-    shuffled = paired.select("label", "repeat", swapped).select(
-        "label", "j", array_to_vector("swapped").alias("features")
-    )
+    paired = placed(repeated, 1).join(partner, ["repeat", "place"]).select("label", "x", "other")
+    paired = materialised(paired, "pairs")  # read once a feature, so no task holds a row once for each
     right = F.avg((F.col("prediction").cast("int") == F.col("label")).cast("double"))
     plain = model.transform(rows.select("label", array_to_vector("x").alias("features"))).agg(
         right.alias("plain")
     ).scalar()
-    after = model.transform(shuffled).groupBy("j").agg(right.alias("after"))
+
+    def without(j: int) -> DataFrame:
+        swapped = F.transform("x", lambda v, i: F.when(i == j, F.col("other")[j]).otherwise(v))
+        shuffled = model.transform(paired.select("label", array_to_vector(swapped).alias("features")))
+        return shuffled.agg(right.alias("after")).select(F.lit(j).alias("j"), "after")
+
+    after = without(0)
+    for j in range(1, len(features)):
+        after = after.unionByName(without(j))
     names = F.array(*[F.lit(c) for c in features])
     return after.select(
         F.get(names, F.col("j")).alias("feature"), (plain - F.col("after")).alias("importance")

@@ -5,6 +5,7 @@ Fits use the published inputs, settings, grids, draws and folds. All rows of the
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -315,6 +316,28 @@ def ev6(spark, sf_dir):
     return importance.permutation_importance(model, test, INPUT, LABEL)
 
 
+class FixedRule:
+    """A model that is written down instead of fitted, so that SQL can score with it."""
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        x = vector_to_array("features")
+
+        def of(name: str):
+            return x[INPUT.index(name)]
+
+        recent = (of("was_hourly_hotspot_last_hour") == 1) & (of("Hour_sin") > 0.1)
+        seasonal = (of("was_daily_hotspot_yesterday") == 1) & (of("Month_sin") < -0.3)
+        return df.withColumn("prediction", (recent | seasonal).cast("double"))
+
+
+@query("ev6b_permutation_of_a_rule")
+def ev6b(spark, sf_dir):
+    """Permutation importance of a fixed rule on the test rows."""
+    _, test = halves(spark, sf_dir)
+    found = importance.permutation_importance(FixedRule(), test, INPUT, LABEL)
+    return found.select(F.lower("feature").alias("feature"), (F.round("importance", 6) + 0.0).alias("importance"))
+
+
 @query("ev5c_importance_from_nodes")
 def ev5c(spark, sf_dir):
     """Importances summed from the forest's nodes against those of the model: inputs on which both

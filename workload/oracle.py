@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from beatgrid.plans.features import MODEL_INPUT
+
 ORACLE: dict[str, str] = {}
 
 
@@ -1141,6 +1143,35 @@ oracle(
     + """select cast(24 as bigint) as n_points, cast(5 as bigint) as n_folds, count(*) as least_rows, count(*) as most_rows,
          true as in_range, true as differ, true as beats_majority from fit""",
 )
+_RULE = {"was_hourly_hotspot_last_hour": "wh", "hour_sin": "hs", "was_daily_hotspot_yesterday": "wd", "month_sin": "ms"}
+
+
+def _rule(of: dict[str, str]) -> str:
+    """Whether the fixed rule is right, with these expressions for its four inputs."""
+    wh, hs, wd, ms = (of[c] for c in _RULE)
+    return f"avg(cast((({wh} = 1 and {hs} > 0.1) or ({wd} = 1 and {ms} < -0.3)) = (a.y = 1) as double))"
+
+
+_OWN = {c: f"a.{s}" for c, s in _RULE.items()}
+oracle(
+    "ev6b_permutation_of_a_rule",
+    LEARN
+    + f""", given as (
+      select incident_id, is_hourly_hotspot as y, {", ".join(f"{c} as {s}" for c, s in _RULE.items())} from test),
+    lots as (
+      select given.*, r, {drawn("incident_id", "r", "43", digits=13)} as u1, {drawn("incident_id", "r", "44", digits=13)} as u2
+      from given, range(3) x(r)),
+    places as (
+      select *, row_number() over (partition by r order by u1, incident_id) as p1, row_number() over (partition by r order by u2, incident_id) as p2
+      from lots),
+    plain as (select {_rule(_OWN)} as p from given a),
+    pairs as (
+      select {", ".join(f"{_rule(_OWN | {c: f'b.{s}'})} as {s}" for c, s in _RULE.items())}
+      from places a join places b on a.r = b.r and a.p1 = b.p2)
+    select feature, round(importance, 6) + 0.0 as importance from (
+      {" union all ".join(f"select '{c}' as feature, p - {s} as importance from plain, pairs" for c, s in _RULE.items())}
+      union all select unnest([{", ".join(f"'{c.lower()}'" for c in MODEL_INPUT if c.lower() not in _RULE)}]), 0.0)""",
+)
 oracle("ev5c_importance_from_nodes", "select cast(15 as bigint) as n_agree, cast(12 as bigint) as n_top")
 oracle(
     "ev11b_scoring_checks",
