@@ -195,14 +195,21 @@ def leading_trends(rolled: DataFrame, category: str, top: int = 3, bottom: int =
     sums = rolled.groupBy(category).agg(
         F.coalesce(F.sum("rolling_mean"), F.lit(0.0)).alias("trend_sum")
     )
-    ranked = sums.withColumn("from_top", F.row_number().over(Window.orderBy(F.desc("trend_sum"), category)))
-    ranked = ranked.withColumn("from_bottom", F.row_number().over(Window.orderBy(F.desc("from_top"))))
+    sums = materialised(sums, "trend-sums")
+    down, up = [F.desc("trend_sum"), F.asc(category)], [F.asc("trend_sum"), F.desc(category)]
+    n = sums.agg(F.count("*").cast("int").alias("n_all"))
+    # two top-k's; only these few rows are numbered
+    first = sums.orderBy(*down).limit(top).withColumn("from_top", F.row_number().over(Window.orderBy(*down)))
+    last = sums.orderBy(*up).limit(bottom).withColumn("from_bottom", F.row_number().over(Window.orderBy(*up)))
+    first = first.join(F.broadcast(n)).withColumn("from_bottom", F.col("n_all") - F.col("from_top") + 1)
+    last = last.join(F.broadcast(n)).withColumn("from_top", F.col("n_all") - F.col("from_bottom") + 1)
+    ranked = first.drop("n_all").unionByName(last.drop("n_all")).distinct()
     return ranked.withColumns(
         {
             "is_top": (F.col("from_top") <= top).cast("int"),
             "is_bottom": (F.col("from_bottom") <= bottom).cast("int"),
         }
-    ).filter((F.col("is_top") == 1) | (F.col("is_bottom") == 1))
+    )
 
 
 def most_recent(df: DataFrame, n: int, order: str, ident: str) -> DataFrame:

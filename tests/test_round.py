@@ -166,3 +166,13 @@ def test_searches_try_every_candidate(spark, table):
     assert len(rows) == 3 == len({r.params for r in rows}) and all(0 <= r.score <= 1 for r in rows)
     found = train.grid_search(table, ["a", "b"], "y", "random_forest", folds=2, grid={"numTrees": [2], "impurity": ["gini", "entropy"]})
     assert {r.params for r in train.search_results(found, table).collect()} == {"impurity=gini, numTrees=2", "impurity=entropy, numTrees=2"}
+
+
+def test_leading_trends_of_few_categories(spark):
+    rows = [(c, float(v)) for c, v in zip("abcde", (5, 1, 5, 0, 3))] + [(None, 1.0)]
+    df = spark.createDataFrame(rows, "category string, rolling_mean double")
+    got = sorted((r.from_top, r.from_bottom, r.category, r.is_top, r.is_bottom) for r in profile.leading_trends(df, "category", 2, 3).collect())
+    assert got == [(1, 6, "a", 1, 0), (2, 5, "c", 1, 0), (4, 3, None, 0, 1), (5, 2, "b", 0, 1), (6, 1, "d", 0, 1)]
+    every = profile.leading_trends(df, "category", 6, 6).collect()
+    assert sorted((r.from_top, r.from_bottom) for r in every) == [(i, 7 - i) for i in range(1, 7)]
+    assert profile.leading_trends(df.limit(0), "category").count() == 0
