@@ -69,7 +69,22 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", by: tuple[str, .
 def materialised(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives executor loss."""
     spark = df.sparkSession
-    return read_table(spark, write_table(df, scratch_path(spark, label)))
+    staged = read_table(spark, write_table(df, scratch_path(spark, label)))
+    staged.staged_files = staged.inputFiles()
+    return staged
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove staged tables (results of ``materialised``) that nothing still to be run reads.
+
+    What was computed from them must have been written; tables that were not staged are left alone.
+    """
+    for df in tables:
+        for folder in {name.rpartition("/")[0] for name in getattr(df, "staged_files", [])}:
+            jvm = df.sparkSession._jvm
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        df.staged_files = []
 
 
 def write_split(split: DataFrame, path: str) -> str:
