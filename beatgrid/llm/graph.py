@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beatgrid.llm.common import join_unique
-from beatgrid.sources.files import materialised
+from beatgrid.sources.files import discard, materialised
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,7 +21,9 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
     edges = materialised(edges.distinct(), "edges")
     while _unfinished(edges):
-        edges = _star(_star(edges, large=True), large=False)
+        for large in (True, False):
+            last, edges = edges, _star(edges, large)
+            discard(last)
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
@@ -43,4 +45,6 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     moved = moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
     if not large:
         moved = moved.unionByName(least.select("a", F.col("m").alias("b")))
-    return materialised(moved.filter("a <> b").distinct(), "edges")
+    done = materialised(moved.filter("a <> b").distinct(), "edges")
+    discard(least)
+    return done

@@ -9,10 +9,14 @@ all its own has no link. The overlap of a candidate pair is counted fragment by
 on its own, and summed per pair. The first fragment, about a quarter of each set, is kept from the
 first pass; its count rules most pairs out, and only the texts of the others are read again.
 
-Documents of equal sets are one class. Groups of near copies are linked by a star first: in each
+Documents of equal sets are one class. Groups of near copies are linked by stars first: in each
 prefix list the classes of other components are compared with one member of the list's largest
-component, so no list is expanded into all its pairs. Afterwards every remaining candidate pair
-across two components is compared, which makes the components exact.
+component, so no list is expanded into all its pairs. The first star's centre is the member with the
+fewest shingles of its own, which is nearest to all others; the next ones have other centres, as
+long as stars go on to find links. Afterwards every remaining candidate pair across two components
+is compared, which makes the components exact whatever the stars found.
+
+Staged tables are removed as soon as what replaces them is written.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 from beatgrid.llm.common import join_unique, pieces, worker_cache
 from beatgrid.llm.graph import components
 from beatgrid.llm.words import SPACED, shingles, split
-from beatgrid.sources.files import materialised
+from beatgrid.sources.files import discard, materialised
 
 #: A shingle in more prefixes than this goes to the end of the order; of so many prefix entries at
 #: least one may, which bounds the list of such shingles to a million.
@@ -42,6 +46,8 @@ FIRST = 1 << (64 - FRAGMENT_BITS)
 STRETCH_BITS = 5
 #: Words of the bit table that marks documents with candidates (64 bits each).
 MARK_WORDS = 1 << 18
+#: Stars at most, and how many in turn may link less than a quarter of the pairs they compare.
+STARS, POOR_STARS = 6, 2
 #: A class in more than this share of the pairs is spread over so many tasks.
 HOT_SHARE, SALTS = 128, 64
 
@@ -259,11 +265,13 @@ def _linked(pairs: DataFrame, rows: DataFrame, sets: DataFrame, classes: DataFra
     first = sets.join(near, (F.col("cls") == F.col("_cls")) & F.col("ident").eqNullSafe(F.col("least")))
     inside = F.filter("low", lambda s: (s >= 0) & (s < FIRST))
     first = first.select("cls", F.lit(0).alias("fragment"), inside.alias("part")).dropDuplicates(["cls"])
-    both = _met(pairs, materialised(first, "first-fragment"), hot)
+    first = materialised(first, "first-fragment")
+    both = _met(pairs, first, hot)
     both = both.withColumn("common", F.size(F.array_intersect("px", "py")))
     most = F.col("common") + F.least(F.col("mx") - F.size("px"), F.col("my") - F.size("py"))
     both = both.filter(most * 100 >= (F.col("nx") + F.col("ny") - most) * percent)
     left = materialised(both.select("x", "y", "nx", "ny", "common"), "left")
+    discard(first)
 
     marks = spark.sparkContext.broadcast(_mark_table(named(left).select(F.xxhash64("least").alias("key"))).tobytes())
     more = materialised(_segments(rows.withColumn("key", F.xxhash64("ident")), size, marks), "fragments")
@@ -274,7 +282,9 @@ def _linked(pairs: DataFrame, rows: DataFrame, sets: DataFrame, classes: DataFra
     partial = partial.groupBy("x", "y").agg(F.sum("part").alias("more"))
     summed = left.join(partial, ["x", "y"], "left").withColumn("common", F.col("common") + F.coalesce("more", F.lit(0)))
     reached = F.col("common") * 100 >= (F.col("nx") + F.col("ny") - F.col("common")) * percent
-    return summed.filter(reached).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    links = materialised(summed.filter(reached).select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
+    discard(hot, left, more)
+    return links
 
 
 def _with_components(entries: DataFrame, found: DataFrame) -> DataFrame:
@@ -282,12 +292,15 @@ def _with_components(entries: DataFrame, found: DataFrame) -> DataFrame:
     return entries.join(found, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
 
 
-def _largest(entries: DataFrame) -> DataFrame:
+def _largest(entries: DataFrame, turn: int) -> DataFrame:
     """(s, best, member, size): of each list with several components, the largest and a member of it,
-    and the list's length."""
-    by = entries.groupBy("s", "comp").agg(F.count("*").alias("k"), F.max(F.struct("m", "cls", "n", "pos", "parts")).alias("member"))
+    and the list's length. The member is the one with the fewest shingles of its own in the first
+    turn, and drawn by its hash in the others, alike in all lists."""
+    rank = F.col("m") - F.col("n") if turn == 0 else F.xxhash64("cls", F.lit(turn))
+    member = F.struct(rank.alias("rank"), "m", "cls", "n", "pos", "parts")
+    by = entries.groupBy("s", "comp").agg(F.count("*").alias("k"), F.max(member).alias("member"))
     best = by.groupBy("s").agg(
-        F.max(F.struct("k", "comp", "member")).alias("top"), F.sum("k").alias("size"), F.count("*").alias("comps")
+        F.max(F.struct("k", "member", "comp")).alias("top"), F.sum("k").alias("size"), F.count("*").alias("comps")
     )
     best = best.filter("comps > 1").select("s", F.col("top.comp").alias("best"), F.col("top.member").alias("member"), "size")
     return materialised(best, "largest")
@@ -307,20 +320,24 @@ def _columns(form: str) -> dict[str, Column]:
     return {c: F.col(form.format(c)) for c in ("n", "m", "pos", "parts")}
 
 
-def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
+def _star_pairs(entries: DataFrame, percent: int, turn: int) -> DataFrame:
     """Each class outside its lists' largest components with the member that most of its lists name."""
-    named = join_unique(entries, _largest(entries), "s", "size", "inner").filter("comp <> best")
+    lists = _largest(entries, turn)
+    named = join_unique(entries, lists, "s", "size", "inner").filter("comp <> best")
     named = named.filter(_possible(_columns("{}"), _columns("member.{}"), percent))
     keys = [F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("m").alias("mx")]
     keys += [F.col("member.cls").alias("y"), F.col("member.n").alias("ny"), F.col("member.m").alias("my")]
     votes = named.groupBy(*keys).agg(F.count("*").alias("votes"))
     first = votes.groupBy("x", "nx", "mx").agg(F.max(F.struct("votes", "y", "ny", "my")).alias("top"))
-    return first.select("x", F.col("top.y").alias("y"), "nx", F.col("top.ny").alias("ny"), "mx", F.col("top.my").alias("my"))
+    first = first.select("x", F.col("top.y").alias("y"), "nx", F.col("top.ny").alias("ny"), "mx", F.col("top.my").alias("my"))
+    pairs = materialised(first, "pairs")
+    discard(lists)
+    return pairs
 
 
 def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """All candidate pairs of two components."""
-    lists = _largest(entries)
+    lists = _largest(entries, 0)
     inside = materialised(join_unique(entries, lists.drop("member"), "s", "size", "inner"), "lists")
     outer = inside.filter("comp <> best").select("s", *[F.col(c).alias(f"{c}_x") for c in ("cls", "n", "m", "pos", "parts", "comp")])
     pairs = outer.join(inside.withColumn("outer", F.col("comp") != F.col("best")), "s").filter(
@@ -329,10 +346,13 @@ def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
     pairs = pairs.filter(_possible(_columns("{}_x"), _columns("{}"), percent))
     one, two = (F.struct(*[F.col(c.format(k)).alias(k) for k in ("cls", "n", "m")]) for c in ("{}_x", "{}"))
     pairs = pairs.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
-    return pairs.select(
+    pairs = pairs.select(
         F.col("a.cls").alias("x"), F.col("b.cls").alias("y"), F.col("a.n").alias("nx"), F.col("b.n").alias("ny"),
         F.col("a.m").alias("mx"), F.col("b.m").alias("my"),
     )
+    pairs = materialised(pairs, "pairs")
+    discard(lists, inside)
+    return pairs
 
 
 def join_documents(
@@ -341,7 +361,7 @@ def join_documents(
     text: str = "text",
     size: int = 3,
     percent: int = 90,
-    stars: int = 2,
+    stars: int = STARS,
 ) -> DataFrame:
     """(ident, n_shingles, component_id), one row per row of ``docs``.
 
@@ -369,17 +389,28 @@ def join_documents(
     entries = prefixes.select("cls", "n", "m", "parts", F.posexplode("prefix").alias("pos", "s"))
     lists = materialised(entries.groupBy("s").agg(F.count("*").alias("size")).filter("size > 1"), "lists")
     entries = materialised(join_unique(entries, lists, "s", "size", "inner").drop("size"), "entries")
+    discard(prefixes, lists)
 
     links, found = None, spark.createDataFrame([], "cls bigint, comp bigint")
-    for ask in [_star_pairs] * stars + [_cross_pairs]:
+    turn, poor = 0, 0
+    while True:
+        last = turn == stars or poor == POOR_STARS
         placed = materialised(_with_components(entries, found), "placed")
-        pairs = materialised(ask(placed, percent), "pairs")
-        if pairs.isEmpty():
-            continue  # a list whose chosen member is out of the question may still hold other links
-        more = materialised(_linked(pairs, rows, sets, classes, size, percent), "links")
-        links = more if links is None else links.unionByName(more)
-        if not more.isEmpty():
-            found = materialised(components(links).toDF("cls", "comp"), "components")
+        pairs = _cross_pairs(placed, percent) if last else _star_pairs(placed, percent, turn)
+        discard(placed)
+        asked = pairs.count()
+        more = _linked(pairs, rows, sets, classes, size, percent) if asked else None
+        discard(pairs)
+        linked = more.count() if asked else 0
+        if linked:
+            links = more if links is None else links.unionByName(more)
+            before, found = found, materialised(components(links).toDF("cls", "comp"), "components")
+            discard(before)
+        if last:
+            break
+        # a list whose chosen member is out of the question may still hold other links
+        turn, poor = turn + 1, poor + 1 if 4 * linked < asked or not asked else 0
+    discard(entries)
     return _result(sets, classes, found).withColumnRenamed("ident", ident)
 
 
