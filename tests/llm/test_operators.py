@@ -192,6 +192,23 @@ def test_jaccard_join_of_chains_and_common_passages(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == plain.jaccard_components(dict(data), 3, 80)
 
 
+def test_jaccard_join_of_a_large_group_of_which_few_link(spark, monkeypatch):
+    rng = random.Random(7)
+    base = words(rng, 150).split(" ")
+    data = {}
+    for i in range(1000):  # two or three changed words: most pairs share their prefixes, few link
+        w = list(base)
+        for at in rng.sample(range(len(w)), 2 + i % 2):
+            w[at] = f"own{i}x{at}" if i % 10 else f"few{i % 70}x{at % 5}"
+        data[i] = " ".join(w)
+    compared = []
+    linked = vertical_join._linked
+    monkeypatch.setattr(vertical_join, "_linked", lambda pairs, *rest: (compared.append(pairs.count()), linked(pairs, *rest))[1])
+    got = vertical_join.join_documents(spark.createDataFrame(list(data.items()), "doc_id long, text string").repartition(4))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == plain.jaccard_components(data, 3, 90)
+    assert sum(compared) < 20 * len(data)  # of half a million
+
+
 def test_jaccard_join_when_no_list_names_a_possible_partner(spark):
     for seed in (0, 1, 6, 11):
         w = words(random.Random(seed), 16).split(" ")
