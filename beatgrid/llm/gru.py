@@ -17,6 +17,9 @@ import numpy as np
 HIDDEN = 16
 CLASS_WORDS = 64
 WINDOW = 32
+#: Texts side by side at first and at most, steps after which they double, and units of a text that
+#: are learned as one stretch.
+FEW, SIDE, RAMP, SPAN = 4, 256, 100, 1024
 #: Output rows that are scored at a time.
 ROWS = 100_000
 
@@ -178,35 +181,65 @@ def gradients(w: Weights, h: np.ndarray, unit: np.ndarray, real: np.ndarray, cls
     return g, h, loss
 
 
-def train(w: Weights, unit: np.ndarray, first: np.ndarray, cls_of: np.ndarray, word_of: np.ndarray, epochs: int = 3, side: int = 128, rate: float = 0.01, least: int = 400) -> Weights:
-    """Adam over windows of ``side`` texts; texts of like length run together. A small set of texts is
-    gone through more often, up to some ``least`` steps in all."""
+def spans(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first unit, number of units) of stretches of at most SPAN units that make up the texts."""
     counts = np.diff(first)
-    order = np.argsort(-counts, kind="stable")
-    order = order[counts[order] > 0]
-    moments = [[np.zeros_like(x), np.zeros_like(x)] for x in w.arrays()]
-    groups = [order[i : i + side] for i in range(0, len(order), side)]
-    steps, rng = 0, np.random.default_rng(0)
-    each = sum(-(-int(counts[g].max()) // WINDOW) for g in groups)
-    epochs = max(epochs, min(50, least // max(1, each)))
-    planned = epochs * each
-    for _ in range(epochs):
-        for k in rng.permutation(len(groups)):
-            rows = groups[k]
-            h = np.zeros((len(rows), w.candidate.shape[0]), np.float32)
-            for low in range(0, int(counts[rows].max()), WINDOW):
-                going = counts[rows] > low
-                rows, h = rows[going], h[going]
-                at = low + np.arange(WINDOW)
-                real = at < counts[rows][:, None]
-                u = unit[np.where(real, first[:-1][rows][:, None] + at, 0)]
-                g, h, _ = gradients(w, h, u, real, cls_of, word_of)
-                steps += 1
-                norm = np.sqrt(sum(float((x * x).sum()) for x in g))
-                clip, pace = min(1.0, 1.0 / max(norm, 1e-6)), rate * (1 - 0.9 * steps / planned)
-                for x, d, m in zip(w.arrays(), g, moments):
-                    d = d * clip
-                    m[0] += 0.1 * (d - m[0])
-                    m[1] += 0.001 * (d * d - m[1])
-                    x -= pace * (m[0] / (1 - 0.9**steps)) / (np.sqrt(m[1] / (1 - 0.999**steps)) + 1e-8)
-    return w
+    n = -(-counts // SPAN)
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    begin = np.repeat(first[:-1], n) + SPAN * at
+    return begin, np.minimum(np.repeat(first[1:], n) - begin, SPAN)
+
+
+class Trainer:
+    """Adam from given weights, which are copied, over texts that come piece by piece.
+
+    Windows of texts of like length run side by side, few of them at first and twice as many after
+    every RAMP steps, up to SIDE: the rule is one for every amount of text. Texts beyond SPAN units
+    are learned in stretches, each of which begins without a state.
+    """
+
+    def __init__(self, w: Weights, cls_of: np.ndarray, word_of: np.ndarray, rate: float):
+        self.w = Weights(*[x.copy() for x in w.arrays()])
+        self.cls_of, self.word_of, self.rate = cls_of, word_of, rate
+        self.moments = [[np.zeros_like(x), np.zeros_like(x)] for x in self.w.arrays()]
+        self.steps, self.units, self.rng = 0, 0, np.random.default_rng(0)
+
+    def learn(self, unit: np.ndarray, first: np.ndarray) -> None:
+        """One pass over the texts unit[first[i]:first[i + 1]]."""
+        begin, counts = spans(first)
+        order = np.argsort(-counts, kind="stable")
+        blocks = [order[i : i + SIDE] for i in range(0, len(order), SIDE)]
+        for k in self.rng.permutation(len(blocks)):
+            rest = blocks[k]
+            while len(rest):
+                side = min(SIDE, FEW << min(self.steps // RAMP, 30))
+                rows, rest = rest[:side], rest[side:]
+                self._texts(unit, begin[rows], counts[rows])
+        self.units += int(counts.sum())
+
+    def _texts(self, unit: np.ndarray, begin: np.ndarray, counts: np.ndarray) -> None:
+        h = np.zeros((len(begin), self.w.candidate.shape[0]), np.float32)
+        for low in range(0, int(counts[0]), WINDOW):  # longest first
+            going = counts > low
+            begin, counts, h = begin[going], counts[going], h[going]
+            at = low + np.arange(WINDOW)
+            real = at < counts[:, None]
+            u = unit[np.where(real, begin[:, None] + at, 0)]
+            g, h, _ = gradients(self.w, h, u, real, self.cls_of, self.word_of)
+            self._step(g)
+
+    def _step(self, g: list[np.ndarray]) -> None:
+        self.steps += 1
+        norm = np.sqrt(sum(float((x * x).sum()) for x in g))
+        clip = min(1.0, 1.0 / max(norm, 1e-6))
+        for x, d, m in zip(self.w.arrays(), g, self.moments):
+            d = d * clip
+            m[0] += 0.1 * (d - m[0])
+            m[1] += 0.001 * (d * d - m[1])
+            x -= self.rate * (m[0] / (1 - 0.9**self.steps)) / (np.sqrt(m[1] / (1 - 0.999**self.steps)) + 1e-8)
+
+
+def mean(parts: list[Weights], shares: list[float]) -> Weights:
+    """Weights averaged with the given shares, which add up to 1."""
+    columns = zip(*[w.arrays() for w in parts])
+    return Weights(*[sum(x.astype(np.float64) * s for x, s in zip(column, shares)).astype(column[0].dtype) for column in columns])

@@ -5,7 +5,9 @@
 2. The ``top`` most frequent words (a bounded table) are broadcast. The first ``head`` of them are
    words of the recurrent model, the others form bands whose words share a unit each; all words
    beyond are one more band. Within a band a word's share is its share of the band's counts.
-3. The model is trained on the texts of ``train_docs`` training documents, in one task.
+3. The model is trained on all training documents. In each of ROUNDS rounds, which share out the
+   documents, every task runs truncated backpropagation from the same weights over its texts; the
+   tasks' weights are averaged by their tokens and are the next round's.
 4. One pass over all texts scores what the broadcast table knows, and lists the other words of each
    row; these are joined to the counts and summed per row.
 """
@@ -19,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +29,7 @@ from beatgrid.llm import gru
 from beatgrid.llm.common import pieces, worker_cache
 from beatgrid.llm.tokens import HashTable
 from beatgrid.llm.words import SPACED, Words, hashes, split
-from beatgrid.sources.files import materialised
+from beatgrid.sources.files import discard, materialised
 
 #: The token that ends a text.
 END = np.uint64(0x656E64656E64656F)
@@ -36,6 +39,10 @@ SMOOTH = 0.1
 FLUSH = 4_000_000
 #: Tokens that are scored side by side.
 SIDE = 2_500_000
+#: Rounds of training, the step size of the first and its change from round to round.
+ROUNDS, RATE, DECAY = 3, 0.01, 0.4
+#: Training tokens for each task, tokens that a task learns from at a time, and weights averaged at a time.
+TASK_TOKENS, LEARN, FAN = 6_000_000, 1_000_000, 32
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -137,25 +144,71 @@ def unit_ids(v: Vocabulary, table: HashTable, h: np.ndarray) -> tuple[np.ndarray
     return rank, np.where(rank >= 0, v.unit[rank] if len(v.unit) else last, last)
 
 
-def trained(texts: DataFrame, v: Vocabulary) -> gru.Weights:
-    """The recurrent model, trained in one task on the one column of a bounded table."""
-    shared = texts.sparkSession.sparkContext.broadcast(v)
+LEARNED = "at int, tokens bigint, weights binary"
 
-    def run(group: pa.Table) -> pa.Table:
-        vocab = shared.value
-        table, unit, counts = vocab.table(), [], []
-        for batch in group.select(["t"]).to_batches():
+
+def trained(texts: DataFrame, v: Vocabulary, total: int) -> gru.Weights:
+    """The recurrent model, learned from all texts (column t); column round, from 0, has the round in
+    which a text takes its turn. There is one task for each TASK_TOKENS of the ``total`` tokens, so that
+    a task's steps are about as many at every size."""
+    context = texts.sparkSession.sparkContext
+    words, tasks = context.broadcast(v), max(1, -(-total // TASK_TOKENS))
+    weights = gru.initial(v.head_counts, v.tail_counts)
+    for turn in range(ROUNDS):
+        run = _learner(words, context.broadcast(weights), RATE * DECAY**turn)
+        found = texts.filter(F.col("round") == turn).select("t").coalesce(tasks)
+        found = materialised(found.mapInArrow(run, LEARNED), "weights")
+        weights = _averaged(found) or weights
+        discard(found)
+    return weights
+
+
+def _learner(words, weights, rate: float):
+    """One row of a task: its number, the tokens it learned from and the weights it came to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("language model")  # other operators' caches go
+        vocab = words.value
+        table, trainer = vocab.table(), gru.Trainer(weights.value, vocab.cls, vocab.word, rate)
+        unit, counts, held = [], [], 0
+
+        def learn() -> None:
+            trainer.learn(np.concatenate(unit), np.concatenate([[0], np.cumsum(np.concatenate(counts))]))
+
+        for batch in batches:
             for piece in pieces(batch, 0):
                 h, first = tokens(piece.column(0))
                 unit.append(unit_ids(vocab, table, h)[1])
                 counts.append(np.diff(first))
-        weights = gru.initial(vocab.head_counts, vocab.tail_counts)
-        first = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
-        weights = gru.train(weights, np.concatenate(unit), first, vocab.cls, vocab.word)
-        return pa.table({"weights": pa.array([pickle.dumps(weights)], pa.binary())})
+                held += len(h)
+                if held >= LEARN:
+                    learn()
+                    unit, counts, held = [], [], 0
+        if held:
+            learn()
+        if trainer.units:
+            at = TaskContext.get().partitionId()
+            values = [pa.array([at], pa.int32()), pa.array([trainer.units]), pa.array([pickle.dumps(trainer.w)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(values, ["at", "tokens", "weights"])
+
+    return run
+
+
+def _averaged(found: DataFrame) -> gru.Weights | None:
+    """The mean of all weights by tokens, FAN at a time."""
+
+    def merged(key: tuple, group: pa.Table) -> pa.Table:
+        n = group.column("tokens").to_numpy()
+        parts = [pickle.loads(x.as_py()) for x in group.column("weights")]
+        one = pickle.dumps(gru.mean(parts, (n / n.sum()).tolist()))
+        return pa.table({"at": pa.array([key[0].as_py()], pa.int32()), "tokens": pa.array([n.sum()]), "weights": pa.array([one], pa.binary())})
 
-    found = texts.groupBy(F.lit(0).alias("one")).applyInArrow(run, "weights binary").collect()
-    return pickle.loads(bytes(found[0].weights)) if found else gru.initial(v.head_counts, v.tail_counts)
+    left = (found.agg(F.max("at")).first()[0] or 0) + 1
+    while left > 1:
+        found = found.groupBy(F.floor(F.col("at") / FAN).cast("int").alias("group")).applyInArrow(merged, LEARNED)
+        left = -(-left // FAN)
+    row = found.first()
+    return None if row is None else pickle.loads(bytes(row.weights))
 
 
 SCORED = "_row bigint, ident {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, n_rare bigint, h bigint, n bigint"
@@ -236,17 +289,18 @@ def score_documents(
     top: int = 262_144,
     head: int = 2048,
     bands: int = 6,
-    train_docs: int = 1500,
+    train_docs: int | None = None,
 ) -> DataFrame:
     """(ident, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per row of ``docs``.
 
     Tokens are words between white space, A-Z lower-cased, and one end; a null or empty text is
     its end alone. base_score is the sum over tokens of log10((c + 0.1) / (N + 0.1 (V + 1))) with
     the counts of all training documents, score the model's log10 probability of the text. Nothing
-    is learned from documents whose crc32 of the id is divisible by ten, or whose id is null. The
-    recurrent weights are trained on the ``train_docs`` training documents of lowest id hash (whole
-    texts); all counts are of all training documents. Without any, both scores follow from the
-    smoothing alone. Repeated rows are scored each; other columns are not read.
+    is learned from documents whose crc32 of the id is divisible by ten, or whose id is null. Counts
+    and recurrent weights are learned from all other documents, whole texts, and the weights depend on
+    how Spark cuts the input into tasks; a caller may bound them to the ``train_docs`` documents of
+    lowest hash. Without any, both scores follow from the smoothing alone. Repeated rows are scored
+    each; other columns are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(ident).alias("ident"), F.col(text).cast("string").alias("t")).withColumn("held_out", held_out("ident"))
@@ -255,11 +309,13 @@ def score_documents(
     counts = materialised(count_words(learned.select("t")), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     vocab = vocabulary(frequent(counts, top), total, head, bands)
-    # the ids first, so that no task gathers texts of more documents than these
     place = F.xxhash64(F.col("ident").cast("string"), "t")
-    last = learned.select(place.alias("p")).orderBy("p").limit(train_docs).agg(F.max("p")).first()[0]
-    chosen = learned.filter(place <= F.lit(last).cast("bigint")).limit(train_docs)
-    weights = trained(chosen.select("t"), vocab)
+    chosen = learned
+    if train_docs is not None:
+        # the ids first, so that no task gathers texts of more documents than these
+        last = learned.select(place.alias("p")).orderBy("p").limit(train_docs).agg(F.max("p")).first()[0]
+        chosen = learned.filter(place <= F.lit(last).cast("bigint")).limit(train_docs)
+    weights = trained(chosen.select("t", F.pmod(place, F.lit(ROUNDS)).alias("round")), vocab, total)
     shared = spark.sparkContext.broadcast((vocab, weights))
     numbered = rows.select(F.monotonically_increasing_id().alias("_row"), "ident", "held_out", "t")
     passed = materialised(_pass(numbered, kind, shared, uuid.uuid4().hex), "scored")
