@@ -19,7 +19,7 @@ CLASS_WORDS = 64
 WINDOW = 32
 #: Texts side by side at first and at most, steps after which they double, and units of a text that
 #: are learned as one stretch.
-FEW, SIDE, RAMP, SPAN = 4, 256, 100, 1024
+FEW, SIDE, RAMP, SPAN = 4, 256, 50, 1024
 #: Output rows that are scored at a time.
 ROWS = 100_000
 
@@ -160,24 +160,31 @@ def gradients(w: Weights, h: np.ndarray, unit: np.ndarray, real: np.ndarray, cls
         g[5][k] += states[rows].T @ d
         g[6][k] += d.sum(axis=0)
         d_states[rows] += d @ w.word_w[k].T
-    every = np.zeros((b * steps, n), np.float32)
+    every = np.zeros((b * steps, n), states.dtype)
     every[flat] = d_states
     every = every.reshape(steps, b, n)
-    dh = np.zeros((b, n), np.float32)
+    dh = np.zeros((b, n), states.dtype)
+    d_x = np.empty((steps, b, 3 * n), states.dtype)
     for t in range(steps - 1, -1, -1):
         keep = real[:, t, None]
         d_new = np.where(keep, dh, 0)
         prev, z, r, c = before[t], zs[t], rs[t], cs[t]
         d_c = d_new * z * (1 - c * c)
-        d_z = d_new * (c - prev) * z * (1 - z)
         d_rh = d_c @ w.candidate.T
-        d_r = d_rh * prev * r * (1 - r)
-        d_gates = np.concatenate([d_z, d_r], axis=1)
-        g[1] += prev.T @ d_gates
-        g[2] += (r * prev).T @ d_c
-        np.add.at(g[0], unit[:, t], np.concatenate([d_gates, d_c], axis=1))
+        d_gates = d_x[t, :, : 2 * n]
+        d_gates[:, :n] = d_new * (c - prev) * z * (1 - z)
+        d_gates[:, n:] = d_rh * prev * r * (1 - r)
+        d_x[t, :, 2 * n :] = d_c
         back = d_new * (1 - z) + d_rh * r + d_gates @ w.state.T
         dh = np.where(keep, back, dh) + every[t]
+    # the weights' gradients of all steps at once; units that are not real have none
+    d_x = d_x.reshape(steps * b, 3 * n)[flat]
+    g[1] += states.T @ d_x[:, : 2 * n]
+    g[2] += (np.concatenate(rs)[flat] * states).T @ d_x[:, 2 * n :]
+    order = np.argsort(target, kind="stable")
+    if len(order):
+        at = np.flatnonzero(np.diff(target[order], prepend=-1))
+        g[0][target[order[at]]] = np.add.reduceat(d_x[order], at)
     return g, h, loss
 
 
