@@ -82,6 +82,16 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _towards(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, float]:
+    """(softmax of each row less 1 at its target, summed negative log of the targets' shares)."""
+    p = np.exp(x - x.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    rows = np.arange(len(target))
+    loss = -float(np.log(np.maximum(p[rows, target], np.finfo(p.dtype).tiny)).sum())
+    p[rows, target] -= 1
+    return p, loss
+
+
 def log_probability(w: Weights, states: np.ndarray, cls: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Natural log of P(class) times, in head classes, P(word | class), for each state and target."""
     out = np.zeros(len(cls), np.float64)
@@ -127,10 +137,11 @@ def gradients(w: Weights, h: np.ndarray, unit: np.ndarray, real: np.ndarray, cls
     b, steps = unit.shape
     n = h.shape[1]
     before, zs, rs, cs = [], [], [], []
+    full = real.all(axis=0)
     for t in range(steps):
         before.append(h)
         new, z, r, c = step(w, h, unit[:, t])
-        h = np.where(real[:, t, None], new, h)
+        h = new if full[t] else np.where(real[:, t, None], new, h)
         zs.append(z), rs.append(r), cs.append(c)
     flat = real.T.ravel()
     states = np.concatenate(before)[flat]
@@ -138,10 +149,7 @@ def gradients(w: Weights, h: np.ndarray, unit: np.ndarray, real: np.ndarray, cls
     cls, word = cls_of[target], word_of[target]
     total = max(1, len(target))
     g = [np.zeros_like(x) for x in w.arrays()]
-    logits = _log_softmax(states @ w.class_w + w.class_b)
-    loss = -float(logits[np.arange(len(cls)), cls].sum())
-    d = np.exp(logits)
-    d[np.arange(len(cls)), cls] -= 1
+    d, loss = _towards(states @ w.class_w + w.class_b, cls)
     d /= total
     g[3] += states.T @ d
     g[4] += d.sum(axis=0)
@@ -152,12 +160,11 @@ def gradients(w: Weights, h: np.ndarray, unit: np.ndarray, real: np.ndarray, cls
         rows = order[edges[k] : edges[k + 1]]
         if not len(rows):
             continue
-        lp = _log_softmax(states[rows] @ w.word_w[k] + w.word_b[k])
-        loss -= float(lp[np.arange(len(rows)), word[rows]].sum())
-        d = np.exp(lp)
-        d[np.arange(len(rows)), word[rows]] -= 1
+        here = states[rows]
+        d, more = _towards(here @ w.word_w[k] + w.word_b[k], word[rows])
+        loss += more
         d /= total
-        g[5][k] += states[rows].T @ d
+        g[5][k] += here.T @ d
         g[6][k] += d.sum(axis=0)
         d_states[rows] += d @ w.word_w[k].T
     every = np.zeros((b * steps, n), states.dtype)
@@ -167,7 +174,7 @@ def gradients(w: Weights, h: np.ndarray, unit: np.ndarray, real: np.ndarray, cls
     d_x = np.empty((steps, b, 3 * n), states.dtype)
     for t in range(steps - 1, -1, -1):
         keep = real[:, t, None]
-        d_new = np.where(keep, dh, 0)
+        d_new = dh if full[t] else np.where(keep, dh, 0)
         prev, z, r, c = before[t], zs[t], rs[t], cs[t]
         d_c = d_new * z * (1 - c * c)
         d_rh = d_c @ w.candidate.T
@@ -176,7 +183,7 @@ def gradients(w: Weights, h: np.ndarray, unit: np.ndarray, real: np.ndarray, cls
         d_gates[:, n:] = d_rh * prev * r * (1 - r)
         d_x[t, :, 2 * n :] = d_c
         back = d_new * (1 - z) + d_rh * r + d_gates @ w.state.T
-        dh = np.where(keep, back, dh) + every[t]
+        dh = (back if full[t] else np.where(keep, back, dh)) + every[t]
     # the weights' gradients of all steps at once; units that are not real have none
     d_x = d_x.reshape(steps * b, 3 * n)[flat]
     g[1] += states.T @ d_x[:, : 2 * n]
