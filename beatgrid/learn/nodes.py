@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -271,6 +271,58 @@ def cut_counts(trees: Trees, df: DataFrame, label: str, counts: Sequence[int], d
     )
 
 
+def with_votes(
+    trees: Trees, state: DataFrame, label: str, depths: Sequence[int | None], parts: Sequence[tuple[int, int]], vector: str = "features"
+) -> DataFrame:
+    """(vector, label, raw) of each row, the trees' votes added to ``raw``: sums by depth limit, part and class.
+
+    ``parts`` are ranges of these trees, some may be empty; ``depths`` ascend with None last. Without a
+    column ``raw`` the sums begin at zero. So a forest too large for one fit votes block by block.
+    """
+    shared = state.sparkSession.sparkContext.broadcast(trees)
+    width = trees.value.shape[1]
+    before = F.col("raw") if "raw" in state.columns else F.array_repeat(F.lit(0.0), len(depths) * len(parts) * width)
+    rows = state.select(vector_to_array(vector).alias("_x"), F.col(label).cast("int").alias(label), before.alias("raw"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        size = model.rows_at_a_time()
+        for batch in batches:
+            for start in range(0, batch.num_rows, size):
+                part = batch.slice(start, size)
+                raw = _matrix(part, 2).reshape(part.num_rows, len(depths), len(parts), width).copy()
+                for d, ends in enumerate(model.ends(_matrix(part, 0), [model.stops(x) for x in depths])):
+                    for k, (low, high) in enumerate(parts):
+                        raw[:, d, k] += model.value[ends[:, low:high]].sum(axis=1)
+                each = len(depths) * len(parts) * width
+                sums = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * each), pa.array(raw.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), sums], names=["_x", label, "raw"])
+
+    return rows.mapInArrow(run, f"_x array<double>, `{label}` int, raw array<double>").select(array_to_vector("_x").alias(vector), label, "raw")
+
+
+def vote_counts(state: DataFrame, label: str, counts: Sequence[int], depths: Sequence[int | None]) -> DataFrame:
+    """As ``cut_counts``, from the sums of ``with_votes`` with a part up to each of ``counts``. A task adds its rows up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((5, len(depths), len(counts)), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            raw = _matrix(batch, 1).reshape(batch.num_rows, len(depths), len(counts), -1)
+            y = batch.column(0).to_numpy(zero_copy_only=False)[:, None, None]
+            p = np.argmax(np.cumsum(raw, axis=2), axis=3)
+            total += np.stack([x.sum(axis=0) for x in (np.ones_like(p), y == p, (y == 1) & (p == 1), (y != 1) & (p == 1), (y == 1) & (p != 1))])
+        at = [(n, d) for d in depths for n in counts]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([n for n, _ in at], pa.int32()), pa.array([d for _, d in at], pa.int32()), *[pa.array(t.ravel()) for t in total]],
+            names=["trees", "depth", "n", "n_right", "tp", "fp", "fn"],
+        )
+
+    found = state.select(label, "raw").mapInArrow(run, "trees int, depth int, n bigint, n_right bigint, tp bigint, fp bigint, fn bigint")
+    return found.groupBy("trees", "depth").agg(*[F.sum(c).alias(c) for c in ("n", "n_right", "tp", "fp", "fn")]).filter("n > 0")
+
+
 def boosting_curve(trees: Trees, df: DataFrame, label: str, vector: str = "features") -> DataFrame:
     """(round, n, tp, fp, fn, f1) of a boosted model after each of its rounds, from one pass over the rows.
 

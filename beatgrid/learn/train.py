@@ -24,13 +24,16 @@ from pyspark.sql import functions as F
 from beatgrid.learn import nodes, singles
 from beatgrid.learn.prep import assembler, fold_column, numeric
 from beatgrid.learn.resample import smote, undersample
-from beatgrid.sources.files import materialised
+from beatgrid.sources.files import discard, materialised
 
 SEED = 42
 
 #: Deeper forests keep each row's node from level to level instead of walking there from the root.
 NODE_ID_DEPTH = 10
 
+#: Nodes of the trees that one fit of a search grows on the driver, and of all its fits side by side.
+FIT_NODES, ALL_NODES = 250_000, 2_000_000
+
 # Published baseline settings per family.
 BASELINES: dict[str, dict] = {
     "random_forest": {"numTrees": 30, "maxDepth": 10, "minInstancesPerNode": 2},
@@ -348,6 +351,12 @@ def _fits(learner: Estimator, grid: list[dict]) -> list[tuple[dict, list[int]]]:
     return out
 
 
+def tree_blocks(trees: int, nodes_a_tree: int) -> list[int]:
+    """Trees of each fit of a forest, as even as can be, so that none grows more than ``FIT_NODES`` nodes or has one tree."""
+    n = -(-trees // max(1, FIT_NODES // max(1, nodes_a_tree)))
+    return [trees * (k + 1) // n - trees * k // n for k in range(n)]
+
+
 def _search(
     train_df: DataFrame,
     learner: Estimator,
@@ -364,6 +373,9 @@ def _search(
 
     The fits of all folds run side by side, ``parallelism`` at a time. Folds without held rows give
     no score.
+
+    Spark grows a forest on the driver, so one whose trees would pass ``FIT_NODES`` (by a small forest
+    fitted first) is grown in blocks of trees with a seed each; the held rows keep the sums of the votes.
     """
     spark = train_df.sparkSession
     tables = fold_tables(train_df, features, label, folds, ident, resample)
@@ -376,24 +388,68 @@ def _search(
         found = {p.name: v for p, v in {**params, **point}.items()}
         return found.get(name, learner.getOrDefault(name))
 
-    def run(job: tuple[int, dict, list[int]]) -> list[tuple[int, int, dict]]:
-        fold, params, members = job
-        fit, held = tables[fold]
+    def settled(params: dict) -> dict:
         settings = dict(params)
         if forest and value({}, params, "maxDepth") > NODE_ID_DEPTH:
             settings[learner.cacheNodeIds] = True
-        model = learner.copy(settings).fit(_packed(fit))
-        trees = nodes.Trees.of(nodes.node_table(model, spark))
+        return settings
+
+    def nodes_of_a_tree(params: dict) -> int:
+        few = {**settled(params), learner.numTrees: 2}
+        if learner.getFeatureSubsetStrategy() == "auto":
+            few.setdefault(learner.featureSubsetStrategy, "sqrt")
+        return -(-learner.copy(few).fit(_packed(tables[0][0])).totalNumNodes // 2)
+
+    def in_blocks(job: tuple[int, dict, list[int]], sizes: list[int], counts: list[int], depths: list[int]) -> DataFrame:
+        fold, params, _ = job
+        fit, held = tables[fold]
+        depths = sorted(depths)
+        ends, first, state = [0, *counts], 0, held
+        for block, size in enumerate(sizes):
+            settings = {**settled(params), learner.numTrees: size, learner.seed: SEED + 1_000_003 * block}
+            if learner.getFeatureSubsetStrategy() == "auto":  # of a single tree, "auto" is another rule
+                settings.setdefault(learner.featureSubsetStrategy, "sqrt")
+            trees = nodes.Trees.of(nodes.node_table(learner.copy(settings).fit(_packed(fit)), spark))
+            parts = [(min(max(a - first, 0), size), min(max(b - first, 0), size)) for a, b in zip(ends, ends[1:])]
+            before, state = state, materialised(nodes.with_votes(trees, state, label, depths, parts), "votes")
+            if block:
+                discard(before)
+            first += size
+        return nodes.vote_counts(state, label, counts, depths)
+
+    def run(job: tuple[int, dict, list[int]]) -> list[tuple[int, int, dict]]:
+        fold, params, members = job
+        fit, held = tables[fold]
         wanted = {i: (value(grid[i], params, many), value(grid[i], params, deep) if deep else None) for i in members}
         counts, depths = sorted({n for n, _ in wanted.values()}), sorted({d for _, d in wanted.values()}, key=str)
+        sizes = blocks[members[0]]
+        if len(sizes) > 1:
+            table = {(r["trees"], r["depth"]): r.asDict() for r in in_blocks(job, sizes, counts, depths).collect()}
+            return [(fold, i, table.get(at, {})) for i, at in wanted.items()]
+        model = learner.copy(settled(params)).fit(_packed(fit))
+        trees = nodes.Trees.of(nodes.node_table(model, spark))
         # boosting may end before its last round
         reached = {n: min(n, len(trees.roots)) for n in counts}
         found = nodes.cut_counts(trees, held, label, sorted(set(reached.values())), depths)
         table = {(r["trees"], r["depth"]): r.asDict() for r in found.collect()}
         return [(fold, i, table.get((reached[n], d), {})) for i, (n, d) in wanted.items()]
 
-    jobs = [(fold, params, members) for params, members in _fits(learner, grid) for fold in range(folds)]
-    with ThreadPool(min(parallelism, len(jobs))) as pool:
+    fits = _fits(learner, grid)
+    jobs = [(fold, params, members) for params, members in fits for fold in range(folds)]
+    blocks, side_by_side = {members[0]: [0] for _, members in fits}, min(parallelism, len(jobs))
+    if forest:
+        n_rows = tables[0][0].count()
+        most = {members[0]: value({}, params, many) for params, members in fits}
+        # no tree has more nodes than its depth allows, or than two for each row
+        bound = {members[0]: min(2 ** (value({}, params, deep) + 1), 2 * n_rows) for params, members in fits}
+        unsure = [(params, members[0]) for params, members in fits if n_rows and bound[members[0]] * most[members[0]] > FIT_NODES]
+        if unsure:
+            with ThreadPool(min(parallelism, len(unsure))) as pool:
+                bound |= zip([k for _, k in unsure], pool.map(inheritable_thread_target(spark)(nodes_of_a_tree), [p for p, _ in unsure], chunksize=1))
+        blocks = {k: tree_blocks(n, bound[k]) for k, n in most.items()}
+        largest = max(max(sizes) * bound[k] for k, sizes in blocks.items())
+        side_by_side = max(1, min(side_by_side, ALL_NODES // max(1, largest)))
+    with ThreadPool(side_by_side) as pool:
         done = [r for part in pool.imap_unordered(inheritable_thread_target(spark)(run), jobs) for r in part]
     for _, i, r in sorted(done, key=lambda x: x[:2]):
         if r:

@@ -163,6 +163,29 @@ def test_search_scores_are_those_of_fits_per_candidate(table):
     assert found.bestModel.getNumTrees == found.best[learner.numTrees]
 
 
+def test_large_forests_of_a_search_are_fitted_in_blocks(table, monkeypatch):
+    """No fit grows more nodes than the driver may hold, and without random draws the scores stay the same."""
+    learner = train.FAMILIES["random_forest"]({"bootstrap": False, "featureSubsetStrategy": "all"}, "y")
+    grid = train.param_grid(learner, {"numTrees": [2, 5, 7], "maxDepth": [1, 3, 12], "minInstancesPerNode": [1]})
+    whole = train._search(table, learner, grid, X, "y", "accuracy", 3, "incident_id", 4)
+    grown, plain = [], nodes.node_table
+    monkeypatch.setattr(train, "FIT_NODES", 250, raising=False)
+    monkeypatch.setattr(nodes, "node_table", lambda model, spark: grown.append((model.getNumTrees, model.totalNumNodes)) or plain(model, spark))
+    found = train._search(table, learner, grid, X, "y", "accuracy", 3, "incident_id", 4)
+    assert sum(n for n, _ in grown) == 3 * 7 and all(n == 1 or size <= 1.5 * 250 for n, size in grown)
+    assert found.rows == whole.rows and [x for m in found.foldMetrics for x in m] == pytest.approx([x for m in whole.foldMetrics for x in m])
+
+
+def test_blocks_of_a_forest_have_trees_of_their_own(spark, table, monkeypatch):
+    seen, plain = [], nodes.with_votes
+    monkeypatch.setattr(train, "FIT_NODES", 250)
+    monkeypatch.setattr(nodes, "with_votes", lambda trees, *rest: seen.append(trees) or plain(trees, *rest))
+    found = train.grid_search(table, X, "y", "random_forest", folds=2, grid={"numTrees": [3, 6], "maxDepth": [12]}, parallelism=1)
+    one = [sorted(zip(t.feature.tolist(), t.threshold.tolist())) for t in seen]
+    assert len(one) > 2 and all(a != b for k, a in enumerate(one) for b in one[:k])
+    assert found.rows == [900, 900] and min(found.avgMetrics) > 0.8
+
+
 def test_out_of_fold_scores(spark, table):
     families = {"random_forest": {"numTrees": 4, "maxDepth": 3}, "xgboost": {"maxIter": 3, "maxDepth": 2}}
     data = train.vectors(table, X).withColumn("fold", F.pmod("incident_id", F.lit(3)).cast("int"))
