@@ -1,6 +1,7 @@
 """Node tables, cut forests, searches that read them, patience, and trees with cuts and draws of their own."""
 
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -163,6 +164,23 @@ def test_search_scores_are_those_of_fits_per_candidate(table):
     assert found.bestModel.getNumTrees == found.best[learner.numTrees]
 
 
+@pytest.mark.parametrize("name", ["ml7", "ml7b"])
+def test_families_are_fitted_side_by_side(spark, table, monkeypatch, name):
+    from workload import learn_queries
+
+    families = train.available()
+    together = threading.Barrier(len(families), timeout=60)
+    small = train.estimator("random_forest", "y", {"numTrees": 2, "maxDepth": 2}).fit(train.vectors(table, X))
+    monkeypatch.setattr(learn_queries, "INPUT", X)
+    monkeypatch.setattr(learn_queries, "LABEL", "y")
+    monkeypatch.setattr(learn_queries, "halves", lambda *_: (table, table))
+    monkeypatch.setattr(train, "train", lambda *_: (together.wait(), small)[1])
+    got = getattr(learn_queries, name)(spark, "").collect()
+    assert [r.model for r in got] == families
+    if name == "ml7b":
+        assert {(r.n_rows, r.n_in_range, r.separates) for r in got} == {(900, 900, True)}
+
+
 def test_large_forests_of_a_search_are_fitted_in_blocks(table, monkeypatch):
     """No fit grows more nodes than the driver may hold, and without random draws the scores stay the same."""
     learner = train.FAMILIES["random_forest"]({"bootstrap": False, "featureSubsetStrategy": "all"}, "y")

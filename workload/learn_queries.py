@@ -5,6 +5,8 @@ Fits use the published inputs, settings, grids, draws and folds. All rows of the
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,12 +143,12 @@ def ml6b(spark, sf_dir):
 @query("ml7_model_dispatch")
 def ml7(spark, sf_dir):
     fit_on, test = halves(spark, sf_dir)
-    out = None
-    for family in train.available():
+
+    def of(family: str) -> DataFrame:
         model = train.train(fit_on, INPUT, LABEL, family)
-        part = _metrics_of(model, test).withColumn("model", F.lit(family))
-        out = part if out is None else out.unionByName(part)
-    return out
+        return _metrics_of(model, test).withColumn("model", F.lit(family))
+
+    return reduce(DataFrame.unionByName, train.each_family(train.available(), of))
 
 
 @query("ml8_random_search")
@@ -388,15 +390,16 @@ def ml7b(spark, sf_dir):
     """Per family: test rows scored, positive ones, scores between 0 and 1, and whether positive rows
     score higher than the others on average."""
     fit_on, test = halves(spark, sf_dir)
-    out = None
-    for family in train.available():
+
+    def of(family: str) -> DataFrame:
         result = train.scored(train.train(fit_on, INPUT, LABEL, family), train.vectors(test, INPUT), LABEL)
-        part = result.groupBy(F.lit(family).alias("model")).agg(
+        result = files.materialised(result.select("label", "score"), "scores")  # else each mention scores anew
+        return result.groupBy(F.lit(family).alias("model")).agg(
             F.count("*").alias("n_rows"), F.sum(F.col("label").cast("bigint")).alias("n_positive"), F.count_if((F.col("score") >= 0) & (F.col("score") <= 1)).alias("n_in_range"),
             (F.avg(F.when(F.col("label") == 1, F.col("score"))) > F.avg(F.when(F.col("label") == 0, F.col("score")))).alias("separates"),
         )
-        out = part if out is None else out.unionByName(part)
-    return out
+
+    return reduce(DataFrame.unionByName, train.each_family(train.available(), of))
 
 
 @query("ev5b_importance_sums")
