@@ -272,24 +272,26 @@ FIT_ROWS = 50_000
 
 
 def fold_tables(
-    train_df: DataFrame, features: Sequence[str], label: str, folds: int, ident: str, resample: str | None = None
+    train_df: DataFrame, features: Sequence[str], label: str, folds: int, ident: str, resample: str | None = None, parallelism: int = 8
 ) -> list[tuple[DataFrame, DataFrame]]:
     """(rows to fit on, held rows) of each fold as vectors, staged.
 
     ``resample`` balances the classes of each fold's fit rows, ``smote`` with synthetic rows and
     ``undersample`` by a draw from the larger class; held rows are always given ones. A row's fold
-    hangs on its id alone.
+    hangs on its id alone. The folds are made side by side.
     """
     plain = numeric(train_df.select(ident, label, *[F.col(f"`{c}`") for c in features]), features)
     rows = materialised(plain.withColumn("fold", fold_column(ident, folds)), "folds")
-    out = []
-    for fold in range(folds):
+
+    def made(fold: int) -> tuple[DataFrame, DataFrame]:
         fit, held = rows.filter(F.col("fold") != fold).drop("fold"), rows.filter(F.col("fold") == fold)
         fit = vectors(resampled(fit, features, label, ident, resample), features)
         keep = ["features", label, ident, *(["is_synthetic"] if "is_synthetic" in fit.columns else [])]
         fit = prepared(fit, "", label, ident).select(*keep, "weight", "held_out")
-        out.append((materialised(fit, "fold-fit"), materialised(vectors(held, features).select("features", label, ident), "fold-held")))
-    return out
+        return materialised(fit, "fold-fit"), materialised(vectors(held, features).select("features", label, ident), "fold-held")
+
+    with ThreadPool(max(1, min(parallelism, folds))) as pool:
+        return pool.map(inheritable_thread_target(train_df.sparkSession)(made), range(folds), chunksize=1)
 
 
 def resampled(df: DataFrame, features: Sequence[str], label: str, ident: str, how: str | None) -> DataFrame:
@@ -385,7 +387,7 @@ def _search(
     fitted first) is grown in blocks of trees with a seed each; the held rows keep the sums of the votes.
     """
     spark = train_df.sparkSession
-    tables = fold_tables(train_df, features, label, folds, ident, resample)
+    tables = fold_tables(train_df, features, label, folds, ident, resample, parallelism)
     forest = isinstance(learner, RandomForestClassifier)
     many, deep = ("numTrees", "maxDepth") if forest else ("maxIter", None)
     scores: list[list[float]] = [[] for _ in grid]

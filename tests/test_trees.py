@@ -164,6 +164,12 @@ def test_search_scores_are_those_of_fits_per_candidate(table):
     assert found.bestModel.getNumTrees == found.best[learner.numTrees]
 
 
+def test_folds_are_made_side_by_side(table, monkeypatch):
+    together, plain = threading.Barrier(3, timeout=60), train.smote
+    monkeypatch.setattr(train, "smote", lambda *a: (together.wait(), plain(*a))[1])
+    assert len(train.fold_tables(table, X, "y", 3, "incident_id", "smote")) == 3
+
+
 @pytest.mark.parametrize("name", ["ml7", "ml7b"])
 def test_families_are_fitted_side_by_side(spark, table, monkeypatch, name):
     from workload import learn_queries
