@@ -5,9 +5,9 @@ knows spelling, case and punctuation in any language. With ``whole``, as in the
 before run across word borders from the start of the text, so that repetition and the order of words
 show; otherwise every word stands alone. N-gram counts of the trusted documents are
 sharded by n-gram; continuation counts, context totals, back-off weights and interpolated
-probabilities follow from joins of these counts, order by order. The trusted documents are a bounded
-set, and so is the table of probabilities, which every task holds to look the n-grams of its
-documents up. Per language, the threshold is the perplexity that tells trusted documents from labelled
+probabilities follow from joins of these counts, order by order. All trusted documents are counted. A
+table of probabilities of bounded size is held by every task, to look the n-grams of its documents up;
+with a larger one they are joined. Per language, the threshold is the perplexity that tells trusted documents from labelled
 bad ones best; without ``whole``, or where a language has too few bad ones, it follows from a quantile
 of the trusted documents' perplexities.
 """
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ SYMBOLS = 256
 END = 0x20
 #: Words, or n-grams of whole texts, whose score a worker keeps.
 CACHE_WORDS = 1_000_000
+#: A model with more n-grams and contexts is not held by the tasks; n-grams of documents are joined with it.
+MODEL_ROWS = 3_000_000
 #: Perplexities are told apart to one part in so many when a threshold is checked on bad rows.
 BINS = 1000
 
@@ -81,16 +84,18 @@ def text_ngrams(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_ngrams(texts: DataFrame, whole: bool = False) -> DataFrame:
-    """(gram, c): counts of the highest order over the one column of ``texts``."""
+    """(half, gram, c): counts of the highest order over the texts (t, half) of each half."""
     grams = text_ngrams if whole else ngrams
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, 0):
-                gram, c = np.unique(grams(split(piece.column(0), _SPACED))[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(c)], ["gram", "c"])
+                of = piece.column(1).to_numpy(zero_copy_only=False)
+                for h in np.unique(of):
+                    gram, c = np.unique(grams(split(piece.column(0).filter(pa.array(of == h)), _SPACED))[0], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), h, np.int32)), pa.array(gram.astype(np.int64)), pa.array(c)], ["half", "gram", "c"])
 
-    return texts.mapInArrow(run, "gram bigint, c bigint").groupBy("gram").agg(F.sum("c").alias("c"))
+    return texts.mapInArrow(run, "half int, gram bigint, c bigint").groupBy("half", "gram").agg(F.sum("c").alias("c"))
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -164,7 +169,7 @@ class Model:
 
 
 def packed(p: DataFrame, gamma: DataFrame) -> tuple:
-    """The tables as plain arrays; their size is bounded by the training documents'."""
+    """The tables as plain arrays, of ``MODEL_ROWS`` rows at most."""
     a, b = p.toPandas(), gamma.toPandas()
     return (
         a["order"].to_numpy(), a["gram"].to_numpy(), a["p"].to_numpy(),
@@ -259,9 +264,49 @@ def half(ident: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(1), F.col(ident)), F.lit(2)).cast("int")
 
 
+def document_ngrams(docs: DataFrame, keep: list[str], whole: bool) -> DataFrame:
+    """(keep..., _half, _n, _grams, _counts, _row) of each row (keep..., _text, _half), staged: its different
+    n-grams of highest order, how often each occurs, and the number of all."""
+    at = len(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, at):
+                words = split(piece.column(at), _SPACED)
+                key, first = (text_ngrams if whole else ngrams)(words)
+                first = first if whole else first[words.first]
+                n = np.diff(first)
+                text = np.repeat(np.arange(len(n)), n)
+                order = np.lexsort((key, text))
+                key, text = key[order], text[order]
+                new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1]))[: len(key)])
+                count = np.diff(np.append(new, len(key)))
+                ends = pa.array(np.searchsorted(text[new], np.arange(len(n) + 1)).astype(np.int32))
+                grams = pa.ListArray.from_arrays(ends, pa.array(key[new].astype(np.int64)))
+                counts = pa.ListArray.from_arrays(ends, pa.array(count.astype(np.int64)))
+                yield pa.RecordBatch.from_arrays([*piece.columns[:at], piece.column(at + 1), pa.array(n, pa.int64()), grams, counts], [*keep, "_half", "_n", "_grams", "_counts"])
+
+    given = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:at])
+    found = docs.mapInArrow(run, f"{given}, _half int, _n bigint, _grams array<bigint>, _counts array<bigint>")
+    return materialised(found.withColumn("_row", F.monotonically_increasing_id()), "document-grams")
+
+
+def joined_scores(grams: DataFrame, p: DataFrame, gamma: DataFrame) -> DataFrame:
+    """(half, gram, score) of different n-grams of highest order (half, gram): what ``Model.sign_scores`` gives, by joins."""
+    rows = grams.withColumns({"p": F.lit(None).cast("double"), "weight": F.lit(1.0)})
+    for k in range(ORDER, 0, -1):
+        seen = p.filter(F.col("order") == k).select("half", F.col("gram").alias("shorter"), F.col("p").alias("found"))
+        back = gamma.filter(F.col("order") == k).select("half", "context", "gamma")
+        rows = rows.withColumn("shorter", F.col("gram").bitwiseAND(F.lit(mask(k)).cast("bigint")))
+        rows = rows.withColumn("context", F.shiftright("shorter", 8)).join(seen, ["half", "shorter"], "left").join(back, ["half", "context"], "left")
+        weight = F.when(F.col("p").isNull() & F.col("found").isNull(), F.col("weight") * F.coalesce("gamma", F.lit(1.0))).otherwise(F.col("weight"))
+        rows = rows.select("half", "gram", F.coalesce("p", "found").alias("p"), weight.alias("weight"))
+    return rows.select("half", "gram", F.log(F.coalesce("p", F.lit(1.0 / SYMBOLS)) * F.col("weight")).alias("score"))
+
+
 @dataclass
 class Classifier:
-    """Trained models, shared with the tasks, and the thresholds by language. With two models a
+    """Trained models, shared with the tasks or as ``tables`` to join with, and the thresholds by language. With two models a
     document is scored by the one that was not trained on its half of the ids."""
 
     shared: list
@@ -272,9 +317,23 @@ class Classifier:
     whole: bool = False
     thresholds: DataFrame | None = None
     pooled: float | None = None
+    #: ((half, order, gram, p), (half, order, context, gamma)) of models too large to be shared
+    tables: tuple[DataFrame, DataFrame] | None = None
+
+    def joined_perplexities(self, docs: DataFrame, keep: list[str]) -> DataFrame:
+        """As ``perplexities``; nothing is held whole, the n-grams of the documents are shuffled."""
+        of = half(self.ident) if self.whole else F.lit(0)
+        rows = document_ngrams(docs.select(*[f"`{c}`" for c in keep], F.col(self.text).cast("string").alias("_text"), of.alias("_half")), keep, self.whole)
+        each = rows.select("_row", F.col("_half").alias("half"), F.explode(F.arrays_zip("_grams", "_counts")).alias("x"))
+        each = each.select("_row", "half", F.col("x._grams").alias("gram"), F.col("x._counts").alias("c"))
+        score = materialised(joined_scores(each.select("half", "gram").distinct(), *self.tables), "gram-scores")
+        sums = each.join(score, ["half", "gram"]).groupBy("_row").agg(F.sum(F.col("c") * F.col("score")).alias("_sum"))
+        return rows.join(sums, "_row", "left").select(*[f"`{c}`" for c in keep], "_n", F.exp(-F.col("_sum") / F.col("_n")).alias("_perplexity"))
 
     def perplexities(self, docs: DataFrame, keep: list[str]) -> DataFrame:
         """The columns ``keep`` and _n (signs) and _perplexity (null without words) of each row."""
+        if self.tables is not None:
+            return self.joined_perplexities(docs, keep)
         whole, at = self.whole, len(keep)
         rows = docs.select(*[f"`{c}`" for c in keep], F.col(self.text).cast("string").alias("_text"))
         out = rows.select(*[f"`{c}`" for c in keep], F.lit(0).cast("bigint").alias("_n"), F.lit(None).cast("double").alias("_perplexity"))
@@ -348,15 +407,15 @@ def fit(
     ident: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
-    train_docs: int = 6000,
+    train_docs: int | None = None,
     quantile: float = 0.995,
     slack: float = 1.5,
     languages: int = 1024,
     min_trusted: int = 30,
     whole: bool = False,
 ) -> Classifier:
-    """Train on ``train_docs`` trusted documents (those of lowest id hash, whole texts) and set the
-    thresholds from the perplexities of all trusted documents.
+    """Train on all trusted documents (whole texts) and set the thresholds from the perplexities of all of
+    them. With ``train_docs`` only that many are trained on, those of lowest id hash.
 
     The threshold of a language is ``slack`` times the ``quantile`` of its trusted documents. It is
     made for the ``languages`` with most trusted documents that have ``min_trusted`` of them; any
@@ -373,14 +432,17 @@ def fit(
     import uuid
 
     trusted = materialised(trusted_ids(labels, ident), "trusted")
-    chosen = trusted.orderBy(F.xxhash64("_id"), "_id").limit(train_docs)
-    texts = docs.join(F.broadcast(chosen), docs[ident] == F.col("_id"), "left_semi").select(F.col(text).cast("string").alias("t"), half(ident).alias("half"))
-    if whole:
-        texts = materialised(texts, "trusted-texts")  # the documents are read once for both models
-    parts = [texts.filter(F.col("half") != h) for h in (0, 1)] if whole else [texts]
-    tables = [packed(*probabilities(count_ngrams(part.select("t"), whole))) for part in parts]
+    chosen = trusted if train_docs is None else trusted.orderBy(F.xxhash64("_id"), "_id").limit(train_docs)
+    texts = docs.join(chosen, docs[ident] == F.col("_id"), "left_semi").select(F.col(text).cast("string").alias("t"), (half(ident) if whole else F.lit(1)).alias("half"))
+    counts = materialised(count_ngrams(texts, whole), "counted-grams")  # the documents are read once for both models
+    found = [probabilities(counts.filter(F.col("half") != h).select("gram", "c")) for h in ((0, 1) if whole else (0,))]
     context = docs.sparkSession.sparkContext
-    model = Classifier([context.broadcast(t) for t in tables], uuid.uuid4().hex, ident, text, lang, whole)
+    model = Classifier([], uuid.uuid4().hex, ident, text, lang, whole)
+    if max(p.count() + gamma.count() for p, gamma in found) > MODEL_ROWS:
+        sides = [[side.withColumn("half", F.lit(h)) for h, side in enumerate(both)] for both in zip(*found)]
+        model.tables = tuple(reduce(DataFrame.unionByName, both) for both in sides)
+    else:
+        model.shared = [context.broadcast(packed(*both)) for both in found]
     scored = model.perplexities(docs.select(ident, text, lang), [ident, lang]).filter("_perplexity is not null")
     scored = scored.withColumnRenamed(lang, "_lang")
     told = trusted.withColumn("_good", F.lit(True))

@@ -316,6 +316,31 @@ def test_quality_across_words_is_scored_by_the_other_halfs_model(spark, texts):
     assert {r.threshold for r in got.values()} == {trusted[14] * 1.1}
 
 
+@pytest.mark.parametrize("whole", [True, False])
+def test_quality_of_models_too_large_to_share(spark, texts, monkeypatch, whole):
+    docs = spark.createDataFrame([(i, t, "ab"[i % 2]) for i, t in enumerate([*texts[:60], None, "", "  "])], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    options = dict(whole=whole, min_trusted=8, quantile=0.5, slack=1.1)
+    held = {r.doc_id: r for r in kneser_ney.classify(docs, labels, **options).collect()}
+    monkeypatch.setattr(kneser_ney, "MODEL_ROWS", 10, raising=False)
+    monkeypatch.setattr(kneser_ney, "packed", lambda *_: pytest.fail("the model is held whole"))
+    got = {r.doc_id: r for r in kneser_ney.classify(docs, labels, **options).collect()}
+    assert got.keys() == held.keys()
+    for i, r in got.items():
+        assert (r.lang, r.n_signs, r.keep) == (held[i].lang, held[i].n_signs, held[i].keep)
+        assert (r.perplexity, r.threshold) == (held[i].perplexity and pytest.approx(held[i].perplexity), pytest.approx(held[i].threshold))
+
+
+def test_quality_counts_all_trusted_documents(spark, monkeypatch):
+    """No sample of trusted documents: every one of 7,000 is counted."""
+    docs = spark.range(7000).select(F.col("id").alias("doc_id"), F.lit("abcd").alias("text"), F.lit("x").alias("lang"))
+    labels = spark.range(7000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    seen, plain = [], kneser_ney.probabilities
+    monkeypatch.setattr(kneser_ney, "probabilities", lambda c: seen.append(c.agg(F.max("c")).first()[0]) or plain(c))
+    kneser_ney.fit(docs, labels, whole=True)
+    assert len(seen) == 2 and sum(seen) == 7000
+
+
 def test_quality_without_labels_or_documents(docs, nothing):
     with_lang = docs.withColumn("lang", F.lit(None).cast("string"))
     got = kneser_ney.classify(with_lang, nothing).collect()
