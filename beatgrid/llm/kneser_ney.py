@@ -6,8 +6,8 @@ before run across word borders from the start of the text, so that repetition an
 show; otherwise every word stands alone. N-gram counts of the trusted documents are
 sharded by n-gram; continuation counts, context totals, back-off weights and interpolated
 probabilities follow from joins of these counts, order by order. All trusted documents are counted. A
-table of probabilities of bounded size is held by every task, to look the n-grams of its documents up;
-with a larger one they are joined. Per language, the threshold is the perplexity that tells trusted documents from labelled
+table of probabilities of bounded size is read from the shared folder and held by every task, to look the
+n-grams of its documents up, and never passes through the driver; with a larger one they are joined. Per language, the threshold is the perplexity that tells trusted documents from labelled
 bad ones best; without ``whole``, or where a language has too few bad ones, it follows from a quantile
 of the trusted documents' perplexities.
 """
@@ -20,10 +20,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatgrid.llm.common import pieces, worker_cache
+from beatgrid.llm.store import random_access
 from beatgrid.llm.tokens import HashTable
 from beatgrid.llm.words import Words, hashes, mixed, rule, split
 from beatgrid.sources.files import materialised
@@ -36,6 +38,8 @@ END = 0x20
 CACHE_WORDS = 1_000_000
 #: A model with more n-grams and contexts is not held by the tasks; n-grams of documents are joined with it.
 MODEL_ROWS = 3_000_000
+#: Rows of a model in one of its files, about.
+FILE_ROWS = 250_000
 #: Perplexities are told apart to one part in so many when a threshold is checked on bad rows.
 BINS = 1000
 
@@ -168,25 +172,26 @@ class Model:
         return np.log(out * weight)
 
 
-def packed(p: DataFrame, gamma: DataFrame) -> tuple:
-    """The tables as plain arrays, of ``MODEL_ROWS`` rows at most."""
-    a, b = p.toPandas(), gamma.toPandas()
-    return (
-        a["order"].to_numpy(), a["gram"].to_numpy(), a["p"].to_numpy(),
-        b["order"].to_numpy(), b["context"].to_numpy(), b["gamma"].to_numpy(),
-    )
-
+def packed(p: DataFrame, gamma: DataFrame) -> tuple[list[str], list[str]]:
+    """The files of the two staged tables, of ``MODEL_ROWS`` rows at most together. The tasks read them,
+    so the driver holds none of the rows."""
+    parts = -(-MODEL_ROWS // FILE_ROWS)
+    return tuple(materialised(side.coalesce(parts), "model").inputFiles() for side in (p, gamma))
 
-def unpacked(tables: tuple) -> Model:
-    order, gram, p, context_order, context, gamma = tables
 
-    def table(o, x):
-        keys = mixed(x.astype(np.uint64) + (o.astype(np.uint64) << np.uint64(56)))
+def unpacked(files: tuple[list[str], list[str]]) -> Model:
+    def table(names: list[str], key: str, value: str) -> tuple[HashTable, np.ndarray]:
+        parts = []
+        for name in names:
+            with random_access(name) as file:
+                parts.append(pq.read_table(file, columns=["order", key, value]))
+        order, x, y = (pa.concat_tables(parts).column(c).to_numpy() for c in ("order", key, value))
+        keys = mixed(x.astype(np.uint64) + (order.astype(np.uint64) << np.uint64(56)))
         out = HashTable(max(1, len(keys)))
         out.add(keys)
-        return out
+        return out, y
 
-    return Model(table(order, gram), p, table(context_order, context), gamma)
+    return Model(*table(files[0], "gram", "p"), *table(files[1], "context", "gamma"))
 
 
 class Scorer:
@@ -251,11 +256,11 @@ class Scorer:
         return score[last] - score[first], signs[last] - signs[first]
 
 
-def _scorer(name: str, shared, whole: bool) -> Scorer:
+def _scorer(name: str, files: tuple[list[str], list[str]], whole: bool) -> Scorer:
     scorers = worker_cache("quality")
     if name not in scorers:
         scorers.clear()
-        scorers[name] = Scorer(unpacked(shared.value), whole=whole)
+        scorers[name] = Scorer(unpacked(files), whole=whole)
     return scorers[name]
 
 
@@ -306,7 +311,7 @@ def joined_scores(grams: DataFrame, p: DataFrame, gamma: DataFrame) -> DataFrame
 
 @dataclass
 class Classifier:
-    """Trained models, shared with the tasks or as ``tables`` to join with, and the thresholds by language. With two models a
+    """Trained models, as files that the tasks read or as ``tables`` to join with, and the thresholds by language. With two models a
     document is scored by the one that was not trained on its half of the ids."""
 
     shared: list
@@ -317,7 +322,7 @@ class Classifier:
     whole: bool = False
     thresholds: DataFrame | None = None
     pooled: float | None = None
-    #: ((half, order, gram, p), (half, order, context, gamma)) of models too large to be shared
+    #: ((half, order, gram, p), (half, order, context, gamma)) of models too large to be read by a task
     tables: tuple[DataFrame, DataFrame] | None = None
 
     def joined_perplexities(self, docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -338,9 +343,9 @@ class Classifier:
         rows = docs.select(*[f"`{c}`" for c in keep], F.col(self.text).cast("string").alias("_text"))
         out = rows.select(*[f"`{c}`" for c in keep], F.lit(0).cast("bigint").alias("_n"), F.lit(None).cast("double").alias("_perplexity"))
 
-        def by(name: str, shared) -> Callable:
+        def by(name: str, files: tuple[list[str], list[str]]) -> Callable:
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                scorer = _scorer(name, shared, whole)
+                scorer = _scorer(name, files, whole)
                 for batch in batches:
                     for piece in pieces(batch, at):
                         score, n = scorer.texts(piece.column(at))
@@ -433,16 +438,16 @@ def fit(
 
     trusted = materialised(trusted_ids(labels, ident), "trusted")
     chosen = trusted if train_docs is None else trusted.orderBy(F.xxhash64("_id"), "_id").limit(train_docs)
-    texts = docs.join(chosen, docs[ident] == F.col("_id"), "left_semi").select(F.col(text).cast("string").alias("t"), (half(ident) if whole else F.lit(1)).alias("half"))
+    # one plan at every size: with few ids Spark would broadcast them, and its figures would not carry on
+    texts = docs.select(ident, text).join(chosen.hint("merge"), F.col(ident) == F.col("_id"), "left_semi").select(F.col(text).cast("string").alias("t"), (half(ident) if whole else F.lit(1)).alias("half"))
     counts = materialised(count_ngrams(texts, whole), "counted-grams")  # the documents are read once for both models
     found = [probabilities(counts.filter(F.col("half") != h).select("gram", "c")) for h in ((0, 1) if whole else (0,))]
-    context = docs.sparkSession.sparkContext
     model = Classifier([], uuid.uuid4().hex, ident, text, lang, whole)
     if max(p.count() + gamma.count() for p, gamma in found) > MODEL_ROWS:
         sides = [[side.withColumn("half", F.lit(h)) for h, side in enumerate(both)] for both in zip(*found)]
         model.tables = tuple(reduce(DataFrame.unionByName, both) for both in sides)
     else:
-        model.shared = [context.broadcast(packed(*both)) for both in found]
+        model.shared = [packed(*both) for both in found]
     scored = model.perplexities(docs.select(ident, text, lang), [ident, lang]).filter("_perplexity is not null")
     scored = scored.withColumnRenamed(lang, "_lang")
     told = trusted.withColumn("_good", F.lit(True))

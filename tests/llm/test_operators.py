@@ -331,6 +331,18 @@ def test_quality_of_models_too_large_to_share(spark, texts, monkeypatch, whole):
         assert (r.perplexity, r.threshold) == (held[i].perplexity and pytest.approx(held[i].perplexity), pytest.approx(held[i].threshold))
 
 
+@pytest.mark.parametrize("whole", [True, False])
+def test_quality_model_does_not_pass_through_the_driver(spark, texts, monkeypatch, whole):
+    docs = spark.createDataFrame([(i, t, "a") for i, t in texts[:60]], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    for owner, name in ((type(docs), "toPandas"), (type(docs), "toArrow"), (type(spark.sparkContext), "broadcast")):
+        monkeypatch.setattr(owner, name, lambda *_: pytest.fail("the model is held by the driver"))
+    kept, plain = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: kept.append(plain(df)) or kept[-1])
+    assert kneser_ney.classify(docs, labels, whole=whole, min_trusted=8).count() == 60
+    assert sum(map(len, kept)) < 50
+
+
 def test_quality_counts_all_trusted_documents(spark, monkeypatch):
     """No sample of trusted documents: every one of 7,000 is counted."""
     docs = spark.range(7000).select(F.col("id").alias("doc_id"), F.lit("abcd").alias("text"), F.lit("x").alias("lang"))
