@@ -20,12 +20,10 @@ WINDOW = 32
 #: Texts side by side at first and at most, steps after which they double, and units of a text that
 #: are learned as one stretch.
 FEW, SIDE, RAMP, SPAN = 4, 256, 50, 1024
-#: Output rows that are scored at a time.
-ROWS = 100_000
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+#: Output rows that are scored at a time; their logits stay in a core's cache.
+ROWS = 4096
+#: Logits of a softmax that lie within so much of each other need no maximum of each row.
+SPREAD = 60.0
 
 
 @dataclass
@@ -67,43 +65,88 @@ def initial(head_counts: np.ndarray, tail_counts: np.ndarray, seed: int = 0, hid
     )
 
 
-def step(w: Weights, h: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(new state, update gate, reset gate, candidate) after reading one unit of each text."""
-    n = h.shape[1]
-    x = w.inputs[unit]
-    gates = _sigmoid(x[:, : 2 * n] + h @ w.state)
-    z, r = gates[:, :n], gates[:, n:]
-    c = np.tanh(x[:, 2 * n :] + (r * h) @ w.candidate)
-    return h + z * (c - h), z, r, c
+def halved(w: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(inputs, state, candidate) for ``step``: what the gates read is halved, for their sigmoid is
+    that of half the value, 0.5 tanh(x / 2) + 0.5."""
+    n = len(w.candidate)
+    inputs = w.inputs.copy()
+    inputs[:, : 2 * n] *= 0.5
+    return inputs, 0.5 * w.state, w.candidate
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def step(x: np.ndarray, state: np.ndarray, candidate: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(new state, gates, candidate) of each text after reading a unit; x has the unit's row of the
+    halved inputs. The gates are update and reset side by side."""
+    n = h.shape[1]
+    gates = h @ state
+    gates += x[:, : 2 * n]
+    np.tanh(gates, out=gates)
+    gates *= 0.5
+    gates += 0.5
+    c = (gates[:, n:] * h) @ candidate
+    c += x[:, 2 * n :]
+    np.tanh(c, out=c)
+    new = c - h
+    new *= gates[:, :n]
+    new += h
+    return new, gates, c
+
+
+def _exponents(states: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Logits of each row, less a number of the row that keeps their exponentials in range.
+
+    A state lies within -1 and 1, so the weights bound all logits; where the greatest of a row can't
+    be far below the bound, the bound is that number, for all rows."""
+    reach = np.abs(w).sum(axis=0)
+    top = (b + reach).max(initial=-np.inf)
+    if top - (b - reach).max(initial=-np.inf) < SPREAD:
+        x = states @ w
+        x += b - top
+        return x
+    x = states @ w
+    x += b
+    x -= x.max(axis=1, keepdims=True)
+    return x
+
+
+def _log_shares(states: np.ndarray, w: np.ndarray, b: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural log of the share that the softmax of each row gives its target."""
+    out = np.empty(len(target), np.float64)
+    for a in range(0, len(target), ROWS):
+        some = target[a : a + ROWS]
+        x = _exponents(states[a : a + ROWS], w, b)
+        at = x[np.arange(len(some)), some]
+        np.exp(x, out=x)
+        out[a : a + ROWS] = at - np.log(x @ np.ones(x.shape[1], x.dtype))
+    return out
 
 
 def _towards(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, float]:
-    """(softmax of each row less 1 at its target, summed negative log of the targets' shares)."""
-    p = np.exp(x - x.max(axis=1, keepdims=True))
-    p /= p.sum(axis=1, keepdims=True)
+    """(softmax of each row less 1 at its target, summed negative log of the targets' shares); x, from
+    ``_exponents``, is overwritten."""
+    p = np.exp(x, out=x)
+    p *= (1 / (p @ np.ones(p.shape[1], p.dtype)))[:, None]
     rows = np.arange(len(target))
-    loss = -float(np.log(np.maximum(p[rows, target], np.finfo(p.dtype).tiny)).sum())
-    p[rows, target] -= 1
+    shares = p[rows, target]
+    loss = -float(np.log(np.maximum(shares, np.finfo(p.dtype).tiny)).sum())
+    p[rows, target] = shares - 1
     return p, loss
 
 
+def _sorted(x: np.ndarray) -> np.ndarray:
+    """Stable order of small whole numbers."""
+    return np.argsort(x.astype(np.int16) if len(x) and x.max() < 1 << 15 else x, kind="stable")
+
+
 def log_probability(w: Weights, states: np.ndarray, cls: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Natural log of P(class) times, in head classes, P(word | class), for each state and target."""
-    out = np.zeros(len(cls), np.float64)
-    for a in range(0, len(cls), ROWS):
-        h, c = states[a : a + ROWS], cls[a : a + ROWS]
-        out[a : a + ROWS] = _log_softmax(h @ w.class_w + w.class_b)[np.arange(len(c)), c]
-    order = np.argsort(cls, kind="stable")
+    out = _log_shares(states, w.class_w, w.class_b, cls)
+    order = _sorted(cls)
     edges = np.searchsorted(cls[order], np.arange(len(w.word_b) + 1))
     for k in range(len(w.word_b)):
         rows = order[edges[k] : edges[k + 1]]
         if len(rows):
-            out[rows] += _log_softmax(states[rows] @ w.word_w[k] + w.word_b[k])[np.arange(len(rows)), word[rows]]
+            out[rows] += _log_shares(states[rows], w.word_w[k], w.word_b[k], word[rows])
     return out
 
 
@@ -116,6 +159,7 @@ def score(w: Weights, unit: np.ndarray, first: np.ndarray, cls_of: np.ndarray, w
     out = np.zeros(len(counts))
     begin, left = first[:-1][order], counts[order]
     h = np.zeros((len(order), w.candidate.shape[0]), np.float32)
+    inputs, state, candidate = halved(w)
     for low in range(0, int(left[0]) if len(left) else 0, window):
         rows, units_read, states = [], [], []
         for t in range(low, min(low + window, int(left[0]))):
@@ -124,7 +168,9 @@ def score(w: Weights, unit: np.ndarray, first: np.ndarray, cls_of: np.ndarray, w
             states.append(h[:n].copy())
             units_read.append(u)
             rows.append(order[:n])
-            h[:n] = step(w, h[:n], u)[0]
+            for a in range(0, n, ROWS):
+                b = min(n, a + ROWS)
+                h[a:b] = step(inputs[u[a:b]], state, candidate, h[a:b])[0]
         u = np.concatenate(units_read)
         lp = log_probability(w, np.concatenate(states), cls_of[u], word_of[u])
         out += np.bincount(np.concatenate(rows), lp, len(counts))
@@ -136,62 +182,80 @@ def gradients(w: Weights, h: np.ndarray, unit: np.ndarray, real: np.ndarray, cls
     steps), real where a text still has a unit. Each unit is predicted from the state before it."""
     b, steps = unit.shape
     n = h.shape[1]
-    before, zs, rs, cs = [], [], [], []
-    full = real.all(axis=0)
+    before, gates, cs = (np.empty((steps, b, k), h.dtype) for k in (n, 2 * n, n))
+    inputs, state, candidate = halved(w)
+    x = inputs[unit.T]
+    full = real.all(axis=0).tolist()
     for t in range(steps):
-        before.append(h)
-        new, z, r, c = step(w, h, unit[:, t])
+        before[t] = h
+        new, gates[t], cs[t] = step(x[t], state, candidate, h)
         h = new if full[t] else np.where(real[:, t, None], new, h)
-        zs.append(z), rs.append(r), cs.append(c)
     flat = real.T.ravel()
-    states = np.concatenate(before)[flat]
-    target = unit.T.ravel()[flat]
-    cls, word = cls_of[target], word_of[target]
+    every_real = all(full)
+    target = unit.T.ravel()
+    states = before.reshape(steps * b, n)
+    if not every_real:
+        target, states = target[flat], states[flat]
     total = max(1, len(target))
     g = [np.zeros_like(x) for x in w.arrays()]
-    d, loss = _towards(states @ w.class_w + w.class_b, cls)
-    d /= total
-    g[3] += states.T @ d
+    # from here on by unit, whose order is that of the classes too
+    order = _sorted(target)
+    sorted_target, sorted_states = target[order], states[order]
+    cls, word = cls_of[sorted_target], word_of[sorted_target]
+    d, loss = _towards(_exponents(sorted_states, w.class_w, w.class_b), cls)
+    d *= 1 / total
+    g[3] += sorted_states.T @ d
     g[4] += d.sum(axis=0)
-    d_states = d @ w.class_w.T
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(len(w.word_b) + 1))
-    for k in range(len(w.word_b)):
-        rows = order[edges[k] : edges[k + 1]]
-        if not len(rows):
+    d_sorted = d @ w.class_w.T
+    edges = np.searchsorted(cls, np.arange(len(w.word_b) + 1)).tolist()
+    for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])):
+        if i == j:
             continue
-        here = states[rows]
-        d, more = _towards(here @ w.word_w[k] + w.word_b[k], word[rows])
+        here = sorted_states[i:j]
+        d, more = _towards(_exponents(here, w.word_w[k], w.word_b[k]), word[i:j])
         loss += more
-        d /= total
+        d *= 1 / total
         g[5][k] += here.T @ d
         g[6][k] += d.sum(axis=0)
-        d_states[rows] += d @ w.word_w[k].T
-    every = np.zeros((b * steps, n), states.dtype)
-    every[flat] = d_states
+        d_sorted[i:j] += d @ w.word_w[k].T
+    if every_real:
+        every = np.empty((b * steps, n), states.dtype)
+        every[order] = d_sorted
+    else:
+        every = np.zeros((b * steps, n), states.dtype)
+        every[np.flatnonzero(flat)[order]] = d_sorted
     every = every.reshape(steps, b, n)
+    # what each step's gradient is multiplied by, of all steps at once
+    z, r = gates[:, :, :n], gates[:, :, n:]
+    by_c, by_gates, rest = (1 - cs * cs) * z, gates * (1 - gates), 1 - z
+    by_gates[:, :, :n] *= cs - before
+    by_gates[:, :, n:] *= before
     dh = np.zeros((b, n), states.dtype)
     d_x = np.empty((steps, b, 3 * n), states.dtype)
+    state_t, candidate_t = np.ascontiguousarray(w.state.T), np.ascontiguousarray(w.candidate.T)
     for t in range(steps - 1, -1, -1):
         keep = real[:, t, None]
         d_new = dh if full[t] else np.where(keep, dh, 0)
-        prev, z, r, c = before[t], zs[t], rs[t], cs[t]
-        d_c = d_new * z * (1 - c * c)
-        d_rh = d_c @ w.candidate.T
+        d_c = d_new * by_c[t]
+        d_rh = d_c @ candidate_t
         d_gates = d_x[t, :, : 2 * n]
-        d_gates[:, :n] = d_new * (c - prev) * z * (1 - z)
-        d_gates[:, n:] = d_rh * prev * r * (1 - r)
+        np.multiply(d_new, by_gates[t, :, :n], out=d_gates[:, :n])
+        np.multiply(d_rh, by_gates[t, :, n:], out=d_gates[:, n:])
         d_x[t, :, 2 * n :] = d_c
-        back = d_new * (1 - z) + d_rh * r + d_gates @ w.state.T
+        back = d_gates @ state_t
+        back += d_new * rest[t]
+        d_rh *= r[t]
+        back += d_rh
         dh = (back if full[t] else np.where(keep, back, dh)) + every[t]
     # the weights' gradients of all steps at once; units that are not real have none
-    d_x = d_x.reshape(steps * b, 3 * n)[flat]
+    d_x, reset = d_x.reshape(steps * b, 3 * n), r.reshape(steps * b, n)
+    if not every_real:
+        d_x, reset = d_x[flat], reset[flat]
     g[1] += states.T @ d_x[:, : 2 * n]
-    g[2] += (np.concatenate(rs)[flat] * states).T @ d_x[:, 2 * n :]
-    order = np.argsort(target, kind="stable")
+    g[2] += (reset * states).T @ d_x[:, 2 * n :]
     if len(order):
-        at = np.flatnonzero(np.diff(target[order], prepend=-1))
-        g[0][target[order[at]]] = np.add.reduceat(d_x[order], at)
+        at = np.flatnonzero(np.diff(sorted_target, prepend=-1))
+        g[0][sorted_target[at]] = np.add.reduceat(d_x[order], at)
     return g, h, loss
 
 
@@ -244,13 +308,22 @@ class Trainer:
 
     def _step(self, g: list[np.ndarray]) -> None:
         self.steps += 1
-        norm = np.sqrt(sum(float((x * x).sum()) for x in g))
+        norm = np.sqrt(sum(float(np.vdot(x, x)) for x in g))
         clip = min(1.0, 1.0 / max(norm, 1e-6))
         for x, d, m in zip(self.w.arrays(), g, self.moments):
-            d = d * clip
-            m[0] += 0.1 * (d - m[0])
-            m[1] += 0.001 * (d * d - m[1])
-            x -= self.rate * (m[0] / (1 - 0.9**self.steps)) / (np.sqrt(m[1] / (1 - 0.999**self.steps)) + 1e-8)
+            d *= clip  # the gradients are nobody else's
+            m[0] *= 0.9
+            m[0] += 0.1 * d
+            m[1] *= 0.999
+            d *= d
+            d *= 0.001
+            m[1] += d
+            np.multiply(m[1], 1 / (1 - 0.999**self.steps), out=d)
+            np.sqrt(d, out=d)
+            d += 1e-8
+            np.divide(m[0], d, out=d)
+            d *= self.rate / (1 - 0.9**self.steps)
+            x -= d
 
 
 def mean(parts: list[Weights], shares: list[float]) -> Weights:

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -202,6 +203,37 @@ def test_score_does_not_depend_on_the_window_and_is_a_distribution():
     assert abs(np.exp(gru.log_probability(w, np.repeat(state, 102, 0), cls, word)).sum() - 1) < 1e-4
 
 
+@pytest.mark.parametrize("size", [0.5, 40.0])
+def test_log_probability_of_near_and_far_logits(size):
+    """Logits close enough to need no maximum of each row, and such as do."""
+    rng = np.random.default_rng(4)
+    w = gru.initial(np.arange(100, 0, -1.0), np.array([3.0, 1.0]))
+    w.class_w, w.word_w = (rng.normal(0, size, x.shape).astype(np.float32) for x in (w.class_w, w.word_w))
+    cls, word = gru.units(100, 2)
+    unit = rng.integers(0, 102, 5000)
+    states = rng.uniform(-1, 1, (5000, gru.HIDDEN)).astype(np.float32)
+
+    def plain(w_, b, h, target):
+        x = h.astype(float) @ w_.astype(float) + b
+        return x[target] - x.max() - np.log(np.exp(x - x.max()).sum())
+
+    want = [plain(w.class_w, w.class_b, h, cls[u]) + (plain(w.word_w[cls[u]], w.word_b[cls[u]], h, word[u]) if word[u] >= 0 else 0) for h, u in zip(states, unit)]
+    assert np.allclose(gru.log_probability(w, states, cls[unit], word[unit]), want, rtol=1e-4, atol=1e-4)
+
+
+def test_log_probability_takes_logits_in_small_pieces():
+    rng = np.random.default_rng(5)
+    w = gru.initial(np.arange(2048, 0, -1.0), np.ones(6))
+    cls, word = gru.units(2048, 6)
+    unit = rng.integers(0, 2054, 200_000)
+    states = rng.uniform(-1, 1, (len(unit), gru.HIDDEN)).astype(np.float32)
+    tracemalloc.start()
+    gru.log_probability(w, states, cls[unit], word[unit])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16_000_000
+
+
 def test_tiles_find_the_nearest():
     rng = np.random.default_rng(0)
     for t in range(30):
