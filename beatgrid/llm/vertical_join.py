@@ -123,8 +123,9 @@ def _shared_bits(rows: DataFrame, size: int) -> np.ndarray:
 
     found = rows.select("t").mapInArrow(deal, "place int, packed binary").groupBy("place").applyInArrow(repeated, "place int, marks binary")
     out = np.zeros((1 << bits, 1 << (SHARED_BITS - bits - 3)), np.uint8)
-    for row in found.toLocalIterator():
-        out[row.place] = np.frombuffer(bytes(row.marks), np.uint8)
+    got = found.toArrow()  # all parts at once, of fixed size together; one after the other, each would be a job
+    for place, marks in zip(got.column("place").to_pylist(), got.column("marks")):
+        out[place] = np.frombuffer(marks.as_buffer(), np.uint8)
     return out.ravel()
 
 
@@ -232,8 +233,8 @@ def _mark_table(keys: DataFrame) -> np.ndarray:
     words = keys.select(bits.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
     words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
     out = np.zeros(MARK_WORDS, np.int64)
-    for row in words.toLocalIterator():  # MARK_WORDS rows at most
-        out[row.word] = row.bits
+    got = words.toArrow()  # MARK_WORDS rows at most
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
     return out.view(np.uint64)
 
 

@@ -343,6 +343,27 @@ def test_quality_model_does_not_pass_through_the_driver(spark, texts, monkeypatc
     assert sum(map(len, kept)) < 50
 
 
+def test_bit_tables_of_the_join_take_few_jobs(spark):
+    """However many partitions there are; each was fetched by a job of its own."""
+    rows = spark.range(200).select(F.col("id").alias("ident"), F.concat_ws(" ", F.lit("a b c"), F.col("id").cast("string")).alias("t"))
+    keys = spark.range(3000).select(F.xxhash64("id").alias("key"))
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "60"}
+    before = {k: spark.conf.get(k) for k in held}
+    spark.sparkContext.setJobGroup("bit tables", "")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        bits, marks = vertical_join._shared_bits(rows, 3), vertical_join._mark_table(keys)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("bit tables")) < 10
+    same = np.unpackbits(bits).sum()
+    assert same == 1  # only "a b c" is shared
+    assert vertical_join._marked(marks, np.array([r.key for r in keys.collect()], np.int64)).all()
+
+
 def test_quality_counts_all_trusted_documents(spark, monkeypatch):
     """No sample of trusted documents: every one of 7,000 is counted."""
     docs = spark.range(7000).select(F.col("id").alias("doc_id"), F.lit("abcd").alias("text"), F.lit("x").alias("lang"))
