@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Texts are handled in pieces of about this many bytes, which bounds the numpy temporaries.
 PIECE_BYTES = 2_000_000
+#: Rows of a staged table that are worth a task of their own.
+TASK_ROWS = 20_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +63,11 @@ def texts_of(batch: pa.RecordBatch, column: int = 1) -> list[str]:
     return pc.fill_null(batch.column(column).cast(pa.large_string()), "").to_pylist()
 
 
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which has ``rows`` rows at most, in tasks of at least TASK_ROWS; never in more tasks than before."""
+    return df.coalesce(max(1, -(-rows // TASK_ROWS)))
+
+
 def join_unique(
     left: DataFrame, right: DataFrame, on: str, count: str, how: str = "left", total: int | None = None, hot: int = 1024
 ) -> DataFrame:

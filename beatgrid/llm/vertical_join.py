@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beatgrid.llm.common import join_unique, pieces, worker_cache
+from beatgrid.llm.common import few_tasks, join_unique, pieces, worker_cache
 from beatgrid.llm.graph import components
 from beatgrid.llm.words import SPACED, shingles, split
 from beatgrid.sources.files import discard, materialised
@@ -255,6 +255,7 @@ def _linked(pairs: DataFrame, rows: DataFrame, sets: DataFrame, classes: DataFra
     """The pairs (x, y, nx, ny, mx, my) that reach the threshold, as edges (a, b)."""
     spark = pairs.sparkSession
     total = pairs.count()
+    pairs = few_tasks(pairs, total)
     hot = pairs.groupBy("y").count().filter(F.col("count") > max(1000, total // HOT_SHARE)).select("y", F.lit(True).alias("hot"))
     hot = materialised(hot.limit(HOT_SHARE), "hot")
 
@@ -266,12 +267,12 @@ def _linked(pairs: DataFrame, rows: DataFrame, sets: DataFrame, classes: DataFra
     first = sets.join(near, (F.col("cls") == F.col("_cls")) & F.col("ident").eqNullSafe(F.col("least")))
     inside = F.filter("low", lambda s: (s >= 0) & (s < FIRST))
     first = first.select("cls", F.lit(0).alias("fragment"), inside.alias("part")).dropDuplicates(["cls"])
-    first = materialised(first, "first-fragment")
+    first = materialised(few_tasks(first, 2 * total), "first-fragment")
     both = _met(pairs, first, hot)
     both = both.withColumn("common", F.size(F.array_intersect("px", "py")))
     most = F.col("common") + F.least(F.col("mx") - F.size("px"), F.col("my") - F.size("py"))
     both = both.filter(most * 100 >= (F.col("nx") + F.col("ny") - most) * percent)
-    left = materialised(both.select("x", "y", "nx", "ny", "common"), "left")
+    left = materialised(few_tasks(both.select("x", "y", "nx", "ny", "common"), total), "left")
     discard(first)
 
     marks = spark.sparkContext.broadcast(_mark_table(named(left).select(F.xxhash64("least").alias("key"))).tobytes())
@@ -283,7 +284,7 @@ def _linked(pairs: DataFrame, rows: DataFrame, sets: DataFrame, classes: DataFra
     partial = partial.groupBy("x", "y").agg(F.sum("part").alias("more"))
     summed = left.join(partial, ["x", "y"], "left").withColumn("common", F.col("common") + F.coalesce("more", F.lit(0)))
     reached = F.col("common") * 100 >= (F.col("nx") + F.col("ny") - F.col("common")) * percent
-    links = materialised(summed.filter(reached).select(F.col("x").alias("a"), F.col("y").alias("b")), "links")
+    links = materialised(few_tasks(summed.filter(reached).select(F.col("x").alias("a"), F.col("y").alias("b")), total), "links")
     discard(hot, left, more)
     return links
 
@@ -293,8 +294,8 @@ def _with_components(entries: DataFrame, found: DataFrame) -> DataFrame:
     return entries.join(found, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
 
 
-def _largest(entries: DataFrame, turn: int) -> DataFrame:
-    """(s, best, member, size): of each list with several components, the largest and a member of it,
+def _largest(entries: DataFrame, turn: int, rows: int) -> DataFrame:
+    """(s, best, member, size), of ``rows`` entries: of each list with several components, the largest and a member of it,
     and the list's length. The member is the one with the fewest shingles of its own in the first
     turn, and drawn by its hash in the others, alike in all lists."""
     rank = F.col("m") - F.col("n") if turn == 0 else F.xxhash64("cls", F.lit(turn))
@@ -303,7 +304,7 @@ def _largest(entries: DataFrame, turn: int) -> DataFrame:
     best = by.groupBy("s").agg(
         F.max(F.struct("k", "member", "comp")).alias("top"), F.sum("k").alias("size"), F.count("*").alias("comps")
     )
-    best = best.filter("comps > 1").select("s", F.col("top.comp").alias("best"), F.col("top.member").alias("member"), "size")
+    best = few_tasks(best.filter("comps > 1"), rows).select("s", F.col("top.comp").alias("best"), F.col("top.member").alias("member"), "size")
     return materialised(best, "largest")
 
 
@@ -321,9 +322,9 @@ def _columns(form: str) -> dict[str, Column]:
     return {c: F.col(form.format(c)) for c in ("n", "m", "pos", "parts")}
 
 
-def _star_pairs(entries: DataFrame, percent: int, turn: int) -> DataFrame:
+def _star_pairs(entries: DataFrame, percent: int, turn: int, rows: int) -> DataFrame:
     """Each class outside its lists' largest components with the member that most of its lists name."""
-    lists = _largest(entries, turn)
+    lists = _largest(entries, turn, rows)
     named = join_unique(entries, lists, "s", "size", "inner").filter("comp <> best")
     named = named.filter(_possible(_columns("{}"), _columns("member.{}"), percent))
     keys = [F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("m").alias("mx")]
@@ -331,15 +332,15 @@ def _star_pairs(entries: DataFrame, percent: int, turn: int) -> DataFrame:
     votes = named.groupBy(*keys).agg(F.count("*").alias("votes"))
     first = votes.groupBy("x", "nx", "mx").agg(F.max(F.struct("votes", "y", "ny", "my")).alias("top"))
     first = first.select("x", F.col("top.y").alias("y"), "nx", F.col("top.ny").alias("ny"), "mx", F.col("top.my").alias("my"))
-    pairs = materialised(first, "pairs")
+    pairs = materialised(few_tasks(first, rows), "pairs")
     discard(lists)
     return pairs
 
 
-def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
+def _cross_pairs(entries: DataFrame, percent: int, rows: int) -> DataFrame:
     """All candidate pairs of two components."""
-    lists = _largest(entries, 0)
-    inside = materialised(join_unique(entries, lists.drop("member"), "s", "size", "inner"), "lists")
+    lists = _largest(entries, 0, rows)
+    inside = materialised(few_tasks(join_unique(entries, lists.drop("member"), "s", "size", "inner"), rows), "lists")
     outer = inside.filter("comp <> best").select("s", *[F.col(c).alias(f"{c}_x") for c in ("cls", "n", "m", "pos", "parts", "comp")])
     pairs = outer.join(inside.withColumn("outer", F.col("comp") != F.col("best")), "s").filter(
         "comp <> comp_x and (not outer or cls > cls_x)"
@@ -392,12 +393,13 @@ def join_documents(
     entries = materialised(join_unique(entries, lists, "s", "size", "inner").drop("size"), "entries")
     discard(prefixes, lists)
 
+    n = entries.count()
     links, found = None, spark.createDataFrame([], "cls bigint, comp bigint")
     turn, poor = 0, 0
     while True:
         last = turn == stars or poor == POOR_STARS
-        placed = materialised(_with_components(entries, found), "placed")
-        pairs = _cross_pairs(placed, percent) if last else _star_pairs(placed, percent, turn)
+        placed = materialised(few_tasks(_with_components(entries, found), n), "placed")
+        pairs = _cross_pairs(placed, percent, n) if last else _star_pairs(placed, percent, turn, n)
         discard(placed)
         asked = pairs.count()
         more = _linked(pairs, rows, sets, classes, size, percent) if asked else None

@@ -25,6 +25,7 @@ from beatgrid.llm import (
     wu_manber,
 )
 from beatgrid.llm.common import join_unique
+from beatgrid.llm.graph import components
 from beatgrid.llm.tokens import vocabulary
 from tests.llm import plain
 
@@ -364,6 +365,21 @@ def test_bit_tables_of_the_join_take_few_jobs(spark):
     assert vertical_join._marked(marks, np.array([r.key for r in keys.collect()], np.int64)).all()
 
 
+def test_components_of_few_edges_take_few_tasks(spark):
+    edges = spark.range(600).select((2 * F.col("id") + 1).alias("a"), (2 * F.col("id")).alias("b"))
+    held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "60"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = components(edges)
+        assert found.rdd.getNumPartitions() < 20
+        assert rows(found, "node", "component") == sorted(((i, i // 2 * 2) for i in range(1200)), key=str)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_quality_counts_all_trusted_documents(spark, monkeypatch):
     """No sample of trusted documents: every one of 7,000 is counted."""
     docs = spark.range(7000).select(F.col("id").alias("doc_id"), F.lit("abcd").alias("text"), F.lit("x").alias("lang"))
