@@ -28,6 +28,7 @@ def worker_cache(owner: str, beside: tuple[str, ...] = ()) -> dict:
     for name in list(_CACHES):
         if name != owner and name not in beside:
             _CACHES.pop(name).clear()
+            pa.default_memory_pool().release_unused()
     return _CACHES.setdefault(owner, {})
 
 

@@ -92,6 +92,7 @@ def count_ngrams(texts: DataFrame, whole: bool = False) -> DataFrame:
     grams = text_ngrams if whole else ngrams
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("counts")  # all operators' caches go, a former model too
         for batch in batches:
             for piece in pieces(batch, 0):
                 of = piece.column(1).to_numpy(zero_copy_only=False)
@@ -275,6 +276,7 @@ def document_ngrams(docs: DataFrame, keep: list[str], whole: bool) -> DataFrame:
     at = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("counts")  # as in ``count_ngrams``
         for batch in batches:
             for piece in pieces(batch, at):
                 words = split(piece.column(at), _SPACED)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from beatgrid.llm import (
     block_search,
+    common,
     graph,
     kneser_ney,
     lm_scoring,
@@ -380,6 +381,25 @@ def test_components_of_few_edges_take_few_tasks(spark):
             spark.conf.set(k, v)
 
 
+def test_quality_counts_without_the_caches_of_other_operators(spark):
+    """Workers outlive a stage of the pipeline; before they count they give up what packing kept."""
+
+    class Texts:
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return self
+
+        def groupBy(self, *_):
+            return self
+
+        agg = groupBy
+
+    texts = kneser_ney.count_ngrams(Texts(), whole=True)
+    common.worker_cache("tokens")["vocabulary"] = "pieces"
+    assert list(texts.run(iter([]))) == []
+    assert "tokens" not in common._CACHES
+
+
 def test_quality_counts_all_trusted_documents(spark, monkeypatch):
     """No sample of trusted documents: every one of 7,000 is counted."""
     docs = spark.range(7000).select(F.col("id").alias("doc_id"), F.lit("abcd").alias("text"), F.lit("x").alias("lang"))
