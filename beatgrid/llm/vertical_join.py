@@ -16,21 +16,24 @@ fewest shingles of its own, which is nearest to all others; the next ones have o
 long as stars go on to find links. Afterwards every remaining candidate pair across two components
 is compared, which makes the components exact whatever the stars found.
 
-Staged tables are removed as soon as what replaces them is written.
+The tables of bits and the list of shingles that many documents share are staged, and read by the
+tasks; the driver holds none of them. Staged tables are removed as soon as what replaces them is written.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beatgrid.llm.common import few_tasks, join_unique, pieces, worker_cache
 from beatgrid.llm.graph import components
+from beatgrid.llm.store import random_access
 from beatgrid.llm.words import SPACED, shingles, split
 from beatgrid.sources.files import discard, materialised
 
@@ -38,8 +41,8 @@ from beatgrid.sources.files import discard, materialised
 #: least one may, which bounds the list of such shingles to a million.
 OFTEN, MOST_SHARED = 8, 1 << 20
 FRAGMENT_BITS = 2
-#: Bits of the table of shared shingles (16 MB), and shingles that a task sorts at a time.
-SHARED_BITS, FLUSH = 27, 1_000_000
+#: Bits of the table of shared shingles (16 MB), its files, and shingles that a task sorts at a time.
+SHARED_BITS, BIT_FILES, FLUSH = 27, 8, 1_000_000
 #: Hashes below this are in the first fragment (as signed numbers, those from 0 to here).
 FIRST = 1 << (64 - FRAGMENT_BITS)
 #: Stretches of the order, by leading bits, whose shared shingles are counted for each set.
@@ -84,10 +87,29 @@ class Sets:
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
 
 
-def _shared_bits(rows: DataFrame, size: int) -> np.ndarray:
-    """A bit for each value of the leading SHARED_BITS bits of a hash: set if two rows have a shingle
-    with these. Each task deals its shingles out by their leading bits, 32 bits each and packed; what
-    is dealt to one place is sorted, and repeated values set bits."""
+def _held(table: DataFrame, read: Callable[[pa.Table], np.ndarray]) -> Callable[[], np.ndarray]:
+    """What ``read`` makes of a staged table of bounded size: each worker reads its files once."""
+    files = table.inputFiles()
+    name, columns = files[0], table.columns
+
+    def held() -> np.ndarray:
+        tables = worker_cache("join")
+        if name not in tables:
+            tables.clear()
+            parts = []
+            for file in files:
+                with random_access(file) as opened:
+                    parts.append(pq.read_table(opened, columns=columns))
+            tables[name] = read(pa.concat_tables(parts))
+        return tables[name]
+
+    return held
+
+
+def _staged_bits(rows: DataFrame, size: int) -> DataFrame:
+    """(place, marks), staged: a bit for each value of the leading SHARED_BITS bits of a hash, set if two
+    rows have a shingle with these. Each task deals its shingles out by their leading bits, 32 bits each
+    and packed; what is dealt to one place is sorted, and repeated values set bits."""
     parts = rows.rdd.getNumPartitions()
     bits = min(SHARED_BITS - 6, max(6, (2 * parts - 1).bit_length()))
 
@@ -122,11 +144,24 @@ def _shared_bits(rows: DataFrame, size: int) -> np.ndarray:
         return pa.table({"place": pa.array([key[0].as_py()], pa.int32()), "marks": pa.array([packed], pa.binary())})
 
     found = rows.select("t").mapInArrow(deal, "place int, packed binary").groupBy("place").applyInArrow(repeated, "place int, marks binary")
-    out = np.zeros((1 << bits, 1 << (SHARED_BITS - bits - 3)), np.uint8)
-    got = found.toArrow()  # all parts at once, of fixed size together; one after the other, each would be a job
-    for place, marks in zip(got.column("place").to_pylist(), got.column("marks")):
-        out[place] = np.frombuffer(marks.as_buffer(), np.uint8)
-    return out.ravel()
+    dealt_out = materialised(found, "bits")
+    shared = materialised(dealt_out.coalesce(BIT_FILES), "shared-bits")  # 16 MB at any size
+    discard(dealt_out)
+    return shared
+
+
+def _bit_table(found: pa.Table) -> np.ndarray:
+    """The bits of ``_staged_bits``, packed."""
+    out = np.zeros(1 << (SHARED_BITS - 3), np.uint8)
+    for place, marks in zip(found.column("place").to_pylist(), found.column("marks")):
+        values = np.frombuffer(marks.as_buffer(), np.uint8)
+        out[place * len(values) : (place + 1) * len(values)] = values
+    return out
+
+
+def _shared_bits(rows: DataFrame, size: int) -> np.ndarray:
+    """The table that the tasks read; the join doesn't read it on the driver."""
+    return _held(_staged_bits(rows, size), _bit_table)()
 
 
 def _is_shared(bits: np.ndarray, s: np.ndarray) -> np.ndarray:
@@ -134,13 +169,15 @@ def _is_shared(bits: np.ndarray, s: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _sets(rows: DataFrame, size: int, percent: int, shared) -> DataFrame:
+def _sets(rows: DataFrame, size: int, percent: int, shared: DataFrame) -> DataFrame:
     """(ident, n, cls, m, parts, low): of each row, with the number m of shared shingles in its set, and
     in each stretch of the order. low holds those in the first fragment and, where these are fewer,
     what else the prefix needs; it is empty if the prefix has no shared shingle."""
 
+    table = _held(shared, _bit_table)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(shared.value, np.uint8)
+        bits = table()
         for batch in batches:
             for piece in pieces(batch):
                 sets = Sets(piece.column(1), size)
@@ -165,11 +202,13 @@ def _sets(rows: DataFrame, size: int, percent: int, shared) -> DataFrame:
     return rows.mapInArrow(run, f"ident {kind}, n bigint, cls bigint, m bigint, parts array<int>, low array<bigint>")
 
 
-def _prefixes(sets: DataFrame, percent: int, often) -> DataFrame:
+def _prefixes(sets: DataFrame, percent: int, often: DataFrame) -> DataFrame:
     """(cls, n, m, parts, prefix): the shared shingles of each prefix, in the global order."""
 
+    table = _held(often, lambda found: np.sort(found.column("s").to_numpy().view(np.uint64)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = np.frombuffer(often.value, np.uint64)
+        late = table()
         for batch in batches:
             n, m = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
             low = batch.column(4)
@@ -190,12 +229,14 @@ def _prefixes(sets: DataFrame, percent: int, often) -> DataFrame:
     return rows.mapInArrow(run, "cls bigint, n bigint, m bigint, parts array<int>, prefix array<bigint>")
 
 
-def _segments(rows: DataFrame, size: int, shared) -> DataFrame:
+def _segments(rows: DataFrame, size: int, words: DataFrame) -> DataFrame:
     """(cls, fragment, part) beyond the first fragment, of the rows that the bit table marks (and a few
     others by chance)."""
 
+    table = _held(words, _mark_bits)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.frombuffer(shared.value, np.uint64)
+        marks = table()
         for batch in batches:
             for piece in pieces(batch):
                 some = piece.filter(pa.array(_marked(marks, piece.column(2).to_numpy(zero_copy_only=False))))
@@ -227,17 +268,27 @@ def _marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _mark_table(keys: DataFrame) -> np.ndarray:
-    """Bits of the long column ``key``, three each; of fixed size whatever the number of keys."""
+def _staged_marks(keys: DataFrame, rows: int) -> DataFrame:
+    """(word, bits), staged: bits of the long column ``key``, three each, of ``rows`` keys at most; of bounded
+    size whatever the number of keys."""
     bits = F.explode(F.array(*[F.pmod(F.shiftrightunsigned("key", 20 * k), F.lit(64 * MARK_WORDS)) for k in range(3)]))
     words = keys.select(bits.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
     words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+    return materialised(few_tasks(words, min(3 * rows, MARK_WORDS)), "marks")
+
+
+def _mark_bits(words: pa.Table) -> np.ndarray:
+    """The bits of ``_staged_marks``."""
     out = np.zeros(MARK_WORDS, np.int64)
-    got = words.toArrow()  # MARK_WORDS rows at most
-    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return out.view(np.uint64)
 
 
+def _mark_table(keys: DataFrame) -> np.ndarray:
+    """The table that the tasks read; the join doesn't read it on the driver."""
+    return _held(_staged_marks(keys, MARK_WORDS), _mark_bits)()
+
+
 def _met(pairs: DataFrame, parts: DataFrame, hot: DataFrame) -> DataFrame:
     """Pairs with the parts of both sides, fragment by fragment: columns px and py. The classes in
     ``hot`` are spread over several tasks."""
@@ -253,7 +304,6 @@ def _met(pairs: DataFrame, parts: DataFrame, hot: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, rows: DataFrame, sets: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (x, y, nx, ny, mx, my) that reach the threshold, as edges (a, b)."""
-    spark = pairs.sparkSession
     total = pairs.count()
     pairs = few_tasks(pairs, total)
     hot = pairs.groupBy("y").count().filter(F.col("count") > max(1000, total // HOT_SHARE)).select("y", F.lit(True).alias("hot"))
@@ -275,8 +325,9 @@ def _linked(pairs: DataFrame, rows: DataFrame, sets: DataFrame, classes: DataFra
     left = materialised(few_tasks(both.select("x", "y", "nx", "ny", "common"), total), "left")
     discard(first)
 
-    marks = spark.sparkContext.broadcast(_mark_table(named(left).select(F.xxhash64("least").alias("key"))).tobytes())
+    marks = _staged_marks(named(left).select(F.xxhash64("least").alias("key")), 2 * total)
     more = materialised(_segments(rows.withColumn("key", F.xxhash64("ident")), size, marks), "fragments")
+    discard(marks)
     both = _met(left.select("x", "y"), more, hot)
     partial = both.select("x", "y", "fragment", F.size(F.array_intersect("px", "py")).alias("part"))
     # a fragment may be there twice (repeated rows), so one count for each
@@ -376,22 +427,23 @@ def join_documents(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(ident).alias("ident"), F.col(text).cast("string").alias("t"))
-    shared = spark.sparkContext.broadcast(_shared_bits(rows, size).tobytes())
+    shared = _staged_bits(rows, size)
     sets = materialised(_sets(rows, size, percent, shared), "sets")
+    discard(shared)
     classes = materialised(sets.filter("n > 0").groupBy("cls").agg(F.min("ident").alias("least"), F.first("n").alias("n"), F.count("*").alias("rows")), "classes")
 
     entries = sets.select(F.explode("low").alias("s")).filter((F.col("s") >= 0) & (F.col("s") < FIRST // 2))
     total = sets.agg(F.coalesce(F.sum(F.size("low")), F.lit(0))).first()[0]
     bound = max(OFTEN, total // MOST_SHARED)
-    often = entries.groupBy("s").count().filter(F.col("count") > bound).select("s").toPandas()["s"]  # MOST_SHARED rows at most
-    often = spark.sparkContext.broadcast(np.sort(often.to_numpy(np.int64).view(np.uint64)).tobytes())
+    often = entries.groupBy("s").count().filter(F.col("count") > bound).select("s")
+    often = materialised(few_tasks(often, total // (bound + 1)), "often")  # MOST_SHARED rows at most
 
     prefixes = _prefixes(sets.filter(F.size("low") > 0), percent, often).groupBy("cls")
     prefixes = materialised(prefixes.agg(*[F.first(c).alias(c) for c in ("n", "m", "parts", "prefix")]), "prefixes")
     entries = prefixes.select("cls", "n", "m", "parts", F.posexplode("prefix").alias("pos", "s"))
     lists = materialised(entries.groupBy("s").agg(F.count("*").alias("size")).filter("size > 1"), "lists")
     entries = materialised(join_unique(entries, lists, "s", "size", "inner").drop("size"), "entries")
-    discard(prefixes, lists)
+    discard(often, prefixes, lists)
 
     n = entries.count()
     links, found = None, spark.createDataFrame([], "cls bigint, comp bigint")

@@ -366,6 +366,16 @@ def test_bit_tables_of_the_join_take_few_jobs(spark):
     assert vertical_join._marked(marks, np.array([r.key for r in keys.collect()], np.int64)).all()
 
 
+def test_tables_of_the_join_do_not_pass_through_the_driver(spark, monkeypatch):
+    """The tasks read the bit tables and the list of frequent shingles from staged files."""
+    text = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(i, f"{text} end{i}") for i in range(12)] + [(20, "some other words"), (21, "some other words"), (22, None)], "doc_id long, text string")
+    for owner, name in ((type(docs), "toPandas"), (type(docs), "toArrow"), (type(spark.sparkContext), "broadcast")):
+        monkeypatch.setattr(owner, name, lambda *_: pytest.fail("a table is held by the driver"))
+    got = vertical_join.join_documents(docs, stars=1).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict.fromkeys(range(12), 0) | {20: 20, 21: 20, 22: 22}
+
+
 def test_components_of_few_edges_take_few_tasks(spark):
     edges = spark.range(600).select((2 * F.col("id") + 1).alias("a"), (2 * F.col("id")).alias("b"))
     held = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "60"}
