@@ -14,6 +14,7 @@ of the trusted documents' perplexities.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -40,6 +41,9 @@ CACHE_WORDS = 1_000_000
 MODEL_ROWS = 3_000_000
 #: Rows of a model in one of its files, about.
 FILE_ROWS = 250_000
+#: Texts are cut into n-grams in pieces of about this many bytes, which bounds what a worker holds for them,
+#: and so many n-grams of pieces are counted together.
+PIECE_BYTES, HELD = 250_000, 500_000
 #: Perplexities are told apart to one part in so many when a threshold is checked on bad rows.
 BINS = 1000
 
@@ -93,12 +97,27 @@ def count_ngrams(texts: DataFrame, whole: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("counts")  # all operators' caches go, a former model too
+        held, n = defaultdict(list), 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for h, parts in held.items():
+                gram, at = np.unique(np.concatenate([gram for gram, _ in parts]), return_inverse=True)
+                c = np.bincount(at, np.concatenate([c for _, c in parts])).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), h, np.int32)), pa.array(gram.astype(np.int64)), pa.array(c)], ["half", "gram", "c"])
+
         for batch in batches:
-            for piece in pieces(batch, 0):
+            for piece in pieces(batch, 0, PIECE_BYTES):
                 of = piece.column(1).to_numpy(zero_copy_only=False)
                 for h in np.unique(of):
                     gram, c = np.unique(grams(split(piece.column(0).filter(pa.array(of == h)), _SPACED))[0], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), h, np.int32)), pa.array(gram.astype(np.int64)), pa.array(c)], ["half", "gram", "c"])
+                    if len(gram):
+                        held[h].append((gram, c))
+                        n += len(gram)
+                if n >= HELD:
+                    yield from counted()
+                    held.clear()
+                    n = 0
+        yield from counted()
 
     return texts.mapInArrow(run, "half int, gram bigint, c bigint").groupBy("half", "gram").agg(F.sum("c").alias("c"))
 
@@ -203,7 +222,7 @@ class Scorer:
         self._clear()
 
     def _clear(self) -> None:
-        self.table = HashTable(self.keep)
+        self.table = HashTable(1)  # grows with what is kept
         self.score = np.zeros(1 << 12)
 
     def words(self, words: Words, keys: np.ndarray) -> np.ndarray:
@@ -278,7 +297,7 @@ def document_ngrams(docs: DataFrame, keep: list[str], whole: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("counts")  # as in ``count_ngrams``
         for batch in batches:
-            for piece in pieces(batch, at):
+            for piece in pieces(batch, at, PIECE_BYTES):
                 words = split(piece.column(at), _SPACED)
                 key, first = (text_ngrams if whole else ngrams)(words)
                 first = first if whole else first[words.first]
@@ -349,7 +368,7 @@ class Classifier:
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 scorer = _scorer(name, files, whole)
                 for batch in batches:
-                    for piece in pieces(batch, at):
+                    for piece in pieces(batch, at, PIECE_BYTES):
                         score, n = scorer.texts(piece.column(at))
                         ppl = np.exp(-score / np.maximum(n, 1))
                         columns = [*piece.columns[:at], pa.array(n, pa.int64()), pa.array(ppl, pa.float64(), mask=n == 0)]

@@ -23,6 +23,8 @@ from beatgrid.llm.common import pieces as text_pieces
 from beatgrid.llm.tokens import coder, vocabulary
 from beatgrid.sources.files import materialised
 
+#: Texts are encoded in pieces of about this many bytes, which bounds what a worker holds beside its tables.
+PIECE_BYTES = 500_000
 #: Rows that one numbering bucket is meant to hold.
 BUCKET_ROWS = 1_000_000
 
@@ -133,7 +135,7 @@ def cut(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = coder(path)
         for batch in batches:
-            for part in text_pieces(batch):
+            for part in text_pieces(batch, limit=PIECE_BYTES):
                 ids, counts = codes.encode(part.column(1))
                 ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
                 counts = counts + 1

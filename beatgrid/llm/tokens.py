@@ -56,14 +56,19 @@ def _words_with(words: Words, which: np.ndarray) -> list[int]:
 
 
 class HashTable:
-    """Open addressing over arrays: distinct non-zero 64-bit keys to places 0, 1, 2, ..."""
+    """Open addressing over arrays: distinct non-zero 64-bit keys to places 0, 1, 2, ...
+
+    ``capacity`` is the number of keys to expect; the table grows beyond it and stays at most half full."""
 
     def __init__(self, capacity: int):
+        self.used = 0
+        self._empty(capacity)
+
+    def _empty(self, capacity: int) -> None:
         self.size = 1 << max(10, (2 * capacity - 1).bit_length())
         self.mask = np.uint64(self.size - 1)
         self.keys = np.zeros(self.size, np.uint64)
         self.places = np.zeros(self.size, np.int32)
-        self.used = 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The place of each key, or -1."""
@@ -81,6 +86,14 @@ class HashTable:
         """Distinct keys that are not in the table get the next places in their order."""
         places = np.arange(self.used, self.used + len(keys), dtype=np.int32)
         self.used += len(keys)
+        if 2 * self.used > self.size:
+            there = self.keys != 0
+            old = self.keys[there], self.places[there]
+            self._empty(self.used)
+            self._put(*old)
+        self._put(keys, places)
+
+    def _put(self, keys: np.ndarray, places: np.ndarray) -> None:
         todo, slot = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
         while len(todo):
             free = np.flatnonzero(self.keys[slot] == 0)
@@ -108,7 +121,7 @@ class PieceCoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.table = HashTable(self.limits[0])
+        self.table = HashTable(1)  # grows with what is kept
         self.start = np.zeros(1 << 12, np.int64)
         self.length = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)

@@ -54,6 +54,15 @@ def test_hash_table():
     assert table.find(keys + np.uint64(1))[~np.isin(keys + np.uint64(1), keys)].max() == -1
 
 
+def test_hash_table_grows():
+    keys = np.arange(1, 20_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    table = HashTable(1)
+    for a, b in ((0, 10), (10, 511), (511, 513), (513, 9000), (9000, 20_000)):
+        table.add(keys[a:b])
+        assert table.size >= 2 * b  # before, a table was filled up and then sought a free place without end
+        assert table.find(keys).tolist() == [*range(b), *[-1] * (20_000 - b)]
+
+
 TOKEN_SIGNS = [*"aAİΣς'st  \n\t́̇é.,ßKI", "<|endoftext|>", "<|ENDOFTEXT|>", "'re", "漢", "word.", "Wo,", "​"]
 
 

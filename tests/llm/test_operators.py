@@ -3,10 +3,12 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ from beatgrid.llm import (
 )
 from beatgrid.llm.common import join_unique
 from beatgrid.llm.graph import components
-from beatgrid.llm.tokens import vocabulary
+from beatgrid.llm.tokens import HashTable, PieceCoder, vocabulary
 from tests.llm import plain
 
 #: Extra columns whose names operators use inside.
@@ -410,6 +412,32 @@ def test_quality_counts_without_the_caches_of_other_operators(spark):
     assert "tokens" not in common._CACHES
 
 
+def test_quality_and_packing_hold_little_beside_their_tables(spark, monkeypatch):
+    """On texts of 8 MB a worker needs few times the bytes of a small piece, and its tables begin small."""
+    rng = random.Random(1)
+    texts = [words(rng, 2000) for _ in range(1000)]
+    made, peaks = [], {}
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda df, run, schema: made.append(run) or spark.createDataFrame([], schema))
+    docs = spark.createDataFrame([], "doc_id long, t string, text string, half int")
+    kneser_ney.count_ngrams(docs.select("t", "half"), whole=True)
+    model = kneser_ney.Model(HashTable(1), np.zeros(1), HashTable(1), np.zeros(1))
+    scorer = kneser_ney.Scorer(model, whole=True)
+    assert scorer.table.size < 1 << 12 and PieceCoder(vocabulary()).table.size < 1 << 12
+    monkeypatch.setattr(kneser_ney, "_scorer", lambda *_: scorer)
+    kneser_ney.Classifier([([], [])], "few", whole=True).perplexities(docs, ["doc_id"])
+    packing.cut(docs)
+    ids, texts = pa.array(range(1000), pa.int64()), pa.array(texts)
+    for name, run, columns in zip(("count", "score", "cut"), made, ([texts, pa.array([i % 2 for i in range(1000)], pa.int32())], [ids, texts], [ids, texts])):
+        batch = pa.RecordBatch.from_arrays(columns, ["a", "b"])
+        tracemalloc.start()
+        try:
+            assert sum(out.num_rows for out in run(iter([batch]))) > 0
+            peaks[name] = tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+    assert max(peaks.values()) < 40, peaks
+
+
 def test_quality_counts_all_trusted_documents(spark, monkeypatch):
     """No sample of trusted documents: every one of 7,000 is counted."""
     docs = spark.range(7000).select(F.col("id").alias("doc_id"), F.lit("abcd").alias("text"), F.lit("x").alias("lang"))
