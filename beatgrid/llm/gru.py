@@ -24,6 +24,8 @@ FEW, SIDE, RAMP, SPAN = 4, 256, 50, 1024
 ROWS = 4096
 #: Logits of a softmax that lie within so much of each other need no maximum of each row.
 SPREAD = 60.0
+#: The least share that a loss is taken of.
+TINY = np.finfo(np.float32).tiny
 
 
 @dataclass
@@ -74,16 +76,18 @@ def halved(w: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return inputs, 0.5 * w.state, w.candidate
 
 
-def step(x: np.ndarray, state: np.ndarray, candidate: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+def step(
+    x: np.ndarray, state: np.ndarray, candidate: np.ndarray, h: np.ndarray, gates: np.ndarray | None = None, c: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
     """(new state, gates, candidate) of each text after reading a unit; x has the unit's row of the
-    halved inputs. The gates are update and reset side by side."""
+    halved inputs. The gates are update and reset side by side. The last two may be given to be filled."""
     n = h.shape[1]
-    gates = h @ state
+    gates = np.matmul(h, state, out=gates)
     gates += x[:, : 2 * n]
     np.tanh(gates, out=gates)
     gates *= 0.5
     gates += 0.5
-    c = (gates[:, n:] * h) @ candidate
+    c = np.matmul(gates[:, n:] * h, candidate, out=c)
     c += x[:, 2 * n :]
     np.tanh(c, out=c)
     new = c - h
@@ -92,29 +96,33 @@ def step(x: np.ndarray, state: np.ndarray, candidate: np.ndarray, h: np.ndarray)
     return new, gates, c
 
 
-def _exponents(states: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Logits of each row, less a number of the row that keeps their exponentials in range.
+def _below(w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(biases, whether a maximum of each row is needed besides) of one softmax, or of each of many.
 
     A state lies within -1 and 1, so the weights bound all logits; where the greatest of a row can't
-    be far below the bound, the bound is that number, for all rows."""
-    reach = np.abs(w).sum(axis=0)
-    top = (b + reach).max(initial=-np.inf)
-    if top - (b - reach).max(initial=-np.inf) < SPREAD:
-        x = states @ w
-        x += b - top
-        return x
+    be far below the bound, the bound is taken off the biases and keeps all exponentials in range."""
+    reach = np.abs(w).sum(axis=-2)
+    top = (b + reach).max(axis=-1, keepdims=True, initial=-np.inf)
+    far = ~(top - (b - reach).max(axis=-1, keepdims=True, initial=-np.inf) < SPREAD)
+    return np.where(far, b, b - np.where(far, 0, top)), far[..., 0]
+
+
+def _exponents(states: np.ndarray, w: np.ndarray, b: np.ndarray, far: bool) -> np.ndarray:
+    """Logits of each row, less a number of the row that keeps their exponentials in range; b and far
+    are from ``_below``."""
     x = states @ w
     x += b
-    x -= x.max(axis=1, keepdims=True)
+    if far:
+        x -= x.max(axis=1, keepdims=True)
     return x
 
 
-def _log_shares(states: np.ndarray, w: np.ndarray, b: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Natural log of the share that the softmax of each row gives its target."""
+def _log_shares(states: np.ndarray, w: np.ndarray, b: np.ndarray, far: bool, target: np.ndarray) -> np.ndarray:
+    """Natural log of the share that the softmax of each row gives its target; b and far as in ``_exponents``."""
     out = np.empty(len(target), np.float64)
     for a in range(0, len(target), ROWS):
         some = target[a : a + ROWS]
-        x = _exponents(states[a : a + ROWS], w, b)
+        x = _exponents(states[a : a + ROWS], w, b, far)
         at = x[np.arange(len(some)), some]
         np.exp(x, out=x)
         out[a : a + ROWS] = at - np.log(x @ np.ones(x.shape[1], x.dtype))
@@ -128,7 +136,7 @@ def _towards(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, float]:
     p *= (1 / (p @ np.ones(p.shape[1], p.dtype)))[:, None]
     rows = np.arange(len(target))
     shares = p[rows, target]
-    loss = -float(np.log(np.maximum(shares, np.finfo(p.dtype).tiny)).sum())
+    loss = -float(np.log(np.maximum(shares, TINY)).sum())
     p[rows, target] = shares - 1
     return p, loss
 
@@ -140,13 +148,14 @@ def _sorted(x: np.ndarray) -> np.ndarray:
 
 def log_probability(w: Weights, states: np.ndarray, cls: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Natural log of P(class) times, in head classes, P(word | class), for each state and target."""
-    out = _log_shares(states, w.class_w, w.class_b, cls)
+    out = _log_shares(states, w.class_w, *_below(w.class_w, w.class_b), cls)
+    word_b, far = _below(w.word_w, w.word_b)
     order = _sorted(cls)
     edges = np.searchsorted(cls[order], np.arange(len(w.word_b) + 1))
     for k in range(len(w.word_b)):
         rows = order[edges[k] : edges[k + 1]]
         if len(rows):
-            out[rows] += _log_shares(states[rows], w.word_w[k], w.word_b[k], word[rows])
+            out[rows] += _log_shares(states[rows], w.word_w[k], word_b[k], far[k], word[rows])
     return out
 
 
@@ -188,7 +197,7 @@ def gradients(w: Weights, h: np.ndarray, unit: np.ndarray, real: np.ndarray, cls
     full = real.all(axis=0).tolist()
     for t in range(steps):
         before[t] = h
-        new, gates[t], cs[t] = step(x[t], state, candidate, h)
+        new = step(x[t], state, candidate, h, gates[t], cs[t])[0]
         h = new if full[t] else np.where(real[:, t, None], new, h)
     flat = real.T.ravel()
     every_real = all(full)
@@ -202,17 +211,19 @@ def gradients(w: Weights, h: np.ndarray, unit: np.ndarray, real: np.ndarray, cls
     order = _sorted(target)
     sorted_target, sorted_states = target[order], states[order]
     cls, word = cls_of[sorted_target], word_of[sorted_target]
-    d, loss = _towards(_exponents(sorted_states, w.class_w, w.class_b), cls)
+    d, loss = _towards(_exponents(sorted_states, w.class_w, *_below(w.class_w, w.class_b)), cls)
     d *= 1 / total
     g[3] += sorted_states.T @ d
     g[4] += d.sum(axis=0)
     d_sorted = d @ w.class_w.T
+    word_b, far = _below(w.word_w, w.word_b)
+    far = far.tolist()
     edges = np.searchsorted(cls, np.arange(len(w.word_b) + 1)).tolist()
     for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])):
         if i == j:
             continue
         here = sorted_states[i:j]
-        d, more = _towards(_exponents(here, w.word_w[k], w.word_b[k]), word[i:j])
+        d, more = _towards(_exponents(here, w.word_w[k], word_b[k], far[k]), word[i:j])
         loss += more
         d *= 1 / total
         g[5][k] += here.T @ d
@@ -236,12 +247,11 @@ def gradients(w: Weights, h: np.ndarray, unit: np.ndarray, real: np.ndarray, cls
     for t in range(steps - 1, -1, -1):
         keep = real[:, t, None]
         d_new = dh if full[t] else np.where(keep, dh, 0)
-        d_c = d_new * by_c[t]
+        d_c = np.multiply(d_new, by_c[t], out=d_x[t, :, 2 * n :])
         d_rh = d_c @ candidate_t
         d_gates = d_x[t, :, : 2 * n]
         np.multiply(d_new, by_gates[t, :, :n], out=d_gates[:, :n])
         np.multiply(d_rh, by_gates[t, :, n:], out=d_gates[:, n:])
-        d_x[t, :, 2 * n :] = d_c
         back = d_gates @ state_t
         back += d_new * rest[t]
         d_rh *= r[t]
@@ -311,7 +321,8 @@ class Trainer:
         norm = np.sqrt(sum(float(np.vdot(x, x)) for x in g))
         clip = min(1.0, 1.0 / max(norm, 1e-6))
         for x, d, m in zip(self.w.arrays(), g, self.moments):
-            d *= clip  # the gradients are nobody else's
+            if clip < 1:
+                d *= clip  # the gradients are nobody else's
             m[0] *= 0.9
             m[0] += 0.1 * d
             m[1] *= 0.999

@@ -48,8 +48,12 @@ TASK_TOKENS, LEARN, FAN = 6_000_000, 1_000_000, 32
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word and of the end of each text, first token of each text and their number)."""
     words: Words = split(texts, SPACED)
-    h = np.insert(hashes(words) | np.uint64(1), words.first[1:], END)
-    return h, words.first + np.arange(len(words.first))
+    first = words.first + np.arange(len(words.first))
+    h = np.full(first[-1], END)
+    inside = np.ones(len(h), bool)
+    inside[first[1:] - 1] = False
+    h[inside] = hashes(words) | np.uint64(1)
+    return h, first
 
 
 def held_out(ident: str) -> Column:

@@ -21,6 +21,9 @@ from beatgrid.llm.words import Words, hashes, rule, split
 #: A worker's table starts anew beyond so many pieces or ids.
 CACHE_PIECES, CACHE_IDS = 1_200_000, 8_000_000
 
+#: Keys that are looked up at a time; what is held for them stays in a core's cache.
+AT_ONCE = 1 << 14
+
 _SPACES = rule(b" \n", fold=False)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -73,6 +76,11 @@ class HashTable:
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The place of each key, or -1."""
         out = np.full(len(keys), -1, np.int64)
+        for a in range(0, len(keys), AT_ONCE):
+            self._find(keys[a : a + AT_ONCE], out[a : a + AT_ONCE])
+        return out
+
+    def _find(self, keys: np.ndarray, out: np.ndarray) -> None:
         todo, slot = np.arange(len(keys)), (keys & self.mask).astype(np.int64)
         while len(todo):
             there = self.keys[slot]
@@ -80,7 +88,6 @@ class HashTable:
             out[todo[same]] = self.places[slot[same]]
             going = ~same & (there != 0)
             todo, slot = todo[going], (slot[going] + 1) & (self.size - 1)
-        return out
 
     def add(self, keys: np.ndarray) -> None:
         """Distinct keys that are not in the table get the next places in their order."""

@@ -17,8 +17,9 @@ import pyarrow.compute as pc
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95
-#: Bytes whose powers are kept at a time.
-_SPAN = 1 << 18
+#: Bytes whose powers are kept at a time, and bytes that are hashed at a time if no word is longer; their
+#: values stay in a core's cache.
+_SPAN, _REGION = 1 << 18, 1 << 14
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -105,13 +106,17 @@ def hashes(words: Words) -> np.ndarray:
     i, n = 0, len(words.start)
     while i < n:
         base = words.start[i]
-        j = int(np.searchsorted(words.end, base + _SPAN - 1, side="right"))
+        j = int(np.searchsorted(words.end, base + _REGION, side="right"))
+        if j <= i:
+            j = int(np.searchsorted(words.end, base + _SPAN - 1, side="right"))
         if j <= i:  # one word longer than the tables
             out[i] = _long(words.data[base : words.end[i]])
             i += 1
             continue
-        region = values[words.data[base : words.end[j - 1]]] * powers[: words.end[j - 1] - base]
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(region, dtype=np.uint64)])
+        region = values[words.data[base : words.end[j - 1]]]
+        region *= powers[: len(region)]
+        total = np.zeros(len(region) + 1, np.uint64)
+        np.cumsum(region, out=total[1:])
         s, e = words.start[i:j] - base, words.end[i:j] - base
         out[i:j] = (total[e] - total[s]) * inverse[s]
         i = j

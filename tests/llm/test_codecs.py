@@ -63,6 +63,49 @@ def test_hash_table_grows():
         assert table.find(keys).tolist() == [*range(b), *[-1] * (20_000 - b)]
 
 
+def test_hash_table_looks_up_few_keys_at_a_time():
+    keys = np.arange(1, 1_000_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    table = HashTable(10)
+    table.add(keys[:10])
+    tracemalloc.start()
+    try:
+        found = table.find(keys)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found[:10].tolist() == list(range(10)) and (found[10:] == -1).all()
+    assert peak < 1.5 * found.nbytes
+
+
+def test_words_across_hashed_regions():
+    """Words that begin, end or reach beyond the bytes hashed at a time have the hashes they have alone."""
+    sizes = [16_000, 384, 1, 16_383, 16_384, 16_385, 300_000, 5, 40_000]
+    texts = [chr(ord("a") + i) * n for i, n in enumerate(sizes)]
+    together = hashes(split(pa.array([" ".join(texts)]), SPACED))
+    assert together.tolist() == [int(hashes(split(pa.array([x]), SPACED))[0]) for x in texts]
+
+
+def test_bounds_of_all_softmaxes_are_found_at_once(monkeypatch):
+    """One window takes two calls, for the classes and for the words of all classes, not one a class."""
+    rng = np.random.default_rng(0)
+    w = gru.initial(np.arange(640, 0, -1.0), np.ones(2))
+    w.word_w += rng.normal(0, 0.1, w.word_w.shape).astype(np.float32)
+    w.word_w[3, :, 0] = 5  # a maximum of each row is needed in this class
+    bias, far = gru._below(w.word_w, w.word_b)
+    assert far.tolist() == [k == 3 for k in range(10)]
+    states = rng.uniform(-1, 1, (50, gru.HIDDEN)).astype(np.float32)
+    for k in range(10):
+        x = states.astype(np.float64) @ w.word_w[k] + w.word_b[k]
+        want = x - np.logaddexp.reduce(x, axis=1)[:, None]
+        assert np.allclose(gru._log_shares(states, w.word_w[k], bias[k], far[k], np.arange(50)), want[np.arange(50), np.arange(50)], atol=1e-3)
+    calls, plain_below = [], gru._below
+    monkeypatch.setattr(gru, "_below", lambda *a: calls.append(1) or plain_below(*a))
+    cls, word = gru.units(640, 2)
+    unit = rng.integers(0, 642, (4, 8))
+    gru.gradients(w, np.zeros((4, gru.HIDDEN), np.float32), unit, np.ones((4, 8), bool), cls, word)
+    assert len(calls) == 2
+
+
 TOKEN_SIGNS = [*"aAİΣς'st  \n\t́̇é.,ßKI", "<|endoftext|>", "<|ENDOFTEXT|>", "'re", "漢", "word.", "Wo,", "​"]
 
 
