@@ -21,6 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beatgrid.learn import forest as by_tasks
 from beatgrid.learn import nodes, singles
 from beatgrid.learn.prep import assembler, fold_column, numeric
 from beatgrid.learn.resample import smote, undersample
@@ -32,7 +33,9 @@ SEED = 42
 NODE_ID_DEPTH = 10
 
 #: Nodes of the trees that one fit of a search grows on the driver, and of all its fits side by side.
-FIT_NODES, ALL_NODES = 250_000, 2_000_000
+FIT_NODES, ALL_NODES = 250_000, 1_250_000
+#: Up to so many rows a forest of more than ``FIT_NODES`` nodes is fitted by Spark in blocks, beyond it grows in tasks.
+FEW_ROWS = 10_000
 
 # Published baseline settings per family.
 BASELINES: dict[str, dict] = {
@@ -383,8 +386,9 @@ def _search(
     The fits of all folds run side by side, ``parallelism`` at a time. Folds without held rows give
     no score.
 
-    Spark grows a forest on the driver, so one whose trees would pass ``FIT_NODES`` (by a small forest
-    fitted first) is grown in blocks of trees with a seed each; the held rows keep the sums of the votes.
+    Spark grows a forest on the driver. One whose trees would pass ``FIT_NODES`` (by a small forest fitted
+    first, where that can't pass it too) is grown by tasks, see ``forest``; of ``FEW_ROWS`` rows at most,
+    it is fitted in blocks of trees with a seed each, and the held rows keep the sums of the votes.
     """
     spark = train_df.sparkSession
     tables = fold_tables(train_df, features, label, folds, ident, resample, parallelism)
@@ -426,12 +430,26 @@ def _search(
             first += size
         return nodes.vote_counts(state, label, counts, depths)
 
+    def in_tasks(job: tuple[int, dict, list[int]], counts: list[int], depths: list[int]) -> list:
+        fold, params, _ = job
+        rows = binned[fold, value({}, params, "maxBins")]
+        named = ("numTrees", "maxDepth", "minInstancesPerNode", "minWeightFractionPerNode", "minInfoGain", "impurity", "featureSubsetStrategy", "bootstrap", "subsamplingRate")
+        growth = by_tasks.Growth.of({name: value({}, params, name) for name in named}, len(features), rows.n_rows, SEED)
+        trees = by_tasks.grow(spark, rows, growth)
+        depths = sorted(depths)
+        found = nodes.vote_counts(by_tasks.votes(trees, tables[fold][1], label, rows, counts, depths), label, counts, depths).collect()  # a row a candidate
+        discard(trees)
+        return found
+
     def run(job: tuple[int, dict, list[int]]) -> list[tuple[int, int, dict]]:
         fold, params, members = job
         fit, held = tables[fold]
         wanted = {i: (value(grid[i], params, many), value(grid[i], params, deep) if deep else None) for i in members}
         counts, depths = sorted({n for n, _ in wanted.values()}), sorted({d for _, d in wanted.values()}, key=str)
         sizes = blocks[members[0]]
+        if not sizes:
+            table = {(r["trees"], r["depth"]): r.asDict() for r in in_tasks(job, counts, depths)}
+            return [(fold, i, table.get(at, {})) for i, at in wanted.items()]
         if len(sizes) > 1:
             table = {(r["trees"], r["depth"]): r.asDict() for r in in_blocks(job, sizes, counts, depths).collect()}
             return [(fold, i, table.get(at, {})) for i, at in wanted.items()]
@@ -446,20 +464,30 @@ def _search(
     fits = _fits(learner, grid)
     jobs = [(fold, params, members) for params, members in fits for fold in range(folds)]
     blocks, side_by_side = {members[0]: [0] for _, members in fits}, min(parallelism, len(jobs))
+    binned: dict[tuple[int, int], by_tasks.Binned] = {}
     if forest:
         n_rows = tables[0][0].count()
         most = {members[0]: value({}, params, many) for params, members in fits}
         # no tree has more nodes than its depth allows, or than two for each row
         bound = {members[0]: min(2 ** (value({}, params, deep) + 1), 2 * n_rows) for params, members in fits}
         unsure = [(params, members[0]) for params, members in fits if n_rows and bound[members[0]] * most[members[0]] > FIT_NODES]
-        if unsure:
-            with ThreadPool(min(parallelism, len(unsure))) as pool:
-                bound |= zip([k for _, k in unsure], pool.map(inheritable_thread_target(spark)(nodes_of_a_tree), [p for p, _ in unsure], chunksize=1))
+        tried = [(params, k) for params, k in unsure if n_rows <= FEW_ROWS or 2 * bound[k] <= FIT_NODES]
+        if tried:
+            with ThreadPool(min(parallelism, len(tried))) as pool:
+                bound |= zip([k for _, k in tried], pool.map(inheritable_thread_target(spark)(nodes_of_a_tree), [p for p, _ in tried], chunksize=1))
         blocks = {k: tree_blocks(n, bound[k]) for k, n in most.items()}
-        largest = max(max(sizes) * bound[k] for k, sizes in blocks.items())
+        if n_rows > FEW_ROWS and not learner.isDefined(learner.weightCol):
+            large = [(params, k) for params, k in unsure if bound[k] * most[k] > FIT_NODES]
+            blocks |= {k: [] for _, k in large}
+            wanted_bins = [(fold, bins) for bins in sorted({value({}, params, "maxBins") for params, _ in large}) for fold in range(folds)]
+            with ThreadPool(max(1, min(parallelism, len(wanted_bins)))) as pool:
+                made = pool.map(inheritable_thread_target(spark)(lambda at: by_tasks.binned(tables[at[0]][0], label, len(features), at[1], SEED)), wanted_bins, chunksize=1)
+            binned |= zip(wanted_bins, made)
+        largest = max(max(sizes, default=0) * bound[k] for k, sizes in blocks.items())
         side_by_side = max(1, min(side_by_side, ALL_NODES // max(1, largest)))
     with ThreadPool(side_by_side) as pool:
         done = [r for part in pool.imap_unordered(inheritable_thread_target(spark)(run), jobs) for r in part]
+    discard(*[rows.blocks for rows in binned.values()])
     for _, i, r in sorted(done, key=lambda x: x[:2]):
         if r:
             whole = 2 * r["tp"] + r["fp"] + r["fn"]
